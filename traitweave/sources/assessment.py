@@ -1,0 +1,197 @@
+"""Participant tables derived from the order and event tables.
+
+A cohort database is not public, so a cohort of the same shape is derived from
+the driver tables: customers and users are the participants, orders are
+visits, order lines are interview answers and diagnoses, events are answers to
+the online questionnaires. The field numbers are those the phenotype catalogue
+reads; the formulas only spread the answers over their value ranges.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from traitweave.functions.naming import EID, field_column
+from traitweave.functions.scores import MISSING_CODE
+
+VISITS = range(4)
+MULTI_ANSWER_ELEMENTS = range(4)
+INTERVIEW_ELEMENTS = range(7)
+
+# The online items in order, as (fields, lowest answer, number of answers, missing code occurs).
+ONLINE_ITEMS = [
+    (
+        [
+            20514, 20510, 20517, 20519, 20511, 20507, 20508, 20518, 20513,
+            20506, 20509, 20520, 20515, 20516, 20505, 20512,
+            20497, 20498, 20495, 20496, 20494,
+            20414, 20403, 20416, 20413, 20407, 20412, 20409, 20408,
+        ],
+        0, 5, True,
+    ),
+    ([20446, 20441, 20449, 20532, 20435, 20450, 20437, 20406, 20456, 20503, 20480, 20483, 20479], 0, 2, False),
+    ([20501, 20502], 0, 2, True),
+    ([20411, 20405], 0, 3, True),
+    ([20436], 2, 3, False),
+    ([20439, 20440], 1, 3, False),
+    ([20536], 0, 4, False),
+    ([20492], 2, 2, True),
+    ([20493], 11, 2, True),
+    ([20453], 3, 2, False),
+    ([20454], 1, 4, False),
+]
+
+
+def assessment_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five participant tables over the parquet tables in a directory."""
+
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    orders, lineitem, events = read("orders"), read("lineitem"), read("events")
+    return {
+        "asm_touch": touch_screen(orders),
+        "asm_interview": interview(orders, lineitem),
+        "asm_hospital": hospital(orders, lineitem),
+        "asm_online": online(events),
+        "asm_online_multi": online_multiple_choice(events),
+    }
+
+
+def touch_screen(orders: DataFrame) -> DataFrame:
+    """Answers per visit; one row per customer."""
+
+    def price(divisor: int) -> Column:
+        return F.floor(F.col("o_totalprice") / divisor).cast("bigint")
+
+    def sometimes_missing(divisor: int, answer: Column) -> Column:
+        return F.when(price(divisor) % 9 == 0, MISSING_CODE).otherwise(answer)
+
+    answers: dict[int, Column] = {
+        4598: price(1) % 2,
+        4609: price(7) % 2,
+        4620: price(3) % 4,
+        4631: price(11) % 2,
+        2090: price(13) % 2,
+        2100: price(17) % 2,
+        5375: price(5) % 5,
+        5386: price(19) % 4,
+        4642: sometimes_missing(1, price(1) % 2),
+        4653: price(23) % 2,
+        5663: 11 + price(29) % 3,
+        5674: sometimes_missing(31, 11 + price(31) % 2),
+    }
+
+    def on(visit: int) -> Column:
+        return F.col("o_orderkey") % 4 == visit
+
+    def element_is(element: int) -> Column:
+        return F.floor(F.col("o_orderkey") / 4).cast("bigint") % 4 == element
+
+    return (
+        orders.filter(F.col("o_custkey") % 10 != 3)
+        .groupBy(F.col("o_custkey").alias(EID))
+        .agg(
+            *[
+                F.max(F.when(on(visit), answer)).alias(field_column(number, visit))
+                for number, answer in answers.items()
+                for visit in VISITS
+            ],
+            *[
+                F.max(F.when(on(visit) & element_is(element), 10 + price(1) % 5)).alias(
+                    field_column(6156, visit, element)
+                )
+                for visit in VISITS
+                for element in MULTI_ANSWER_ELEMENTS
+            ],
+            F.max(price(37) % 4).alias("p1200"),
+            F.max(price(41) % 13).alias("p20127"),
+        )
+    )
+
+
+def interview(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Illness codes told on each visit; one row per customer.
+
+    Lines are folded per order before the join, on the side of the scan, so an
+    order with very many lines reaches the join as one row.
+    """
+
+    def told(element: int) -> str:
+        return f"told_{element}"
+
+    per_order = lineitem.groupBy("l_orderkey").agg(
+        *[
+            F.max(F.when(F.col("l_linenumber") == m + 1, 1270 + F.col("l_partkey") % 400)).alias(told(m))
+            for m in INTERVIEW_ELEMENTS
+        ]
+    )
+    finished = orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
+    return (
+        per_order.join(finished, per_order.l_orderkey == finished.o_orderkey)
+        .groupBy(F.col("o_custkey").alias(EID))
+        .agg(
+            *[
+                F.max(F.when(F.col("o_orderkey") % 4 == visit, F.col(told(m)))).alias(field_column(20002, visit, m))
+                for visit in VISITS
+                for m in INTERVIEW_ELEMENTS
+            ]
+        )
+    )
+
+
+def hospital(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Diagnosis codes of both revisions; one row per customer.
+
+    There are 500 codes of one and 100 of the other, which bounds the arrays;
+    repeated diagnoses of an order are dropped before the join.
+    """
+    diagnoses = (
+        lineitem.filter(F.col("l_returnflag") == "R")
+        .select(
+            "l_orderkey", (F.col("l_partkey") % 500).alias("icd10"), (3000 + F.col("l_suppkey") % 100).alias("icd9")
+        )
+        .distinct()
+    )
+    return (
+        diagnoses.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy(F.col("o_custkey").alias(EID))
+        .agg(
+            F.collect_set(F.concat(F.lit("F"), F.col("icd10").cast("string"))).alias("p41270"),
+            F.collect_set(F.col("icd9").cast("string")).alias("p41271"),
+        )
+    )
+
+
+def online(events: DataFrame) -> DataFrame:
+    """The latest answer to each online item; one row per user."""
+    columns = []
+    for fields, lowest, answers, missing in ONLINE_ITEMS:
+        for field in fields:
+            columns.append(_latest_answer(field, len(columns), lowest, answers, missing))
+    return events.groupBy(F.col("user_id").alias(EID)).agg(*columns)
+
+
+def _latest_answer(field: int, position: int, lowest: int, answers: int, missing: bool) -> Column:
+    event = F.col("event_id")
+    answer = lowest + (F.floor(F.col("value") * 10).cast("bigint") + position) % answers
+    if missing:
+        answer = F.when(event % 11 == 0, MISSING_CODE).otherwise(answer)
+    asked = (event + position) % 30 == 0
+    return F.max_by(F.when(asked, answer), F.when(asked, event)).alias(field_column(field))
+
+
+def online_multiple_choice(events: DataFrame) -> DataFrame:
+    """Multiple-choice answers; one row per user. At most 23 distinct answers each."""
+
+    def ticked(choices: int) -> Column:
+        return F.collect_set(F.col("event_id") % choices)
+
+    return (
+        events.filter((F.col("event_type") == "signup") & (F.col("event_id") % 3 == 0))
+        .groupBy(F.col("user_id").alias(EID))
+        .agg(ticked(23).alias("p20544"), ticked(9).alias("p20554"), ticked(8).alias("p20548"))
+    )
+
+
