@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from traitweave.functions.naming import sql_literal
+
 
 def pack_cells(columns: Iterable[str | Column]) -> Column:
     """Distinct non-null elements in first-seen order; all-null cells give an empty array."""
@@ -35,13 +37,12 @@ def code_literals(codes: Iterable[int | str], element: T.DataType | None = None)
     Under ANSI rules Spark does not compare ``array<string>`` with integers, so
     a code list is brought to the column's type here.
     """
-    codes = list(codes)
     if isinstance(element, T.StringType):
         codes = [str(c) for c in codes]
     elif isinstance(element, T.NumericType):
         codes = [int(c) for c in codes]
-    literals = F.array(*[F.lit(c) for c in codes])
-    return literals if element is None else literals.cast(T.ArrayType(element))
+    literals = f"array({', '.join(sql_literal(c) for c in codes)})"
+    return F.expr(literals if element is None else f"CAST({literals} AS array<{element.simpleString()}>)")
 
 
 def contains_any(column: Column, codes: Iterable[int | str], element: T.DataType | None = None) -> Column:

@@ -39,6 +39,18 @@ def field_number(column: str) -> int | None:
     return int(match.group(1)) if match else None
 
 
+def sql_name(column: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def sql_literal(value: int | str) -> str:
+    """An integer or string as SQL text."""
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True, order=True)
 class Cell:
     """One element column of a multi-valued answer."""

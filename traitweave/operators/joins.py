@@ -11,13 +11,15 @@ if they are not, and moves the rows of all tables through a single shuffle.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from traitweave.functions.naming import EID
+from traitweave.functions.naming import EID, sql_name
 
 JOIN_MODES = ("outer", "stack")
 
@@ -60,60 +62,57 @@ def stack_join(frames: Sequence[DataFrame]) -> DataFrame:
     nothing. An id that is missing, or that occurs twice in one table, fails the
     query rather than losing rows.
     """
-    slots, homes = _assign_slots(frames)
-    rows = []
-    for number, frame in enumerate(frames):
-        filled = {slot: F.col(name) for name, (slot, table) in homes.items() if table == number}
-        rows.append(
-            frame.select(
-                EID,
-                F.lit(number).alias("__table"),
-                *[filled.get(slot, F.lit(None).cast(type_)).alias(slot) for slot, type_ in slots.items()],
-            )
+    homes = _assign_slots(frames)
+    rows = [
+        frame.selectExpr(
+            EID, f"{number} AS __table", *[f"{sql_name(h.column)} AS {sql_name(h.slot)}" for h in homes if h.table == number]
         )
+        for number, frame in enumerate(frames)
+    ]
     stacked = rows[0]
     for more in rows[1:]:
-        stacked = stacked.union(more)
+        stacked = stacked.unionByName(more, allowMissingColumns=True)
 
     folded = (
         stacked.repartition(EID)
         .groupBy(EID)
         .agg(
-            *[_only_value(slot, table, slots[slot]).alias(name) for name, (slot, table) in homes.items()],
-            *[_row_count(table).alias(f"__rows_{table}") for table in range(len(frames))],
+            *[F.expr(h.only_value()) for h in homes],
+            *[F.expr(f"count_if(__table = {table}) AS __rows_{table}") for table in range(len(frames))],
         )
     )
-    most = F.greatest(*[F.col(f"__rows_{table}") for table in range(len(frames))])
+    most = F.greatest(*[f"__rows_{table}" for table in range(len(frames))])
     sound = F.col(EID).isNotNull() & (most <= 1)
     message = "stacking tables needs ids that are present and unique in each table; use join_mode='outer'"
-    return folded.filter(F.assert_true(sound, F.lit(message)).isNull()).select(EID, *homes)
+    return folded.filter(F.assert_true(sound, F.lit(message)).isNull()).select(EID, *[h.column for h in homes])
 
 
-def _assign_slots(frames: Sequence[DataFrame]) -> tuple[dict[str, T.DataType], dict[str, tuple[str, int]]]:
-    """Slots with their types, and for each column its slot and the number of its table."""
-    slots: dict[str, T.DataType] = {}
-    homes: dict[str, tuple[str, int]] = {}
-    for number, frame in enumerate(frames):
-        used: dict[str, int] = {}
+@dataclass(frozen=True)
+class _Home:
+    """Where a column sits in the stacked rows."""
+
+    column: str
+    table: int
+    slot: str
+    nested: bool
+
+    def only_value(self) -> str:
+        value = f"CASE WHEN __table = {self.table} THEN {sql_name(self.slot)} END"
+        # arrays cannot be kept in a hash aggregate's buffer, and comparing them costs more than taking one
+        return f"{f'first({value}, true)' if self.nested else f'max({value})'} AS {sql_name(self.column)}"
+
+
+def _assign_slots(frames: Sequence[DataFrame]) -> list[_Home]:
+    homes: dict[str, _Home] = {}
+    for table, frame in enumerate(frames):
+        used: Counter[str] = Counter()
         for column in frame.schema.fields:
             if column.name == EID:
                 continue
             if column.name in homes:
                 raise ValueError(f"column {column.name} comes from two tables")
             type_ = column.dataType.simpleString()
-            used[type_] = used.get(type_, 0) + 1
-            slot = f"__{type_}_{used[type_]}"
-            slots[slot] = column.dataType
-            homes[column.name] = (slot, number)
-    return slots, homes
-
-
-def _only_value(slot: str, table: int, type_: T.DataType):
-    value = F.when(F.col("__table") == table, F.col(f"`{slot}`"))
-    if isinstance(type_, (T.ArrayType, T.StructType, T.MapType)):
-        return F.first(value, ignorenulls=True)
-    return F.max(value)
-
-
-def _row_count(table: int):
-    return F.count(F.when(F.col("__table") == table, 1))
+            used[type_] += 1
+            nested = isinstance(column.dataType, (T.ArrayType, T.StructType, T.MapType))
+            homes[column.name] = _Home(column.name, table, f"__{type_}_{used[type_]}", nested)
+    return list(homes.values())

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from traitweave.functions.naming import sql_literal, sql_name
 from traitweave.operators.specs import Phenotype
 
 
@@ -26,7 +27,8 @@ def level_labels(names: Sequence[str], compact: bool = False) -> Column:
     Names that are not true (false or null) leave one null at the place of the
     first of them, unless ``compact`` is set.
     """
-    labels = F.array_distinct(F.array(*[F.when(F.col(name), F.lit(name)) for name in names]))
+    true_names = ", ".join(f"CASE WHEN {sql_name(name)} THEN {sql_literal(name)} END" for name in names)
+    labels = F.expr(f"array_distinct(array({true_names}))")
     return F.array_compact(labels) if compact else labels
 
 

@@ -82,10 +82,12 @@ class RowScope(Scope):
         types: Mapping[str, T.DataType],
         step: Step,
         created: Container[str],
+        named: Callable[[str], Column] = F.col,
         plain_codes: Callable[[str], str] | None = None,
     ):
         super().__init__(types, step)
         self._known = created
+        self._named = named
         self._plain_codes = plain_codes
         self.reads: list[str] = []
 
@@ -99,7 +101,7 @@ class RowScope(Scope):
     def _source(self, name: str) -> Column:
         if name not in self.reads:
             self.reads.append(name)
-        return F.col(name)
+        return self._named(name)
 
     def _match(self, name: str, codes: list[int | str], element: T.DataType) -> Column:
         if self._plain_codes is None or not isinstance(element, T.StringType):

@@ -49,12 +49,21 @@ class Phenotype:
 
     With ``visits=n`` the spec is evaluated once per visit as ``<name>_0`` to
     ``<name>_<n-1>`` and ``<name>`` is true if it was true on any of them.
+
+    ``parts`` are intermediate results that are not output; rules and scorers
+    read them back with ``scope.column``. A rule over several tables is cheaper
+    in parts, one per table: then only the parts travel through the join, not
+    the answers. ``null_if_absent`` is a promise that everything the spec
+    computes is null for a participant all of whose answers are null, which
+    spares working that value out; the kinds below that need no promise ignore it.
     """
 
     name: str = field(kw_only=False)
     fields: Sequence[int] = ()
     children: Sequence[Phenotype] = ()
     visits: int | None = None
+    parts: Mapping[str, Rule] = field(default_factory=lambda: _NOTHING)
+    null_if_absent: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "fields", tuple(self.fields))
@@ -84,6 +93,15 @@ class Phenotype:
     def _visit_steps(self, visit: int | None, severity: bool) -> Iterator[Step]:
         raise NotImplementedError
 
+    def _part_names(self, visit: int | None) -> dict[str, str]:
+        return {part: f"__{on_visit(self.name, visit)}_{part}" for part in self.parts}
+
+    def _part_steps(self, visit: int | None, recodes: Mapping[int, Recode] = _NOTHING) -> Iterator[Step]:
+        for part, name in self._part_names(visit).items():
+            yield Step(
+                name, self.parts[part], visit, visible=False, null_if_absent=self.null_if_absent, recodes=recodes
+            )
+
 
 @dataclass(frozen=True, kw_only=True)
 class EqualsOne(Phenotype):
@@ -141,16 +159,13 @@ class AnyOf(Phenotype):
 class FlagRule(Phenotype):
     """A flag given by a function of the scope.
 
-    ``helpers`` become output columns of their own, created before the flag;
-    ``parts`` are intermediate results that are not output. The rule reads both
-    back with ``scope.column``. A rule over several tables is cheaper in parts,
-    one per table: then only the parts travel through the join, not the fields.
-    On repeated visits both carry the visit number like the flag itself.
+    ``helpers`` become output columns of their own, created before the flag; the
+    rule reads them with ``scope.column``. On repeated visits they carry the
+    visit number like the flag itself.
     """
 
     rule: Rule | None = None
     helpers: Mapping[str, Rule] = field(default_factory=lambda: _NOTHING)
-    parts: Mapping[str, Rule] = field(default_factory=lambda: _NOTHING)
 
     def _validate(self) -> None:
         if not callable(self.rule):
@@ -158,12 +173,16 @@ class FlagRule(Phenotype):
 
     def _visit_steps(self, visit, severity):
         helpers = {name: on_visit(name, visit) for name in self.helpers}
-        parts = {name: f"__{on_visit(self.name, visit)}_{name}" for name in self.parts}
         for name, build in self.helpers.items():
-            yield Step(helpers[name], build, visit)
-        for name, build in self.parts.items():
-            yield Step(parts[name], build, visit, visible=False)
-        yield Step(on_visit(self.name, visit), self.rule, visit, local_names={**helpers, **parts})
+            yield Step(helpers[name], build, visit, null_if_absent=self.null_if_absent)
+        yield from self._part_steps(visit)
+        yield Step(
+            on_visit(self.name, visit),
+            self.rule,
+            visit,
+            null_if_absent=self.null_if_absent,
+            local_names={**helpers, **self._part_names(visit)},
+        )
 
 
 def sum_of_fields(spec: Score, scope: Scope) -> Column:
@@ -208,12 +227,14 @@ class Score(Phenotype):
         score_name = on_visit(self.score_name, visit)
         recodes = {f: self.recode for f in self.fields if f not in self.keep_raw} if self.recode else _NOTHING
         plain_sum = self.scorer is None and self.recode in (None, scores.replace_missing_code)
+        yield from self._part_steps(visit, recodes)
         yield Step(
             score_name,
             self.scorer or (lambda scope: sum_of_fields(self, scope)),
             visit,
-            null_if_absent=plain_sum,
+            null_if_absent=self.null_if_absent or plain_sum,
             recodes=recodes,
+            local_names=self._part_names(visit),
         )
         if severity and self.labels is not None:
             yield Step(
@@ -226,5 +247,5 @@ class Score(Phenotype):
             on_visit(self.name, visit),
             lambda scope: self.to_flag(scope.column(score_name), self.levels),
             visit,
-            null_if_absent=self.to_flag is Score.to_flag,
+            null_if_absent=self.null_if_absent or self.to_flag is Score.to_flag,
         )

@@ -84,7 +84,10 @@ anxiety = AnyOf(
 
 # --- depression
 lifetime_depression = FlagRule(
-    "lifetime_depression", fields=rules.LIFETIME_DEPRESSION_FIELDS, rule=rules.lifetime_depression
+    "lifetime_depression",
+    fields=rules.LIFETIME_DEPRESSION_FIELDS,
+    rule=rules.lifetime_depression,
+    null_if_absent=True,
 )
 probable_depression = Score(
     "probable_depression",
@@ -130,6 +133,7 @@ probable_bipolar = Score(
     keep_raw=[6156],
     scorer=rules.probable_bipolar_score,
     to_flag=at_least_level(0),
+    null_if_absent=True,
 )
 life_time_bipolar = Score(
     "life_time_bipolar",
@@ -138,8 +142,14 @@ life_time_bipolar = Score(
     levels=[1, 2],
     labels=["No Life Time Bipolar", "Life Time Bipolar II", "Life Time Bipolar I"],
     keep_raw=[20548],
+    parts={
+        "mania": rules.mania_answered,
+        "symptoms": rules.several_mania_symptoms,
+        "problems": rules.mania_caused_problems,
+    },
     scorer=rules.life_time_bipolar_score,
     to_flag=at_least_level(0),
+    null_if_absent=True,
 )
 bipolar = AnyOf("bipolar", children=[life_time_bipolar, probable_bipolar])
 
@@ -152,7 +162,13 @@ ptsd = AnyOf("ptsd", children=[icd10("ptsd", ["F431"]), interview("ptsd", [1469]
 self_harm = AnyOf(
     "self_harm",
     children=[
-        FlagRule("questionnaire_self_harm", fields=rules.SELF_HARM_FIELDS, rule=rules.questionnaire_self_harm),
+        FlagRule(
+            "questionnaire_self_harm",
+            fields=rules.SELF_HARM_FIELDS,
+            parts={"answered": rules.self_harm_answered, "acts_named": rules.self_harm_acts_named},
+            rule=rules.questionnaire_self_harm,
+            null_if_absent=True,
+        ),
         icd9("self_harm", [f"E{n}" for n in range(950, 960)]),
         icd10("self_harm", [*(f"X{n}" for n in range(60, 85)), "Z915", "Y1", "Y2", "Y3"]),
         interview("self_harm", [1290]),
@@ -169,6 +185,7 @@ questionnaire_substance_abuse_non_alcoholic = FlagRule(
         "addiction_answered": rules.substance_addiction_answered,
     },
     rule=rules.substance_use,
+    null_if_absent=True,
 )
 substance_abuse_non_alcoholic = AnyOf(
     "substance_abuse_non_alcoholic",
@@ -185,7 +202,9 @@ substance_abuse_non_alcoholic = AnyOf(
 )
 
 # --- alcohol abuse
-audit_score = Score("audit_score", fields=rules.AUDIT_FIELDS, levels=[15], scorer=rules.audit_score)
+audit_score = Score(
+    "audit_score", fields=rules.AUDIT_FIELDS, levels=[15], scorer=rules.audit_score, null_if_absent=True
+)
 alcohol_abuse = AnyOf(
     "alcohol_abuse",
     children=[
@@ -202,7 +221,12 @@ insomnia = AnyOf(
     "insomnia",
     children=[
         interview("insomnia", [1616]),
-        FlagRule("touch_screen_insomnia", fields=[rules.INSOMNIA_FIELD], rule=rules.touch_screen_insomnia),
+        FlagRule(
+            "touch_screen_insomnia",
+            fields=[rules.INSOMNIA_FIELD],
+            rule=rules.touch_screen_insomnia,
+            null_if_absent=True,
+        ),
     ],
 )
 

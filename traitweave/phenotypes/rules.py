@@ -92,15 +92,23 @@ def probable_bipolar_score(scope: Scope) -> Column:
 LIFE_TIME_BIPOLAR_FIELDS = [20501, 20502, 20548, 20492, 20493]
 
 
+def mania_answered(scope: Scope) -> Column:
+    """Mania or irritability, for a while of the longest kind."""
+    return (_yes(scope, 20501) | _yes(scope, 20502)) & (scope.field(20492) == 3)
+
+
+def several_mania_symptoms(scope: Scope) -> Column:
+    return has_at_least(scope.field(20548), 4)
+
+
+def mania_caused_problems(scope: Scope) -> Column:
+    return scope.field(20493) == 12
+
+
 def life_time_bipolar_score(scope: Scope) -> Column:
     """Like the score above from the online answers, for participants with the depression flag."""
-    type_two = (
-        scope.column("depression")
-        & (_yes(scope, 20501) | _yes(scope, 20502))
-        & has_at_least(scope.field(20548), 4)
-        & (scope.field(20492) == 3)
-    )
-    return _as_number(_met(type_two)) + _as_number(scope.field(20493) == 12)
+    type_two = scope.column("depression") & scope.column("mania") & scope.column("symptoms")
+    return _as_number(_met(type_two)) + _as_number(scope.column("problems"))
 
 
 SUBSTANCE_FIELDS = [20453, 20454, 20002, 20456, 20503]
@@ -140,13 +148,16 @@ SELF_HARM_FIELDS = [20480, 20483, 20479, 20554]
 SELF_HARM_ACTS = [1, 3, 4, 5, 6]
 
 
+def self_harm_answered(scope: Scope) -> Column:
+    return _yes(scope, 20480) | _yes(scope, 20479) | _yes(scope, 20483)
+
+
+def self_harm_acts_named(scope: Scope) -> Column:
+    return scope.any_code(20554, SELF_HARM_ACTS)
+
+
 def questionnaire_self_harm(scope: Scope) -> Column:
-    return (
-        _yes(scope, 20480)
-        | _yes(scope, 20479)
-        | scope.any_code(20554, SELF_HARM_ACTS)
-        | _yes(scope, 20483)
-    )
+    return scope.column("answered") | scope.column("acts_named")
 
 
 AUDIT_FIELDS = [20414, 20403, 20416, 20413, 20407, 20412, 20409, 20408, 20411, 20405]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +70,7 @@ def plan_columns(
 ) -> list[Planned]:
     """The columns the specs create on a row with the given source columns, in creation order."""
     planned: dict[str, Planned] = {}
+    named = cache(F.col)
 
     def absent(name: str) -> Column:
         return planned[name].absent()
@@ -89,7 +91,7 @@ def plan_columns(
     def add(step: Step) -> None:
         if step.name in planned:
             raise ValueError(f"two phenotypes create a column named {step.name}")
-        scope = RowScope(types, step, planned, plain_codes if normalize_codes else None)
+        scope = RowScope(types, step, planned, named, plain_codes if normalize_codes else None)
         column = step.build(scope)
         planned[step.name] = Planned(
             step.name,
@@ -97,7 +99,7 @@ def plan_columns(
             tuple(scope.reads),
             step.visible,
             step.null_if_absent and all(planned[r].null_if_absent for r in scope.reads if r in planned),
-            absent=lambda: step.build(AbsentScope(types, step, absent)),
+            absent=cache(lambda: step.build(AbsentScope(types, step, absent))),
         )
 
     for spec in walk(specs, skip):

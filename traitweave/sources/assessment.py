@@ -62,78 +62,72 @@ def assessment_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def touch_screen(orders: DataFrame) -> DataFrame:
     """Answers per visit; one row per customer."""
 
-    def price(divisor: int) -> Column:
-        return F.floor(F.col("o_totalprice") / divisor).cast("bigint")
-
-    def sometimes_missing(divisor: int, answer: Column) -> Column:
-        return F.when(price(divisor) % 9 == 0, MISSING_CODE).otherwise(answer)
-
-    answers: dict[int, Column] = {
-        4598: price(1) % 2,
-        4609: price(7) % 2,
-        4620: price(3) % 4,
-        4631: price(11) % 2,
-        2090: price(13) % 2,
-        2100: price(17) % 2,
-        5375: price(5) % 5,
-        5386: price(19) % 4,
-        4642: sometimes_missing(1, price(1) % 2),
-        4653: price(23) % 2,
-        5663: 11 + price(29) % 3,
-        5674: sometimes_missing(31, 11 + price(31) % 2),
+    def price(divisor: int) -> str:
+        return f"CAST(floor(o_totalprice / {divisor}) AS BIGINT)"
+
+    def sometimes_missing(divisor: int, answer: str) -> str:
+        return f"CASE WHEN {price(divisor)} % 9 = 0 THEN {MISSING_CODE} ELSE {answer} END"
+
+    answers = {
+        4598: f"{price(1)} % 2",
+        4609: f"{price(7)} % 2",
+        4620: f"{price(3)} % 4",
+        4631: f"{price(11)} % 2",
+        2090: f"{price(13)} % 2",
+        2100: f"{price(17)} % 2",
+        5375: f"{price(5)} % 5",
+        5386: f"{price(19)} % 4",
+        4642: sometimes_missing(1, f"{price(1)} % 2"),
+        4653: f"{price(23)} % 2",
+        5663: f"11 + {price(29)} % 3",
+        5674: sometimes_missing(31, f"11 + {price(31)} % 2"),
     }
-
-    def on(visit: int) -> Column:
-        return F.col("o_orderkey") % 4 == visit
-
-    def element_is(element: int) -> Column:
-        return F.floor(F.col("o_orderkey") / 4).cast("bigint") % 4 == element
-
+    on_visit = "o_orderkey % 4 = {}"
+    is_element = "CAST(floor(o_orderkey / 4) AS BIGINT) % 4 = {}"
     return (
-        orders.filter(F.col("o_custkey") % 10 != 3)
+        orders.filter("o_custkey % 10 <> 3")
         .groupBy(F.col("o_custkey").alias(EID))
         .agg(
             *[
-                F.max(F.when(on(visit), answer)).alias(field_column(number, visit))
+                _latest(on_visit.format(visit), answer, field_column(number, visit))
                 for number, answer in answers.items()
                 for visit in VISITS
             ],
             *[
-                F.max(F.when(on(visit) & element_is(element), 10 + price(1) % 5)).alias(
-                    field_column(6156, visit, element)
+                _latest(
+                    f"{on_visit.format(visit)} AND {is_element.format(element)}",
+                    f"10 + {price(1)} % 5",
+                    field_column(6156, visit, element),
                 )
                 for visit in VISITS
                 for element in MULTI_ANSWER_ELEMENTS
             ],
-            F.max(price(37) % 4).alias("p1200"),
-            F.max(price(41) % 13).alias("p20127"),
+            F.expr(f"max({price(37)} % 4) AS p1200"),
+            F.expr(f"max({price(41)} % 13) AS p20127"),
         )
     )
 
 
+def _latest(condition: str, answer: str, column: str) -> Column:
+    return F.expr(f"max(CASE WHEN {condition} THEN {answer} END) AS {column}")
+
+
 def interview(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Illness codes told on each visit; one row per customer.
 
     Lines are folded per order before the join, on the side of the scan, so an
     order with very many lines reaches the join as one row.
     """
-
-    def told(element: int) -> str:
-        return f"told_{element}"
-
     per_order = lineitem.groupBy("l_orderkey").agg(
-        *[
-            F.max(F.when(F.col("l_linenumber") == m + 1, 1270 + F.col("l_partkey") % 400)).alias(told(m))
-            for m in INTERVIEW_ELEMENTS
-        ]
+        *[_latest(f"l_linenumber = {m + 1}", "1270 + l_partkey % 400", f"told_{m}") for m in INTERVIEW_ELEMENTS]
     )
-    finished = orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
+    finished = orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
     return (
         per_order.join(finished, per_order.l_orderkey == finished.o_orderkey)
         .groupBy(F.col("o_custkey").alias(EID))
         .agg(
             *[
-                F.max(F.when(F.col("o_orderkey") % 4 == visit, F.col(told(m)))).alias(field_column(20002, visit, m))
+                _latest(f"o_orderkey % 4 = {visit}", f"told_{m}", field_column(20002, visit, m))
                 for visit in VISITS
                 for m in INTERVIEW_ELEMENTS
             ]
@@ -148,18 +142,16 @@ def hospital(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     repeated diagnoses of an order are dropped before the join.
     """
     diagnoses = (
-        lineitem.filter(F.col("l_returnflag") == "R")
-        .select(
-            "l_orderkey", (F.col("l_partkey") % 500).alias("icd10"), (3000 + F.col("l_suppkey") % 100).alias("icd9")
-        )
+        lineitem.filter("l_returnflag = 'R'")
+        .selectExpr("l_orderkey", "l_partkey % 500 AS icd10", "3000 + l_suppkey % 100 AS icd9")
         .distinct()
     )
     return (
         diagnoses.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias(EID))
         .agg(
-            F.collect_set(F.concat(F.lit("F"), F.col("icd10").cast("string"))).alias("p41270"),
-            F.collect_set(F.col("icd9").cast("string")).alias("p41271"),
+            F.expr("collect_set(concat('F', CAST(icd10 AS STRING))) AS p41270"),
+            F.expr("collect_set(CAST(icd9 AS STRING)) AS p41271"),
         )
     )
 
@@ -169,29 +161,24 @@ def online(events: DataFrame) -> DataFrame:
     columns = []
     for fields, lowest, answers, missing in ONLINE_ITEMS:
         for field in fields:
-            columns.append(_latest_answer(field, len(columns), lowest, answers, missing))
+            position = len(columns)
+            answer = f"{lowest} + (CAST(floor(value * 10) AS BIGINT) + {position}) % {answers}"
+            if missing:
+                answer = f"CASE WHEN event_id % 11 = 0 THEN {MISSING_CODE} ELSE {answer} END"
+            asked = f"(event_id + {position}) % 30 = 0"
+            columns.append(F.expr(f"max_by({answer}, event_id) FILTER (WHERE {asked}) AS {field_column(field)}"))
     return events.groupBy(F.col("user_id").alias(EID)).agg(*columns)
 
 
-def _latest_answer(field: int, position: int, lowest: int, answers: int, missing: bool) -> Column:
-    event = F.col("event_id")
-    answer = lowest + (F.floor(F.col("value") * 10).cast("bigint") + position) % answers
-    if missing:
-        answer = F.when(event % 11 == 0, MISSING_CODE).otherwise(answer)
-    asked = (event + position) % 30 == 0
-    return F.max_by(F.when(asked, answer), F.when(asked, event)).alias(field_column(field))
-
-
 def online_multiple_choice(events: DataFrame) -> DataFrame:
     """Multiple-choice answers; one row per user. At most 23 distinct answers each."""
-
-    def ticked(choices: int) -> Column:
-        return F.collect_set(F.col("event_id") % choices)
-
     return (
-        events.filter((F.col("event_type") == "signup") & (F.col("event_id") % 3 == 0))
+        events.filter("event_type = 'signup' AND event_id % 3 = 0")
         .groupBy(F.col("user_id").alias(EID))
-        .agg(ticked(23).alias("p20544"), ticked(9).alias("p20554"), ticked(8).alias("p20548"))
+        .agg(
+            *[
+                F.expr(f"collect_set(event_id % {choices}) AS {column}")
+                for column, choices in (("p20544", 23), ("p20554", 9), ("p20548", 8))
+            ]
+        )
     )
-
-
