@@ -4,6 +4,7 @@ Two ways to the same rows:
 
 ``outer_join`` makes no assumption about the id: ids that occur several times
 in a table multiply rows, and rows without an id match nothing and are kept.
+Neither kind may pile up in one task.
 
 ``stack_join`` needs ids that are present and unique within each table, fails
 if they are not, and moves the rows of all tables through a single shuffle.
@@ -14,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,34 +26,114 @@ from traitweave.functions.naming import EID, sql_name
 JOIN_MODES = ("outer", "stack")
 
 
-def join_tables(frames: Sequence[DataFrame], mode: str = "outer") -> DataFrame:
+#: An id with more rows than this in one table is joined in fragments.
+HOT_ROWS = 1_000_000
+
+
+def join_tables(frames: Sequence[DataFrame], mode: str = "outer", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     if mode not in JOIN_MODES:
         raise ValueError(f"join_mode must be one of {', '.join(JOIN_MODES)}, not {mode!r}")
     if len(frames) == 1:
         return frames[0]
-    return outer_join(frames) if mode == "outer" else stack_join(frames)
+    return outer_join(frames, hot_rows) if mode == "outer" else stack_join(frames)
 
 
-def outer_join(frames: Sequence[DataFrame]) -> DataFrame:
+def outer_join(frames: Sequence[DataFrame], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Full outer equi-join of any number of tables.
 
-    The joins are paired up as a balanced tree. Spark cannot rely on the
-    partitioning of a full outer join's output, so each level shuffles its
-    inputs again: in a tree every table is shuffled log(n) times, in a chain up
-    to n times. Rows without an id never match, so they go around the joins
-    instead of all meeting in the one partition null keys hash to.
+    Rows without an id never match, so they go around the joins instead of all
+    meeting in the one partition null keys hash to. Ids with very many rows are
+    joined apart from the others, in fragments; ``hot_rows=None`` spares the
+    look for them where ids are known to be unique.
     """
     matched = [f.filter(F.col(EID).isNotNull()) for f in frames]
-    while len(matched) > 1:
-        pairs = [matched[i : i + 2] for i in range(0, len(matched), 2)]
-        matched = [p[0].join(p[1], EID, "outer") if len(p) == 2 else p[0] for p in pairs]
-    result = matched[0]
+    if hot_rows is None:
+        result = _join_in_pairs(matched)
+    else:
+        hot = hot_ids(matched, hot_rows)
+        result = _join_in_pairs([f.join(F.broadcast(hot), EID, "left_anti") for f in matched])
+        result = result.unionByName(_join_in_fragments(matched, hot, hot_rows))
     for f in frames:
         if f.schema[EID].nullable:
             result = result.unionByName(f.filter(F.col(EID).isNull()), allowMissingColumns=True)
     return result
 
 
+def _join_in_pairs(frames: Sequence[DataFrame]) -> DataFrame:
+    """Full outer joins as a balanced tree.
+
+    Spark cannot rely on the partitioning of a full outer join's output, so each
+    level shuffles its inputs again: in a tree every table is shuffled log(n)
+    times, in a chain up to n times.
+    """
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].join(p[1], EID, "outer") if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
+
+
+def hot_ids(frames: Sequence[DataFrame], hot_rows: int) -> DataFrame:
+    """Ids with more than ``hot_rows`` rows in one of the tables, and their rows in each of them.
+
+    Counted on the map side first, so a frequent id reaches the shuffle as one
+    row per task. There are at most (rows of all tables / hot_rows) such ids,
+    which bounds what is broadcast.
+    """
+    ids = [f.selectExpr(EID, f"{k} AS __table") for k, f in enumerate(frames)]
+    counted = (
+        reduce(DataFrame.union, ids)
+        .groupBy(EID)
+        .agg(*[F.expr(f"count_if(__table = {k}) AS {_rows_in(k)}") for k in range(len(frames))])
+    )
+    return counted.filter(F.greatest(*[_rows_in(k) for k in range(len(frames))]) > hot_rows)
+
+
+def _join_in_fragments(frames: Sequence[DataFrame], hot: DataFrame, hot_rows: int) -> DataFrame:
+    """Full outer join of the rows of hot ids only.
+
+    Per id, both sides of a join are cut into fragments of about ``hot_rows``
+    rows, each row into one, and every fragment of one side is sent to every
+    fragment of the other, so that each pair of rows meets exactly once and no
+    task gets more than one fragment of each. A side with few rows is one
+    fragment, and then the other side is not copied at all.
+    """
+    # the row number only says which fragment a row goes to; it is the same when a lost task runs again
+    parts = [f.join(F.broadcast(hot), EID).withColumn("__row", F.monotonically_increasing_id()) for f in frames]
+    joined = parts[0]
+    for k, part in enumerate(parts[1:], start=1):
+        rows_before = " * ".join(f"greatest({_rows_in(j)}, 1D)" for j in range(k))
+        left_fragments = f"CAST(ceil({rows_before} / {hot_rows}) AS BIGINT)"
+        right_fragments = f"CAST(ceil(greatest({_rows_in(k)}, 1D) / {hot_rows}) AS BIGINT)"
+        left = joined.withColumns(
+            {
+                "__left": F.expr(f"pmod(xxhash64(__row), {left_fragments})"),
+                "__right": F.expr(f"explode(sequence(0L, {right_fragments} - 1))"),
+            }
+        )
+        right = part.selectExpr(
+            *[sql_name(c) for c in frames[k].columns],
+            "__row AS __row_right",
+            f"explode(sequence(0L, {left_fragments} - 1)) AS __left",
+            f"pmod(xxhash64(__row), {right_fragments}) AS __right",
+            "true AS __met",
+        )
+        # a fragment may turn out empty, which leaves copies without a partner; only a row whose id
+        # the other table lacks stays alone, and it has a single copy
+        both = (
+            left.join(right, [EID, "__left", "__right"], "left")
+            .filter(f"__met OR {_rows_in(k)} = 0")
+            .withColumn("__row", F.expr("xxhash64(__row, __row_right)"))
+            .drop("__left", "__right", "__row_right", "__met")
+        )
+        only_right = part.filter(" AND ".join(f"{_rows_in(j)} = 0" for j in range(k)))
+        joined = both.unionByName(only_right, allowMissingColumns=True)
+    return joined.drop("__row", *[_rows_in(k) for k in range(len(frames))])
+
+
+def _rows_in(table: int) -> str:
+    return f"__rows_{table}"
+
+
 def stack_join(frames: Sequence[DataFrame]) -> DataFrame:
     """Full outer join by stacking the tables and folding the rows of each id into one.
 
@@ -69,19 +151,16 @@ def stack_join(frames: Sequence[DataFrame]) -> DataFrame:
         )
         for number, frame in enumerate(frames)
     ]
-    stacked = rows[0]
-    for more in rows[1:]:
-        stacked = stacked.unionByName(more, allowMissingColumns=True)
-
+    stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), rows)
     folded = (
         stacked.repartition(EID)
         .groupBy(EID)
         .agg(
             *[F.expr(h.only_value()) for h in homes],
-            *[F.expr(f"count_if(__table = {table}) AS __rows_{table}") for table in range(len(frames))],
+            *[F.expr(f"count_if(__table = {table}) AS {_rows_in(table)}") for table in range(len(frames))],
         )
     )
-    most = F.greatest(*[f"__rows_{table}" for table in range(len(frames))])
+    most = F.greatest(*[_rows_in(table) for table in range(len(frames))])
     sound = F.col(EID).isNotNull() & (most <= 1)
     message = "stacking tables needs ids that are present and unique in each table; use join_mode='outer'"
     return folded.filter(F.assert_true(sound, F.lit(message)).isNull()).select(EID, *[h.column for h in homes])

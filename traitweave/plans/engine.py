@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from traitweave.functions.arrays import merge_visits_over_tables
 from traitweave.functions.naming import EID
-from traitweave.operators.joins import join_tables
+from traitweave.operators.joins import HOT_ROWS, join_tables
 from traitweave.operators.levels import level_column, level_labels, levels
 from traitweave.operators.specs import Phenotype
 from traitweave.plans.columns import Planned, create, plan_columns, source_fields
@@ -46,20 +46,25 @@ class CohortEngine:
         """Pruned scans of the tables that hold the fields."""
         return scan_fields(self._tables, self.catalogue, set(fields))
 
-    def get_table(self, *fields: int, join_mode: str = "outer") -> DataFrame:
+    def get_table(
+        self, *fields: int, join_mode: str = "outer", hot_rows: int | None = HOT_ROWS
+    ) -> DataFrame:
         """All columns of the fields and the arrays packed from them, one row per participant."""
         scan = self.scan(*fields)
-        return _merge_arrays(join_tables(list(scan.frames.values()), join_mode), scan)
+        return _merge_arrays(join_tables(list(scan.frames.values()), join_mode, hot_rows), scan)
 
-    def get_source_table(self, *specs: Phenotype, join_mode: str = "outer") -> DataFrame:
+    def get_source_table(
+        self, *specs: Phenotype, join_mode: str = "outer", hot_rows: int | None = HOT_ROWS
+    ) -> DataFrame:
         """``get_table`` of every field the specs and the phenotypes below them read."""
-        return self.get_table(*source_fields(specs), join_mode=join_mode)
+        return self.get_table(*source_fields(specs), join_mode=join_mode, hot_rows=hot_rows)
 
     def query(
         self,
         *specs: Phenotype,
         return_only_created_columns: bool = True,
         join_mode: str = "outer",
+        hot_rows: int | None = HOT_ROWS,
         severity: bool = False,
         compact_levels: bool = False,
         normalize_codes: bool = False,
@@ -69,6 +74,9 @@ class CohortEngine:
         Columns that only depend on one table are computed where that table is
         scanned, so that flags and scores travel through the join in place of
         the code arrays and answers they come from.
+
+        ``join_mode='outer'`` takes any ids; ``'stack'`` is the faster way for
+        ids that are unique in every table, and fails if they are not.
         """
         if not specs:
             raise ValueError("no phenotype is requested")
@@ -78,10 +86,9 @@ class CohortEngine:
         )
         early, late = _split_by_table(planned, scan)
 
-        if return_only_created_columns:
-            wanted = {p.name for p in planned if p.visible} | {r for p in late for r in p.reads}
-        else:
-            wanted = {p.name for p in planned if p.visible} | {r for p in late for r in p.reads} | set(scan.home)
+        wanted = {p.name for p in planned if p.visible} | {r for p in late for r in p.reads}
+        if not return_only_created_columns:
+            wanted |= set(scan.home)
         frames, filled = [], []
         for table, frame in scan.frames.items():
             columns = early.get(table, [])
@@ -95,13 +102,13 @@ class CohortEngine:
                 filled += [(p, _marker(table)) for p in defaulted]
             frames.append(frame.select(EID, *kept))
 
-        df = join_tables(frames, join_mode)
+        df = join_tables(frames, join_mode, hot_rows)
         if filled:
             df = df.withColumns({p.name: F.when(F.col(m), F.col(p.name)).otherwise(p.absent()) for p, m in filled})
         df = create(df, late)
 
         tree = levels(specs)
-        created = [p.name for p in planned if p.visible and p.name not in scan.merges]
+        created = [p.name for p in planned if p.visible]
         sources = [] if return_only_created_columns else [*scan.home, *scan.merges]
         return df.select(
             EID,
