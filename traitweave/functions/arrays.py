@@ -13,7 +13,7 @@ from traitweave.functions.naming import sql_literal
 
 def pack_cells(columns: Iterable[str | Column]) -> Column:
     """Distinct non-null elements in first-seen order; all-null cells give an empty array."""
-    return F.array_distinct(F.array_compact(F.array(*columns)))
+    return F.array_except(F.array(*columns), F.expr("array(NULL)"))
 
 
 def merge_visits(columns: Sequence[str]) -> Column:

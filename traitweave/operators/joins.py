@@ -14,12 +14,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from traitweave.functions.naming import EID, sql_name
 
@@ -31,11 +29,27 @@ HOT_ROWS = 1_000_000
 
 
 def join_tables(frames: Sequence[DataFrame], mode: str = "outer", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Full outer join of the tables; a single table is taken as it is.
+
+    Each table's columns travel as one struct and are taken apart afterwards, so
+    that shuffles, sorts and joins handle one value per table, whatever its width.
+    """
     if mode not in JOIN_MODES:
         raise ValueError(f"join_mode must be one of {', '.join(JOIN_MODES)}, not {mode!r}")
     if len(frames) == 1:
         return frames[0]
-    return outer_join(frames, hot_rows) if mode == "outer" else stack_join(frames)
+    columns = [[c for c in frame.columns if c != EID] for frame in frames]
+    repeated = [c for c, n in Counter(c for names in columns for c in names).items() if n > 1]
+    if repeated:
+        raise ValueError(f"column {repeated[0]} comes from two tables")
+    packed = [
+        frame.select(EID, F.struct(F.lit(k).alias("__table"), *columns[k]).alias(f"__row_{k}"))
+        for k, frame in enumerate(frames)
+    ]
+    joined = outer_join(packed, hot_rows) if mode == "outer" else stack_join(packed)
+    return joined.selectExpr(
+        EID, *[f"__row_{k}.{sql_name(c)} AS {sql_name(c)}" for k, names in enumerate(columns) for c in names]
+    )
 
 
 def outer_join(frames: Sequence[DataFrame], hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -137,61 +151,23 @@ def _rows_in(table: int) -> str:
 def stack_join(frames: Sequence[DataFrame]) -> DataFrame:
     """Full outer join by stacking the tables and folding the rows of each id into one.
 
-    A stacked row carries the number of its table and that table's columns
-    only: columns of the same type share a slot, so the shuffle moves no
-    padding. Rows are brought together by id before they are aggregated, since
-    ids are unique within a table and a map-side aggregation would combine
-    nothing. An id that is missing, or that occurs twice in one table, fails the
-    query rather than losing rows.
+    Rows are brought together by id before they are aggregated, since ids are
+    unique within a table and a map-side aggregation would combine nothing. An
+    id that is missing, or that occurs twice in one table, fails the query
+    rather than losing rows.
     """
-    homes = _assign_slots(frames)
-    rows = [
-        frame.selectExpr(
-            EID, f"{number} AS __table", *[f"{sql_name(h.column)} AS {sql_name(h.slot)}" for h in homes if h.table == number]
-        )
-        for number, frame in enumerate(frames)
-    ]
+    tables = range(len(frames))
+    columns = [[c for c in frame.columns if c != EID] for frame in frames]
+    rows = [frame.withColumn("__table", F.lit(k)) for k, frame in enumerate(frames)]
     stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), rows)
     folded = (
         stacked.repartition(EID)
         .groupBy(EID)
         .agg(
-            *[F.expr(h.only_value()) for h in homes],
-            *[F.expr(f"count_if(__table = {table}) AS {_rows_in(table)}") for table in range(len(frames))],
+            *[F.first(c, ignorenulls=True).alias(c) for names in columns for c in names],
+            *[F.expr(f"count_if(__table = {k}) AS {_rows_in(k)}") for k in tables],
         )
     )
-    most = F.greatest(*[_rows_in(table) for table in range(len(frames))])
-    sound = F.col(EID).isNotNull() & (most <= 1)
+    sound = F.col(EID).isNotNull() & (F.greatest(*[_rows_in(k) for k in tables]) <= 1)
     message = "stacking tables needs ids that are present and unique in each table; use join_mode='outer'"
-    return folded.filter(F.assert_true(sound, F.lit(message)).isNull()).select(EID, *[h.column for h in homes])
-
-
-@dataclass(frozen=True)
-class _Home:
-    """Where a column sits in the stacked rows."""
-
-    column: str
-    table: int
-    slot: str
-    nested: bool
-
-    def only_value(self) -> str:
-        value = f"CASE WHEN __table = {self.table} THEN {sql_name(self.slot)} END"
-        # arrays cannot be kept in a hash aggregate's buffer, and comparing them costs more than taking one
-        return f"{f'first({value}, true)' if self.nested else f'max({value})'} AS {sql_name(self.column)}"
-
-
-def _assign_slots(frames: Sequence[DataFrame]) -> list[_Home]:
-    homes: dict[str, _Home] = {}
-    for table, frame in enumerate(frames):
-        used: Counter[str] = Counter()
-        for column in frame.schema.fields:
-            if column.name == EID:
-                continue
-            if column.name in homes:
-                raise ValueError(f"column {column.name} comes from two tables")
-            type_ = column.dataType.simpleString()
-            used[type_] += 1
-            nested = isinstance(column.dataType, (T.ArrayType, T.StructType, T.MapType))
-            homes[column.name] = _Home(column.name, table, f"__{type_}_{used[type_]}", nested)
-    return list(homes.values())
+    return folded.filter(F.assert_true(sound, F.lit(message)).isNull()).drop(*[_rows_in(k) for k in tables])

@@ -6,9 +6,9 @@ from pyspark.sql import SparkSession
 
 #: Settings that can be changed on a running session.
 RECOMMENDED_SETTINGS = {
-    # Wide results would otherwise lose whole-stage code generation: every task would generate
-    # and compile its own code for the hundred-odd columns instead of the driver doing it once.
-    "spark.sql.codegen.maxFields": "1000",
+    # The JVM does not compile methods over 8000 bytes of bytecode. Code generated for a hundred flags
+    # at once exceeds that and would be interpreted; under this limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
