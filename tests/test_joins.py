@@ -53,7 +53,9 @@ def test_hot_ids_are_few(spark):
 
 def test_fragments_spread_a_hot_id(spark):
     """An id with a third of all rows meets its partner in many tasks, without shuffling by id alone."""
-    many = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("eid"), F.lit("x").alias("c0"))
+    many = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("eid"), F.col("id").cast("string").alias("c0")
+    )
     few = spark.range(1000).select(F.col("id").alias("eid"), F.lit("y").alias("c1"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -68,6 +70,20 @@ def test_fragments_spread_a_hot_id(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_copies_of_one_row_are_all_kept(spark):
+    many = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("eid"), F.lit("x").alias("c0")
+    )
+    few = spark.createDataFrame([(0, "y"), (0, "y"), (0, "z"), (50_000, "w")], "eid bigint, c1 string")
+    counts = outer_join([many, few], hot_rows=500).groupBy("eid", "c0", "c1").count()
+    assert {tuple(r) for r in counts.filter("eid = 0 OR c0 IS NULL").collect()} == {
+        (0, "x", "y", 20_000),
+        (0, "x", "z", 10_000),
+        (50_000, None, "w", 1),
+    }
+    assert counts.filter("eid <> 0").count() == 20_001
+
+
 CLEAN = [
     [(1, "a"), (2, "a"), (3, None)],
     [(2, "b"), (4, "b")],

@@ -61,6 +61,8 @@ def outer_join(frames: Sequence[DataFrame], hot_rows: int | None = HOT_ROWS) ->
     look for them where ids are known to be unique.
     """
     matched = [f.filter(F.col(EID).isNotNull()) for f in frames]
+    if hot_rows is not None and hot_rows < 1:
+        raise ValueError("hot_rows must be at least 1")
     if hot_rows is None:
         result = _join_in_pairs(matched)
     else:
@@ -109,10 +111,10 @@ def _join_in_fragments(frames: Sequence[DataFrame], hot: DataFrame, hot_rows: in
     rows, each row into one, and every fragment of one side is sent to every
     fragment of the other, so that each pair of rows meets exactly once and no
     task gets more than one fragment of each. A side with few rows is one
-    fragment, and then the other side is not copied at all.
+    fragment, and then the other side is not copied at all. Equal rows go
+    through once, with their number.
     """
-    # the row number only says which fragment a row goes to; it is the same when a lost task runs again
-    parts = [f.join(F.broadcast(hot), EID).withColumn("__row", F.monotonically_increasing_id()) for f in frames]
+    parts = [_counted_rows(f.join(F.broadcast(hot), EID)) for f in frames]
     joined = parts[0]
     for k, part in enumerate(parts[1:], start=1):
         rows_before = " * ".join(f"greatest({_rows_in(j)}, 1D)" for j in range(k))
@@ -120,15 +122,16 @@ def _join_in_fragments(frames: Sequence[DataFrame], hot: DataFrame, hot_rows: in
         right_fragments = f"CAST(ceil(greatest({_rows_in(k)}, 1D) / {hot_rows}) AS BIGINT)"
         left = joined.withColumns(
             {
-                "__left": F.expr(f"pmod(xxhash64(__row), {left_fragments})"),
+                "__left": F.expr(f"pmod(__hash, {left_fragments})"),
                 "__right": F.expr(f"explode(sequence(0L, {right_fragments} - 1))"),
             }
         )
         right = part.selectExpr(
             *[sql_name(c) for c in frames[k].columns],
-            "__row AS __row_right",
+            "__hash AS __hash_right",
+            "__copies AS __copies_right",
             f"explode(sequence(0L, {left_fragments} - 1)) AS __left",
-            f"pmod(xxhash64(__row), {right_fragments}) AS __right",
+            f"pmod(__hash, {right_fragments}) AS __right",
             "true AS __met",
         )
         # a fragment may turn out empty, which leaves copies without a partner; only a row whose id
@@ -136,12 +139,33 @@ def _join_in_fragments(frames: Sequence[DataFrame], hot: DataFrame, hot_rows: in
         both = (
             left.join(right, [EID, "__left", "__right"], "left")
             .filter(f"__met OR {_rows_in(k)} = 0")
-            .withColumn("__row", F.expr("xxhash64(__row, __row_right)"))
-            .drop("__left", "__right", "__row_right", "__met")
+            .withColumns(
+                {
+                    "__hash": F.expr("xxhash64(__hash, __hash_right)"),
+                    "__copies": F.expr("__copies * coalesce(__copies_right, 1L)"),
+                }
+            )
+            .drop("__left", "__right", "__hash_right", "__copies_right", "__met")
         )
         only_right = part.filter(" AND ".join(f"{_rows_in(j)} = 0" for j in range(k)))
         joined = both.unionByName(only_right, allowMissingColumns=True)
-    return joined.drop("__row", *[_rows_in(k) for k in range(len(frames))])
+    return _repeated_rows(joined.drop("__hash", *[_rows_in(k) for k in range(len(frames))]))
+
+
+def _counted_rows(df: DataFrame) -> DataFrame:
+    """Every distinct row once, with the number of its copies and a hash.
+
+    The hash picks a row's fragment. It depends on the row alone, so a task that
+    runs again after a loss sends its rows where they went before.
+    """
+    return df.groupBy(*df.columns).agg(F.count("*").alias("__copies")).withColumn("__hash", F.xxhash64(*df.columns))
+
+
+def _repeated_rows(df: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """Every row as often as ``__copies`` says, the copies of one row spread over tasks in chunks."""
+    chunks = df.withColumn("__chunk", F.expr(f"explode(sequence(0L, (__copies - 1) div {chunk}))")).hint("rebalance")
+    copies = f"explode(sequence(1L, least({chunk}L, __copies - __chunk * {chunk}))) AS __copy"
+    return chunks.selectExpr("*", copies).drop("__copies", "__chunk", "__copy")
 
 
 def _rows_in(table: int) -> str:
