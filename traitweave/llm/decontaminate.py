@@ -1,9 +1,9 @@
 """Benchmark decontamination: words of documents that stand in a window of benchmark words.
 
 A benchmark item gives its windows of 13 consecutive words (one window of all words if it has fewer). The windows
-are a stated, bounded set: their hashes go to the scan as a hash set, in blocks of `block` windows, and each
-document row finds its own candidate positions without leaving the row. Candidates are then verified on the words
-themselves against the window texts. Only texts of hits are exploded and only light rows are shuffled.
+are a stated, bounded set: hashes of their first three words go to the scan as a hash set, in blocks of `block`
+windows, and each document row finds its own candidate positions without leaving the row. Candidates are then verified
+on all words against the window texts. Only texts of hits are exploded and only light rows are shuffled.
 """
 
 from __future__ import annotations
@@ -54,14 +54,14 @@ def find_hits(
     clean. The windows are collected in blocks; a benchmark of more than `max_windows` is refused, not cut.
     """
     windows = benchmark_windows(benchmark, item_col, item_text_col, window)
-    wanted = windows.select("n", "window", F.xxhash64("window").alias("hash")).limit(max_windows + 1)
-    texts = sorted((r["n"], r["window"], r["hash"]) for r in wanted.collect())
+    wanted = windows.select("n", "window", F.expr(_head("split(window, ' ')", "1", "n")).alias("head")).limit(max_windows + 1)
+    texts = sorted((r["n"], r["window"], r["head"]) for r in wanted.collect())
     if len(texts) > max_windows:
         raise ValueError(f"the benchmark has over {max_windows} windows: pass it in parts")
     rows = keyed(docs, id_col, text_col).select("id", "k1", "k2", words(F.col("text")).alias("w"))
     found = []
     for n in sorted({n for n, _, _ in texts}):
-        same = [(text, hashed) for m, text, hashed in texts if m == n]
+        same = [(text, head) for m, text, head in texts if m == n]
         for start in range(0, len(same), block):
             found.append(_positions(same[start : start + block], n))
     hits = F.flatten(F.array(*found)) if found else F.expr("cast(array() as array<struct<at:int,n:int>>)")
@@ -105,15 +105,20 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return docs.join(bad, key == F.col("_contaminated"), "left_anti")
 
 
+def _head(words: str, at: str, n: str) -> str:
+    """Hash of up to three words at `at`; words that the window does not have count as null."""
+    return f"xxhash64({words}[{at} - 1], if({n} > 1, {words}[{at}], null), if({n} > 2, {words}[{at} + 1], null))"
+
+
 def _positions(windows: list[tuple[str, int]], n: int) -> Column:
-    """Where one of the windows of n words stands in `w`: hashes first, then the words themselves.
+    """Where one of the windows of n words stands in `w`: by the hash of the first words, then by all words.
 
     Words hold no quotes, backslashes or control characters, as texts are split at all of them.
     """
-    hashes = ",".join(f"{hashed}L" for _, hashed in windows)
+    heads = ",".join(f"{head}L" for head in sorted({head for _, head in windows}))
     texts = ",".join(f"'{text}'" for text, _ in windows)
-    at = f"concat_ws(' ', slice(w, i, {n}))"
     return F.expr(
         f"""transform(filter(filter(if(size(w) >= {n}, sequence(1, size(w) - {n - 1}), cast(array() as array<int>)),
-        i -> xxhash64({at}) in ({hashes})), i -> {at} in ({texts})), i -> struct(i as at, {n} as n))"""
+        i -> {_head("w", "i", str(n))} in ({heads})), i -> concat_ws(' ', slice(w, i, {n})) in ({texts})),
+        i -> struct(i as at, {n} as n))"""
     )

@@ -35,7 +35,7 @@ with split as (
 ), hits as (
     select doc_id, i, s.n, item_id from starts s join windows using (t)
 ), counted as (
-    select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(range(i, i + n)) as at from hits) group by 1
+    select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(i, i + n)) as place from hits) group by 1
 ), named as (
     select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
     from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by 1

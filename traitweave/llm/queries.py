@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitweave.llm import decontaminate, exact_dedup, line_dedup, suffix_dedup
+from traitweave.llm import decontaminate, exact_dedup, labelled, language_id, line_dedup, quality, sentencepiece_codec, suffix_dedup
+
+#: A SentencePiece model file with byte fallback, read by the driver.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,5 +52,35 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = labelled.remainder(F.col("doc_id"), 3) == 1
+    model = language_id.train(docs.filter(~held_out))
+    found = language_id.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = labelled.remainder(F.col("doc_id"), 5) == 0
+    model = quality.train(docs, labels.filter(~held_out))
+    found = quality.score(docs, model).withColumnRenamed("id", "doc_id")
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_codec.Pieces.load(PIECES)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, pieces), pieces)
+    return back.select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.xxhash64("tokens").alias("tokens_xxhash64"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
