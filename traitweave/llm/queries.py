@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitweave.llm import decontaminate, exact_dedup, labelled, language_id, line_dedup, quality, sentencepiece_codec, suffix_dedup
+from traitweave.llm import decontaminate, exact_dedup, html_text, labelled, language_id, line_dedup, near_dedup
+from traitweave.llm import quality, secrets_scan, sentencepiece_codec, suffix_dedup
 
 #: A SentencePiece model file with byte fallback, read by the driver.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -60,6 +61,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(_table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held_out = labelled.remainder(F.col("doc_id"), 5) == 0
@@ -82,5 +88,21 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secrets_scan.scan(docs, secrets_scan.train(docs))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_candidates",
+        F.size("secrets").cast("long").alias("n_secrets"),
+        F.transform("secrets", lambda s: s["start"]).alias("starts"),
+        F.sha2("redacted", 256).alias("redacted_sha256"),
+    )
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
