@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitweave.llm.common import Rolling, cut, flat, keyed, mix, slices
@@ -43,9 +43,36 @@ def dedup_lines(
     document and get the same result; a null id is smaller than all others. Other columns are not read.
     """
     rows = keyed(docs, id_col, text_col)
+    drop = _dropped_lines(rows, min_chars, min_docs, filter_bits)
+    return rows.join(drop, ["k1", "k2"], "left").select(
+        "id",
+        _without(F.col("text")).alias("text"),
+        F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
+    )
+
+
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """`docs`, all rows and columns, with the texts that `dedup_lines` gives; null text stays null."""
+    drop = _dropped_lines(keyed(docs, id_col, text_col), **options)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(id_col).alias("k1"), F.xxhash64(text).alias("k2"))
+    rows = rows.join(drop, ["k1", "k2"], "left")
+    return rows.select(
+        *(_without(F.col("row")[c]).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns)
+    )
+
+
+def _without(text: Column) -> Column:
+    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("drop", i))
+    return F.when(F.col("drop").isNull(), text).otherwise(F.array_join(left, "\n"))
+
+
+def _dropped_lines(rows: DataFrame, min_chars: int = 20, min_docs: int = 3, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Numbers of the lines to drop by row key."""
     if filter_bits & (filter_bits - 1) or not PARTS * 8 <= filter_bits <= 1 << 32:
         raise ValueError("filter_bits must be a power of two, from 512 to 2^32")
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     hashes = rows.select("text").mapInArrow(_line_hashes(min_chars), "hash long, part int")
     parts = hashes.repartition(PARTS, "part").mapInArrow(_twice_seen(filter_bits // PARTS), "part int, bits binary")
     seen = np.zeros((PARTS, filter_bits // PARTS // 8), np.uint8)
@@ -57,10 +84,7 @@ def dedup_lines(
     suspects = cut(rows.mapInArrow(_suspects(shared, min_chars), f"id {kind}, k1 long, k2 long, key binary, lines array<int>"))
     counted = suspects.groupBy("key").agg(F.count_distinct("k1", "k2").alias("n_docs"), F.max("id").alias("keeper"))
     drop = suspects.join(counted.filter(F.col("n_docs") >= min_docs), "key").filter(~F.col("id").eqNullSafe(F.col("keeper")))
-    drop = drop.groupBy("k1", "k2").agg(F.flatten(F.collect_set("lines")).alias("drop"))
-    return rows.join(drop, ["k1", "k2"], "left").select("id", "text", "drop").mapInArrow(
-        _without, f"id {kind}, text string, n_lines long, n_dropped long"
-    )
+    return drop.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("drop"))
 
 
 class LineScan:
@@ -165,18 +189,3 @@ def _suspects(shared, min_chars: int):
                 )
 
     return run
-
-
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, counts, dropped = [], [], []
-        drops = batch.column("drop").to_pylist()
-        for text, drop in zip(batch.column("text").to_pylist(), drops, strict=True):
-            counts.append(text.count("\n") + 1)
-            gone = set(drop or ())
-            dropped.append(len(gone))
-            texts.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone) if gone else text)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())],
-            ["id", "text", "n_lines", "n_dropped"],
-        )

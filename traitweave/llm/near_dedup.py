@@ -50,6 +50,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are what links reach. Null, empty and white texts have no set, are linked with nothing and are kept. A null id is
     larger than all others. Rows that share id and text are kept or dropped together. Other columns are not read.
     """
+    return _grouped(docs, id_col, text_col, words, percent).drop("k1", "k2")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, all columns, without those of near_groups that are not kept."""
+    gone = _grouped(docs, id_col, text_col, words, percent).filter("not kept").select("k1", "k2").distinct()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(id_col).alias("k1"), F.xxhash64(text).alias("k2"))
+    return rows.join(gone, ["k1", "k2"], "left_anti").select("row.*")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     rows = keyed(docs, id_col, text_col)
     kind = rows.schema["id"].dataType.simpleString()
     rows = cut(rows.mapInArrow(_sketches(words), f"id {kind}, k1 long, k2 long, n long, node binary, sketch binary"))
@@ -59,19 +71,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = _linked(keyed(docs, id_col, text_col), nodes, words, percent)
     grouped = rows.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node"))
     least = grouped.filter("n > 0").groupBy("group").agg(F.min("id").alias("least"))
-    joined = grouped.select("id", "n", F.when(F.col("n") > 0, F.col("group")).alias("group")).join(least, "group", "left")
+    joined = grouped.select("id", "k1", "k2", "n", F.when(F.col("n") > 0, F.col("group")).alias("group")).join(least, "group", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
     return joined.select(
-        "id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+        "id",
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"),
+        "k1",
+        "k2",
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, all columns, without those of near_groups that are not kept."""
-    gone = near_groups(docs, id_col, text_col, words, percent).filter("not kept").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """`node`, `label` (the smallest node it is connected with) of all ends of `edges` (a, b).
 
