@@ -1,13 +1,14 @@
 """Benchmark decontamination: words of documents that stand in a window of benchmark words.
 
 A benchmark item gives its windows of 13 consecutive words (one window of all words if it has fewer). The windows
-are a stated, bounded set: hashes of their first three words go to the scan as a hash set, in blocks of `block`
-windows, and each document row finds its own candidate positions without leaving the row. Candidates are then verified
-on all words against the window texts. Only texts of hits are exploded and only light rows are shuffled.
+are a stated, bounded set. A table of one byte a slot marks the hashes of their first three words; it goes to the scan
+as one literal, and each document row finds its own candidate positions without leaving the row. Only candidates are
+exploded; they are verified by a broadcast hash join on the whole window text. Only light rows of hits are shuffled.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +45,6 @@ def find_hits(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    block: int = 20_000,
     max_windows: int = 2_000_000,
 ) -> DataFrame:
     """Per row of `docs`: id, n_words, n_hit (words inside an occurrence), items (sorted), contaminated.
@@ -54,33 +54,29 @@ def find_hits(
     clean. The windows are collected in blocks; a benchmark of more than `max_windows` is refused, not cut.
     """
     windows = benchmark_windows(benchmark, item_col, item_text_col, window)
-    wanted = windows.select("n", "window", F.expr(_head("split(window, ' ')", "1", "n")).alias("head")).limit(max_windows + 1)
-    texts = sorted((r["n"], r["window"], r["head"]) for r in wanted.collect())
-    if len(texts) > max_windows:
+    parts = F.split("window", " ")
+    heads = windows.select("n", _head(parts, F.lit(0), F.col("n")).alias("head")).limit(max_windows + 1).collect()
+    if len(heads) > max_windows:
         raise ValueError(f"the benchmark has over {max_windows} windows: pass it in parts")
     rows = keyed(docs, id_col, text_col).select("id", "k1", "k2", words(F.col("text")).alias("w"))
-    found = []
-    for n in sorted({n for n, _, _ in texts}):
-        same = [(text, head) for m, text, head in texts if m == n]
-        for start in range(0, len(same), block):
-            found.append(_positions(same[start : start + block], n))
-    hits = F.flatten(F.array(*found)) if found else F.expr("cast(array() as array<struct<at:int,n:int>>)")
-    rows = rows.select("id", "k1", "k2", F.size("w").alias("n_words"), "w", hits.alias("hits"))
-    covered = F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["n"] - 1)))
-    text_of = F.transform("hits", lambda h: F.concat_ws(" ", F.slice("w", h["at"], h["n"])))
-    rows = rows.select(
-        "id", "k1", "k2", "n_words", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
-        F.posexplode_outer(F.array_distinct(text_of)).alias("nth", "window"),
-    )
-    # Equal windows of one document are one row; nth is 0 or null once for each row of docs.
+    found = [_candidates({r["head"] for r in heads if r["n"] == n}, n) for n in sorted({r["n"] for r in heads})]
+    maybe = F.concat(*found) if found else F.expr("cast(array() as array<struct<at:int,n:int,window:string>>)")
+    # nth is 0 or null once for each row of docs
+    rows = rows.select("id", "k1", "k2", F.size("w").alias("n_words"), F.posexplode_outer(maybe).alias("nth", "c"))
+    rows = rows.select("id", "k1", "k2", "n_words", "nth", "c.at", F.col("c.n").alias("size"), "c.window")
+    known = F.broadcast(windows.select("window", F.col("n").alias("size"), "items"))
+    hit = F.col("items").isNotNull()
     grouped = (
-        rows.join(F.broadcast(windows.select("window", "items")), "window", "left")
-        .groupBy("id", "k1", "k2", "n_words", "n_hit")
+        rows.join(known, ["window", "size"], "left")
+        .groupBy("id", "k1", "k2", "n_words")
         .agg(
             F.count_if(F.coalesce("nth", F.lit(0)) == 0).alias("copies"),
+            F.collect_set(F.when(hit, F.struct("at", "size"))).alias("hits"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
     )
+    covered = F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["size"] - 1)))
+    grouped = grouped.select("*", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"))
     return grouped.select(
         "id",
         F.col("n_words").cast("long").alias("n_words"),
@@ -105,20 +101,29 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return docs.join(bad, key == F.col("_contaminated"), "left_anti")
 
 
-def _head(words: str, at: str, n: str) -> str:
-    """Hash of up to three words at `at`; words that the window does not have count as null."""
-    return f"xxhash64({words}[{at} - 1], if({n} > 1, {words}[{at}], null), if({n} > 2, {words}[{at} + 1], null))"
+def _head(w: Column, at: Column, n: Column) -> Column:
+    """Hash of up to three words from place `at` (the first is 0); words that a window does not have count as null."""
+    return F.xxhash64(w[at], F.when(n > 1, w[at + 1]), F.when(n > 2, w[at + 2]))
 
 
-def _positions(windows: list[tuple[str, int]], n: int) -> Column:
-    """Where one of the windows of n words stands in `w`: by the hash of the first words, then by all words.
+def _candidates(heads: set[int], n: int) -> Column:
+    """Where a window of n words may stand in `w`, by two bytes of a table that the hash of the first words picks."""
+    slots = 1 << max(12, (32 * len(heads) - 1).bit_length())
+    table = np.zeros(slots, np.uint8)
+    hashes = np.array(sorted(heads), np.int64)
+    table[hashes & (slots - 1)] = table[(hashes >> 32) & (slots - 1)] = 1
+    marked, literal = F.lit(b"\x01"), F.lit(table.tobytes())
 
-    Words hold no quotes, backslashes or control characters, as texts are split at all of them.
-    """
-    heads = ",".join(f"{head}L" for head in sorted({head for _, head in windows}))
-    texts = ",".join(f"'{text}'" for text, _ in windows)
-    return F.expr(
-        f"""transform(filter(filter(if(size(w) >= {n}, sequence(1, size(w) - {n - 1}), cast(array() as array<int>)),
-        i -> {_head("w", "i", str(n))} in ({heads})), i -> concat_ws(' ', slice(w, i, {n})) in ({texts})),
-        i -> struct(i as at, {n} as n))"""
+    def known(hashed: Column) -> Column:
+        return F.substring(literal, (hashed.bitwiseAND(F.lit(slots - 1)) + 1).cast("int"), F.lit(1)) == marked
+
+    def fits(i: Column) -> Column:
+        head = _head(F.col("w"), i, F.lit(n))
+        return known(head) & known(F.shiftright(head, 32))
+
+    empty = F.array().cast("array<int>")
+    starts = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(empty)
+    return F.transform(
+        F.filter(starts, fits),
+        lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.concat_ws(" ", F.slice("w", i + 1, F.lit(n))).alias("window")),
     )

@@ -76,7 +76,7 @@ def _dropped_lines(rows: DataFrame, min_chars: int = 20, min_docs: int = 3, filt
     hashes = rows.select("text").mapInArrow(_line_hashes(min_chars), "hash long, part int")
     parts = hashes.repartition(PARTS, "part").mapInArrow(_twice_seen(filter_bits // PARTS), "part int, bits binary")
     seen = np.zeros((PARTS, filter_bits // PARTS // 8), np.uint8)
-    for r in parts.toLocalIterator():
+    for r in parts.collect():
         seen[r["part"]] |= np.frombuffer(r["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(seen)
 
