@@ -43,7 +43,7 @@ def _touch() -> str:
     packed = [f"list_distinct([{', '.join(f'p6156_i{i}_a{m}' for m in range(4))}]) as p6156_i{i}" for i in VISITS]
     return (
         f"select *, {', '.join(packed)} from (select o_custkey as eid, {', '.join(columns + cells + single)}"
-        " from orders where o_custkey % 10 <> 3 group by o_custkey)"
+        " from orders group by o_custkey)"
     )
 
 
@@ -102,7 +102,7 @@ def _online() -> str:
 def _online_multi() -> str:
     return (
         "select user_id as eid, list(distinct event_id % 23) as p20544, list(distinct event_id % 9) as p20554,"
-        " list(distinct event_id % 8) as p20548 from events where event_type = 'signup' and event_id % 3 = 0"
+        " list(distinct event_id % 8) as p20548 from events where event_type = 'signup'"
         " group by user_id"
     )
 

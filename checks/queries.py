@@ -6,7 +6,6 @@ BIGINT and arrays as sorted, joined text, so that results compare across engines
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -155,8 +154,12 @@ def custom_rule() -> FlagRule:
 
 
 def output_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder all executors share; a local one only where no such folder is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="traitweave-")
+    """A fresh path in the folder all executors share; in local mode without one, below the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -169,8 +172,8 @@ def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_result_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = output_path(spark, "result-csv")
     df = engine(spark, sf_dir).query(CATALOGUE["ptsd"], join_mode="stack")
-    write_csv(df, path, separator=",", null_text="~")
-    schema = flat_csv_frame(df).schema
+    write_csv(df, path, arrays="joined", separator=",", null_text="~")
+    schema = flat_csv_frame(df, arrays="joined").schema
     return comparable(spark.read.csv(path, header=True, schema=schema, nullValue="\u0000", emptyValue=""))
 
 

@@ -48,7 +48,7 @@ def test_outer_join_of_any_ids(spark, hot_rows):
 
 def test_hot_ids_are_few(spark):
     found = hot_ids([f.filter("eid is not null") for f in frames(spark, MESSY)], 3)
-    assert sorted(tuple(r) for r in found.collect()) == [(6, 0, 0, 0, 4), (9, 12, 1, 5, 1)]
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 3, 1, 2, 0), (6, 0, 0, 0, 4), (9, 12, 1, 5, 1)]
 
 
 def test_fragments_spread_a_hot_id(spark):
@@ -130,3 +130,16 @@ def test_one_table_is_not_joined(spark):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError, match="join_mode"):
         join_tables(frames(spark, CLEAN), "inner")
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1, 2, 1000])
+def test_values_do_not_depend_on_the_number_of_rows(spark, hot_rows):
+    left = spark.sql(
+        "select 1L eid, d, map('a', 1) m, timestamp'2020-01-01 00:00:00.000001' t, x'FF00' b"
+        " from values (-0D), (0D), (0D), (double('NaN')) as v(d)"
+    )
+    right = spark.sql("select 1L eid, array(-0D, null) r union all select 2L, array()")
+    got = outer_join([left, right], hot_rows).collect()
+    assert sorted(str(r["d"]) for r in got if r["eid"] == 1) == ["-0.0", "0.0", "0.0", "nan"]
+    assert all(r["m"] == {"a": 1} and r["t"].microsecond == 1 and bytes(r["b"]) == b"\xff\x00" for r in got if r["eid"] == 1)
+    assert [str(r["r"]) for r in got].count("[-0.0, None]") == 4 and len(got) == 5

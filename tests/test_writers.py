@@ -20,13 +20,13 @@ def test_parquet_round_trip(spark, df, tmp_path):
 
 
 def test_csv(spark, df, tmp_path):
-    write_csv(df, str(tmp_path / "out"), null_text="~")
+    write_csv(df, str(tmp_path / "out"), arrays="joined", null_text="~")
     lines = sorted(line for part in (tmp_path / "out").glob("*.csv") for line in part.read_text().splitlines())
     assert set(lines) == {"eid,flag,labels", "1,true,a|~|b", '2,,""'}
 
 
 def test_flat_frame(df):
-    assert [r.labels for r in flat_csv_frame(df).collect()] == ["a|b", ""]
-    assert [r.labels for r in flat_csv_frame(df, arrays="json").collect()] == ['["a",null,"b"]', "[]"]
+    assert [r.labels for r in flat_csv_frame(df, arrays="joined").collect()] == ["a|b", ""]
+    assert [r.labels for r in flat_csv_frame(df).collect()] == ['["a",null,"b"]', "[]"]
     with pytest.raises(ValueError, match="arrays"):
         flat_csv_frame(df, arrays="xml")

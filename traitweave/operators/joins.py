@@ -12,6 +12,7 @@ if they are not, and moves the rows of all tables through a single shuffle.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
@@ -22,9 +23,14 @@ from pyspark.sql import functions as F
 from traitweave.functions.naming import EID, sql_name
 
 JOIN_MODES = ("outer", "stack")
+#: Formats of to_json that keep every digit of a time.
+EXACT_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
-#: An id with more rows than this in one table is joined in fragments.
+#: An id whose rows in all tables multiply to more than this is joined in fragments.
 HOT_ROWS = 1_000_000
 
 
@@ -67,7 +73,7 @@ def outer_join(frames: Sequence[DataFrame], hot_rows: int | None = HOT_ROWS) ->
         result = _join_in_pairs(matched)
     else:
         hot = hot_ids(matched, hot_rows)
-        result = _join_in_pairs([f.join(F.broadcast(hot), EID, "left_anti") for f in matched])
+        result = _join_in_pairs([f.join(hot, EID, "left_anti") for f in matched])
         result = result.unionByName(_join_in_fragments(matched, hot, hot_rows))
     for f in frames:
         if f.schema[EID].nullable:
@@ -89,11 +95,11 @@ def _join_in_pairs(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def hot_ids(frames: Sequence[DataFrame], hot_rows: int) -> DataFrame:
-    """Ids with more than ``hot_rows`` rows in one of the tables, and their rows in each of them.
+    """Ids with more than ``hot_rows`` rows in the result, and their rows in each of the tables.
 
     Counted on the map side first, so a frequent id reaches the shuffle as one
-    row per task. There are at most (rows of all tables / hot_rows) such ids,
-    which bounds what is broadcast.
+    row per task. The list is joined like any other table: it is broadcast only
+    if adaptive execution finds it small.
     """
     ids = [f.selectExpr(EID, f"{k} AS __table") for k, f in enumerate(frames)]
     counted = (
@@ -101,25 +107,27 @@ def hot_ids(frames: Sequence[DataFrame], hot_rows: int) -> DataFrame:
         .groupBy(EID)
         .agg(*[F.expr(f"count_if(__table = {k}) AS {_rows_in(k)}") for k in range(len(frames))])
     )
-    return counted.filter(F.greatest(*[_rows_in(k) for k in range(len(frames))]) > hot_rows)
+    product = " * ".join(f"greatest({_rows_in(k)}, 1D)" for k in range(len(frames)))
+    return counted.filter(F.expr(f"{product} > {hot_rows}"))
 
 
 def _join_in_fragments(frames: Sequence[DataFrame], hot: DataFrame, hot_rows: int) -> DataFrame:
     """Full outer join of the rows of hot ids only.
 
-    Per id, both sides of a join are cut into fragments of about ``hot_rows``
-    rows, each row into one, and every fragment of one side is sent to every
-    fragment of the other, so that each pair of rows meets exactly once and no
-    task gets more than one fragment of each. A side with few rows is one
+    Per id, both sides of a join are cut into fragments of about the square root
+    of ``hot_rows`` rows, each row into one, and every fragment of one side is
+    sent to every fragment of the other, so that each pair of rows meets exactly
+    once and two fragments make some ``hot_rows`` rows. A side with few rows is one
     fragment, and then the other side is not copied at all. Equal rows go
     through once, with their number.
     """
-    parts = [_counted_rows(f.join(F.broadcast(hot), EID)) for f in frames]
+    side = max(1, math.isqrt(hot_rows))
+    parts = [_counted_rows(f.join(hot, EID)) for f in frames]
     joined = parts[0]
     for k, part in enumerate(parts[1:], start=1):
         rows_before = " * ".join(f"greatest({_rows_in(j)}, 1D)" for j in range(k))
-        left_fragments = f"CAST(ceil({rows_before} / {hot_rows}) AS BIGINT)"
-        right_fragments = f"CAST(ceil(greatest({_rows_in(k)}, 1D) / {hot_rows}) AS BIGINT)"
+        left_fragments = f"CAST(ceil({rows_before} / {side}) AS BIGINT)"
+        right_fragments = f"CAST(ceil(greatest({_rows_in(k)}, 1D) / {side}) AS BIGINT)"
         left = joined.withColumns(
             {
                 "__left": F.expr(f"pmod(__hash, {left_fragments})"),
@@ -155,10 +163,16 @@ def _join_in_fragments(frames: Sequence[DataFrame], hot: DataFrame, hot_rows: in
 def _counted_rows(df: DataFrame) -> DataFrame:
     """Every distinct row once, with the number of its copies and a hash.
 
-    The hash picks a row's fragment. It depends on the row alone, so a task that
-    runs again after a loss sends its rows where they went before.
+    Rows are told apart by an exact text of theirs: grouping by the values would
+    make -0.0 and 0.0 one, and cannot group maps. The hash picks a row's fragment.
+    It depends on the row alone, so a task that runs again after a loss sends its
+    rows where they went before.
     """
-    return df.groupBy(*df.columns).agg(F.count("*").alias("__copies")).withColumn("__hash", F.xxhash64(*df.columns))
+    text = F.to_json(F.struct(*[c for c in df.columns if c != EID]), EXACT_TEXT)
+    counted = df.withColumn("__text", text).groupBy(EID, "__text")
+    rest = [F.first(c).alias(c) for c in df.columns if c != EID]
+    counted = counted.agg(*rest, F.count("*").alias("__copies")).withColumn("__hash", F.xxhash64(EID, "__text"))
+    return counted.drop("__text")
 
 
 def _repeated_rows(df: DataFrame, chunk: int = 10_000) -> DataFrame:
@@ -176,13 +190,18 @@ def stack_join(frames: Sequence[DataFrame]) -> DataFrame:
     """Full outer join by stacking the tables and folding the rows of each id into one.
 
     Rows are brought together by id before they are aggregated, since ids are
-    unique within a table and a map-side aggregation would combine nothing. An
-    id that is missing, or that occurs twice in one table, fails the query
-    rather than losing rows.
+    unique within a table and a map-side aggregation would combine nothing. A
+    missing id fails the query at the scan, before rows without one pile up in a
+    task; an id that occurs twice in one table fails it after the shuffle.
     """
     tables = range(len(frames))
     columns = [[c for c in frame.columns if c != EID] for frame in frames]
-    rows = [frame.withColumn("__table", F.lit(k)) for k, frame in enumerate(frames)]
+    message = "stacking tables needs ids that are present and unique in each table; use join_mode='outer'"
+    present = F.assert_true(F.col(EID).isNotNull(), F.lit(message)).isNull()
+    rows = [
+        (frame.filter(present) if frame.schema[EID].nullable else frame).withColumn("__table", F.lit(k))
+        for k, frame in enumerate(frames)
+    ]
     stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), rows)
     folded = (
         stacked.repartition(EID)
@@ -192,6 +211,5 @@ def stack_join(frames: Sequence[DataFrame]) -> DataFrame:
             *[F.expr(f"count_if(__table = {k}) AS {_rows_in(k)}") for k in tables],
         )
     )
-    sound = F.col(EID).isNotNull() & (F.greatest(*[_rows_in(k) for k in tables]) <= 1)
-    message = "stacking tables needs ids that are present and unique in each table; use join_mode='outer'"
+    sound = F.greatest(*[_rows_in(k) for k in tables]) <= 1
     return folded.filter(F.assert_true(sound, F.lit(message)).isNull()).drop(*[_rows_in(k) for k in tables])

@@ -12,16 +12,12 @@ from traitweave.phenotypes import rules
 from traitweave.phenotypes.vocabularies import ever_diagnosed, icd9, icd10, interview
 
 
-def _dotted(category: str, *subcodes: int) -> list[str]:
-    return [f"{category}.{sub}" for sub in subcodes]
-
-
 # --- eating disorder
 eating_disorder = AnyOf(
     "eating_disorder",
     children=[
-        icd9("eating_disorder", "3071 3075 30750 30751 30752 30753 30754 30755 30759".split()),
-        icd10("eating_disorder", "F500 F501 F502 F503 F508 F509".split()),
+        icd9("eating_disorder", ["3071", "3075", "30750", "30751", "30752", "30753", "30754", "30755", "30759"]),
+        icd10("eating_disorder", ["F500", "F501", "F502", "F503", "F508", "F509"]),
         interview("eating_disorder", [1470]),
         ever_diagnosed("eating_disorder", [13, 12, 16]),
     ],
@@ -31,16 +27,16 @@ eating_disorder = AnyOf(
 schizophrenia = AnyOf(
     "schizophrenia",
     children=[
-        icd9("schizophrenia", "2950 2951 2952 2953 295F4 2955 2956 2957 2958 2959".split()),
+        icd9("schizophrenia", ["2950", "2951", "2952", "2953", "295F4", "2955", "2956", "2957", "2958", "2959"]),
         icd10(
             "schizophrenia",
             [
-                *_dotted("F20", 0, 1, 2, 3, 4, 5, 6, 8, 9),
+                "F20.0", "F20.1", "F20.2", "F20.3", "F20.4", "F20.5", "F20.6", "F20.8", "F20.9",
                 "F21",
-                *_dotted("F22", 0, 8, 9),
-                *_dotted("F23", 0, 1, 2, 3, 8, 9),
+                "F22.0", "F22.8", "F22.9",
+                "F23.0", "F23.1", "F23.2", "F23.3", "F23.8", "F23.9",
                 "F24",
-                *_dotted("F25", 0, 1, 2, 8, 9),
+                "F25.0", "F25.1", "F25.2", "F25.8", "F25.9",
                 "F28",
                 "F29",
             ],
@@ -55,7 +51,7 @@ ocd = AnyOf(
     "ocd",
     children=[
         icd9("ocd", ["3003"]),
-        icd10("ocd", _dotted("F42", 0, 1, 2, 8, 9)),
+        icd10("ocd", ["F42.0", "F42.1", "F42.2", "F42.8", "F42.9"]),
         interview("ocd", [1615]),
         ever_diagnosed("ocd", [7]),
     ],
@@ -72,7 +68,7 @@ anxiety = AnyOf(
     "anxiety",
     children=[
         anxiety_gad7,
-        icd9("anxiety", "3000 3001 3002 3009 300".split()),
+        icd9("anxiety", ["3000", "3001", "3002", "3009", "300"]),
         icd10(
             "anxiety",
             "F064 F93.0 F931 F932 F40 F400 F401 F402 F408 F409 F41 F410 F411 F412 F413 F418 F419".split(),
@@ -117,8 +113,8 @@ depression = AnyOf(
         probable_depression,
         phq9_depression,
         icd9("depression", ["3119", "3004"]),
-        icd10("depression", _dotted("F32", 0, 1, 2, 3, 8, 9)),
-        interview("depression", range(1278, 1287)),
+        icd10("depression", ["F32.0", "F32.1", "F32.2", "F32.3", "F32.8", "F32.9"]),
+        interview("depression", [1278, 1279, 1280, 1281, 1282, 1283, 1284, 1285, 1286]),
         ever_diagnosed("depression", [11]),
     ],
 )
@@ -154,8 +150,8 @@ life_time_bipolar = Score(
 bipolar = AnyOf("bipolar", children=[life_time_bipolar, probable_bipolar])
 
 # --- post-traumatic stress disorder
-# The items count from 0 instead of the usual 1, so the usual cut-off of 14 is lowered by the six items.
-ptsd_pcl6 = Score("ptsd_pcl6", fields=[20497, 20498, 20495, 20496, 20494, 20508], levels=[14 - 6])
+# The published cut-off is 14 for six items scored 1 to 5; these answers run from 0 to 4, which makes it 8.
+ptsd_pcl6 = Score("ptsd_pcl6", fields=[20497, 20498, 20495, 20496, 20494, 20508], levels=[8])
 ptsd = AnyOf("ptsd", children=[icd10("ptsd", ["F431"]), interview("ptsd", [1469]), ptsd_pcl6])
 
 # --- self-harm
@@ -169,8 +165,12 @@ self_harm = AnyOf(
             rule=rules.questionnaire_self_harm,
             null_if_absent=True,
         ),
-        icd9("self_harm", [f"E{n}" for n in range(950, 960)]),
-        icd10("self_harm", [*(f"X{n}" for n in range(60, 85)), "Z915", "Y1", "Y2", "Y3"]),
+        icd9("self_harm", ["E950", "E951", "E952", "E953", "E954", "E955", "E956", "E957", "E958", "E959"]),
+        icd10("self_harm", [
+            "X60", "X61", "X62", "X63", "X64", "X65", "X66", "X67", "X68", "X69", "X70", "X71", "X72",
+            "X73", "X74", "X75", "X76", "X77", "X78", "X79", "X80", "X81", "X82", "X83", "X84", "Z915",
+            "Y1", "Y2", "Y3",
+        ]),
         interview("self_harm", [1290]),
     ],
 )
@@ -193,7 +193,11 @@ substance_abuse_non_alcoholic = AnyOf(
         questionnaire_substance_abuse_non_alcoholic,
         icd10(
             "substance_abuse_non_alcoholic",
-            [code for drug in ("F11", "F12", "F13", "F14", "F19") for code in _dotted(drug, 1, 2, 3, 4)],
+            [
+                "F11.1", "F11.2", "F11.3", "F11.4", "F12.1", "F12.2", "F12.3", "F12.4", "F13.1",
+                "F13.2", "F13.3", "F13.4", "F14.1", "F14.2", "F14.3", "F14.4", "F19.1", "F19.2",
+                "F19.3", "F19.4",
+            ],
         ),
         icd9("substance_abuse_non_alcoholic", ["3040"]),
         interview("substance_abuse_non_alcoholic", [1409, 1410]),
@@ -211,7 +215,7 @@ alcohol_abuse = AnyOf(
         audit_score,
         EqualsOne("alcohol_addiction", fields=[20406]),
         icd9("alcohol_abuse", ["3039"]),
-        icd10("alcohol_abuse", _dotted("F10", 1, 2, 3, 4)),
+        icd10("alcohol_abuse", ["F10.1", "F10.2", "F10.3", "F10.4"]),
         interview("alcohol_abuse", [1408]),
     ],
 )

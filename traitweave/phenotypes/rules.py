@@ -123,7 +123,10 @@ def cannabis_use_group(scope: Scope) -> Column:
         F.when(use == 0, 0)
         .when(use.isin(1, 2), 1)
         .when(use == 3, 2)
-        .when((use == 4) & frequency.isin(1, 2, 3, 4), (frequency + 2).cast("int"))
+        .when((use == 4) & (frequency == 1), 3)
+        .when((use == 4) & (frequency == 2), 4)
+        .when((use == 4) & (frequency == 3), 5)
+        .when((use == 4) & (frequency == 4), 6)
     )
 
 

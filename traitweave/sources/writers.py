@@ -15,20 +15,22 @@ def write_csv(
     df: DataFrame,
     path: str,
     mode: str = "errorifexists",
-    arrays: str = "joined",
+    arrays: str = "json",
     separator: str = "|",
     null_text: str | None = None,
 ) -> None:
     """CSV files with a header; arrays, which CSV lacks, become text.
 
-    ``arrays='joined'`` joins the elements with ``separator``, nulls left out
-    unless ``null_text`` stands in for them; ``arrays='json'`` writes JSON.
+    ``arrays='json'`` writes JSON and loses nothing. ``arrays='joined'`` joins the
+    elements with ``separator`` for readers that want plain text: nulls are left
+    out unless ``null_text`` stands in for them, and an element that holds the
+    separator cannot be told from two.
     """
     flat_csv_frame(df, arrays, separator, null_text).write.mode(mode).csv(path, header=True)
 
 
 def flat_csv_frame(
-    df: DataFrame, arrays: str = "joined", separator: str = "|", null_text: str | None = None
+    df: DataFrame, arrays: str = "json", separator: str = "|", null_text: str | None = None
 ) -> DataFrame:
     """The frame with every array column as text."""
     if arrays not in ("joined", "json"):
