@@ -2,8 +2,8 @@
 
 Texts are grouped by a 128-bit hash of the normalised text together with the normalised text itself, so that
 grouping compares bytes and a hash collision cannot join different texts. Copies meet on the map side first;
-a text with any number of copies costs one row a task. Only hashes are joined back to the rows, so a hot group
-is an ordinary skewed join that adaptive execution splits.
+a text with any number of copies costs one row a task. Only hashes are joined back to the rows. The groups, one row for each different text, are a table by then:
+both sides of that join come from a shuffle, which is what adaptive execution needs to split a hot group.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from traitweave.llm.common import cut
+
 #: Spark's regular expressions are Java's; these six characters are the ASCII white space.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -35,7 +37,7 @@ def exact_groups(
     rows = plain.select("id", "size", "hash", F.sha2("plain", 256).alias("text_sha256"))
     order = F.struct((-F.col("size")).alias("size"), F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))
     best = rows.groupBy("hash", "text_sha256").agg(F.min(order).alias("best"))
-    groups = (
+    groups = cut(
         compared.select("hash", F.sha2("plain", 256).alias("text_sha256"), "group_size")
         .join(best, ["hash", "text_sha256"])
         .select("hash", "text_sha256", "group_size", "best")
