@@ -2,8 +2,10 @@
 
 Two Bloom filters, one for line hashes seen once and one for those seen twice, are kept in parts: each task of a
 shuffle of bare 8-byte hashes owns one part of the hash space. The twice-seen filter, of a fixed size that is a
-parameter, is the only thing that is broadcast. Lines it holds are suspects; only these are shuffled as text for the
-exact count of their documents. If a corpus outgrows the filter, more lines become suspects; results stay exact.
+parameter, is the only thing that is broadcast. A hash found twice in one slice of text is shipped twice and then no
+more by that task, so that a line of a third of all documents is no hot key. Lines the filter holds are suspects; only
+these are shuffled as text for the exact count of their documents. If a corpus outgrows the filter, more lines become
+suspects; results stay exact.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ FILTER_BITS = 1 << 27
 #: Parts of the filter, each built by one task.
 PARTS = 64
 PROBES = 4
+#: Hashes that a task remembers to have shipped twice; one that is forgotten is shipped again, with the same result.
+REMEMBERED = 200_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 TO_LOWER = np.frombuffer(LOWER, np.uint8)
 STRIPPED = b" \t\n\x0b\x0c\r"
@@ -83,7 +87,9 @@ def _dropped_lines(rows: DataFrame, min_chars: int = 20, min_docs: int = 3, filt
     kind = rows.schema["id"].dataType.simpleString()
     suspects = cut(rows.mapInArrow(_suspects(shared, min_chars), f"id {kind}, k1 long, k2 long, key binary, lines array<int>"))
     counted = suspects.groupBy("key").agg(F.count_distinct("k1", "k2").alias("n_docs"), F.max("id").alias("keeper"))
-    drop = suspects.join(counted.filter(F.col("n_docs") >= min_docs), "key").filter(~F.col("id").eqNullSafe(F.col("keeper")))
+    # A table by the time it is joined: only a join of two shuffles can be split where a line is hot.
+    counted = cut(counted.filter(F.col("n_docs") >= min_docs))
+    drop = suspects.join(counted, "key").filter(~F.col("id").eqNullSafe(F.col("keeper")))
     return drop.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("drop"))
 
 
@@ -133,7 +139,7 @@ def part_of(hashes: np.ndarray) -> np.ndarray:
 
 def _line_hashes(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = LineScan()
+        scan, shipped = LineScan(), np.zeros(0, np.uint64)
         for batch in batches:
             for piece in slices(batch, "text"):
                 doc, _, _, _, hashes = scan(piece.column(0), min_chars)
@@ -141,6 +147,11 @@ def _line_hashes(min_chars: int):
                 order = np.lexsort((hashes, doc))
                 doc, hashes = doc[order], hashes[order]
                 keep = hashes[np.concatenate([[True], (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])])[: len(doc)]]
+                own, counts = np.unique(keep, return_counts=True)
+                new = ~np.isin(own, shipped)
+                own, counts = own[new], np.minimum(counts[new], 2)
+                shipped = np.concatenate([shipped, own[counts == 2]])[-REMEMBERED:]
+                keep = np.repeat(own, counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keep.view(np.int64)), pa.array(part_of(keep).astype(np.int32))], ["hash", "part"]
                 )
