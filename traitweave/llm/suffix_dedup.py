@@ -53,8 +53,9 @@ def repeated_spans(
     rows = keyed(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
     light = rows.select("k1", "k2", "text")
     anchors = light.mapInArrow(_anchors(length, gram), "k1 long, k2 long, at int, gram long")
-    repeated = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    candidates = anchors.join(repeated.select("gram"), "gram", "left_semi")
+    # Counts are tables by the time they are joined: only a join of two shuffles can be split where a gram is hot.
+    repeated = cut(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
+    candidates = anchors.join(repeated, "gram", "left_semi")
     places = candidates.groupBy("k1", "k2").agg(F.collect_set("at").alias("places"))
     contexts = cut(
         light.join(places, ["k1", "k2"]).mapInArrow(
@@ -62,14 +63,16 @@ def repeated_spans(
         )
     )
     # One row for each different context; the first place it stands at is its representative.
-    different = contexts.groupBy("context").agg(
-        F.count(F.lit(1)).alias("n"), F.first("gram").alias("gram"), F.min(F.struct("k1", "k2", "at")).alias("first")
+    different = cut(
+        contexts.groupBy("context").agg(
+            F.count(F.lit(1)).alias("n"), F.first("gram").alias("gram"), F.min(F.struct("k1", "k2", "at")).alias("first")
+        )
     )
     copies = contexts.join(different.filter("n > 1").select("context"), "context", "left_semi")
     whole = copies.select(
         "k1", "k2", (F.col("at") - (length - gram)).alias("start"), (F.col("at") + length).alias("stop")
     )
-    sizes = different.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    sizes = cut(different.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     mixed = cut(different.join(sizes, "gram").select("gram", "size", "n", "first.*"))
     listed = mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "gram", "size", "n")).alias("places"))
     suffixes = light.join(listed, ["k1", "k2"]).mapInArrow(
