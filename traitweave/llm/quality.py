@@ -83,7 +83,7 @@ class Indicators:
 def fit(pairs: list[tuple[str, int]], cost: float = 1.0, rounds: int = 15, seed: int = 5) -> QualityModel:
     """From (text, 0 or 1) pairs; every fifth pair only fits the logistic curve."""
     indicators = Indicators()
-    rows = [np.unique(indicators(pa.array([text]))[1]) for text, _ in pairs]
+    rows = [np.unique(indicators(pa.array([text]))[1]).astype(np.int32) for text, _ in pairs]  # held on the driver
     label = np.array([1 if good else 0 for _, good in pairs])
     held = np.arange(len(pairs)) % 5 == 4
     learn = np.flatnonzero(~held)
