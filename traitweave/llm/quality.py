@@ -83,7 +83,7 @@ class Indicators:
 def fit(pairs: list[tuple[str, int]], cost: float = 1.0, rounds: int = 15, seed: int = 5) -> QualityModel:
     """From (text, 0 or 1) pairs; every fifth pair only fits the logistic curve."""
     indicators = Indicators()
-    rows = [np.unique(indicators(pa.array([text]))[1]).astype(np.int32) for text, _ in pairs]  # held on the driver
+    rows = [np.unique(indicators(pa.array([text]))[1]).astype(np.uint16) for text, _ in pairs]  # held on the driver
     label = np.array([1 if good else 0 for _, good in pairs])
     held = np.arange(len(pairs)) % 5 == 4
     learn = np.flatnonzero(~held)
@@ -173,16 +173,18 @@ def _margin(model: QualityModel, buckets: np.ndarray) -> float:
 def _hinge(rows: list[np.ndarray], sign: np.ndarray, ratio: np.ndarray, cost: float, rounds: int, seed: int) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for hinge loss; rows are scaled to length one and have a constant for the bias."""
     rng = np.random.default_rng(seed)
-    values = [ratio[r] / max(np.sqrt((ratio[r] ** 2).sum()), 1e-9) for r in rows]
-    norm = np.array([(v**2).sum() + 1 for v in values])
+    # The scaled values are made anew at each visit: all of them would take several times the memory of the rows.
+    length = np.array([max(np.sqrt((ratio[r] ** 2).sum()), 1e-9) for r in rows])
+    norm = np.array([((ratio[r] / n) ** 2).sum() + 1 for r, n in zip(rows, length, strict=True)])
     dual, weight, bias = np.zeros(len(rows)), np.zeros(len(ratio)), 0.0
     for _ in range(rounds):
         for i in rng.permutation(len(rows)):
-            slack = sign[i] * (weight[rows[i]] @ values[i] + bias) - 1
+            values = ratio[rows[i]] / length[i]
+            slack = sign[i] * (weight[rows[i]] @ values + bias) - 1
             new = min(max(dual[i] - slack / norm[i], 0.0), cost)
             if new != dual[i]:
                 step = (new - dual[i]) * sign[i]
-                weight[rows[i]] += step * values[i]
+                weight[rows[i]] += step * values
                 bias += step
                 dual[i] = new
     return weight, bias
