@@ -5,6 +5,7 @@
    truncated. Bands of neighbouring registers are bucket keys; nodes of a bucket are likely to be alike.
 3. In each bucket one pivot meets the other nodes (a star, linear in the bucket). Pairs whose likelihood, given both
    sketches and set sizes, speaks against the similarity are left out; the others are compared on their full sets.
+   A quarter of the bands comes first; in the others the pivot meets only nodes of other components.
 4. Components of the links. Where a bucket still holds several components, its pairs between components are compared:
    in small buckets by sketches first and then on full sets, in large ones on full sets in square blocks of bounded
    size, of which no task gets more than a few. Only nodes outside the bucket's largest component meet the others, so
@@ -29,6 +30,8 @@ from traitweave.llm.common import Rolling, cut, flat, keyed, mix, slices
 #: Registers in a band, and bands. Sets of similarity 0.85 miss all bands with a chance of 1e-8, of 0.8 of 2e-6.
 BAND, BANDS = 5, 32
 REGISTERS = BAND * BANDS
+#: Bands whose stars come first. What they link, almost all of a group, takes no part in the stars of the others.
+EARLY, LATER = range(8), range(8, BANDS)
 #: Base of the exponential scale: different sets agree on a register with a chance of (BASE - 1) / 4.
 BASE, RATE = 1.02, 22.2
 #: Standard errors by which the likeliest similarity may lie under the threshold without the pair being left out.
@@ -70,7 +73,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     nodes = cut(nodes.select("node", "n", "sketch", "key.*"))
     labels = _linked(keyed(docs, id_col, text_col), nodes, words, percent)
     grouped = rows.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node"))
-    least = grouped.filter("n > 0").groupBy("group").agg(F.min("id").alias("least"))
+    least = cut(grouped.filter("n > 0").groupBy("group").agg(F.min("id").alias("least")))
     joined = grouped.select("id", "k1", "k2", "n", F.when(F.col("n") > 0, F.col("group")).alias("group")).join(least, "group", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
     return joined.select(
@@ -103,28 +106,30 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _linked(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    buckets = nodes.select("node", "sketch").mapInArrow(_bands, "node binary, bucket long, odd boolean")
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    buckets = cut(buckets.join(shared, "bucket"))
-    active = nodes.join(buckets.select("node").distinct(), "node")
+    own = nodes.select("node", "sketch")
+    soon = cut(_sharing(own, own, EARLY))
+    late = _sharing(own, own.join(soon, "node", "left_anti"), LATER)
+    active = nodes.join(cut(soon.union(late)), "node")
     # The texts of these nodes' first rows give their sets; they are few against all rows.
     wanted = texts.select("k1", "k2", "text").join(active.select("node", "n", "sketch", "k1", "k2"), ["k1", "k2"])
     sets = cut(wanted.mapInArrow(_sets(words), "node binary, n long, sketch binary, grams binary").dropDuplicates(["node"]))
     light = sets.select("node", "n", "sketch")
 
-    # Two orders of nodes, one for half of the bands: the first node of a bucket is its pivot.
-    order = F.struct(F.xxhash64("node", "odd").alias("turn"), F.col("node").alias("node"))
-    pivots = buckets.groupBy("bucket").agg(F.min(order)["node"].alias("pivot"))
-    stars = buckets.join(pivots, "bucket").filter("node <> pivot")
-    stars = stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    pairs = stars.join(_side(light, "a"), "a").join(_side(light, "b"), "b").mapInArrow(_likely(percent), "a binary, b binary")
-    links = cut(_verified(pairs, sets, percent))
-    labels = components(links)
+    labelled = light.withColumn("label", F.col("node"))
+    labels = None
+    for bands in (EARLY, LATER):
+        links = cut(_verified(_stars(labelled, bands, percent), sets, percent))
+        if labels is None:
+            labels = components(links)
+        elif not links.isEmpty():
+            labels = components(_with_labels(links, labels))
+        labelled = cut(light.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
 
     # Buckets that still hold several components and have pairs that no star has tested.
-    open_rows = buckets.filter("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = open_rows.groupBy("bucket").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed")
-    open_rows = cut(open_rows.join(mixed.select("bucket"), "bucket").select("bucket", "node", "label", "size"))
+    buckets = _buckets(labelled, range(BANDS))
+    mixed = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("least"), F.max("label").alias("most"))
+    mixed = cut(mixed.filter("size > 2 and least <> most").select("bucket", "size"))
+    open_rows = cut(buckets.join(mixed, "bucket").select("bucket", "node", "label", "size"))
     small = open_rows.filter(F.col("size") <= SMALL).join(light, "node").repartition("bucket").sortWithinPartitions("bucket")
     pairs = small.mapInArrow(_across(percent), "a binary, b binary").distinct()
     more = _verified(pairs, sets, percent)
@@ -132,7 +137,38 @@ def _linked(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> Dat
     if not large.isEmpty():
         more = more.union(_blocks(large, sets, percent))
     more = cut(more.distinct())
-    return labels if more.isEmpty() else components(links.union(more))
+    return labels if more.isEmpty() else components(_with_labels(more, labels))
+
+
+def _with_labels(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """New links, and one from each node to the label that stands for the links before."""
+    return links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+
+
+def _buckets(nodes: DataFrame, bands: range) -> DataFrame:
+    """Each node of (node, sketch, perhaps label) in the bucket of each of its `bands`."""
+    kept = [c for c in ("node", "label") if c in nodes.columns]
+    columns = ", ".join(f"{c} binary" for c in kept)
+    return nodes.select(*kept, "sketch").mapInArrow(_bands(kept, bands), f"{columns}, bucket long, odd boolean")
+
+
+def _sharing(nodes: DataFrame, among: DataFrame, bands: range) -> DataFrame:
+    """The nodes of `among` that share a bucket of `bands` with another of `nodes`."""
+    # A table of its own, so that a hot bucket can be split in the join.
+    sizes = cut(_buckets(nodes, bands).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    return _buckets(among, bands).join(sizes, "bucket", "left_semi").select("node").distinct()
+
+
+def _stars(labelled: DataFrame, bands: range, percent: int) -> DataFrame:
+    """Likely pairs of a bucket's pivot and those of its other nodes that have another label."""
+    buckets = _buckets(labelled, bands)
+    # Two orders of nodes, one for half of the bands: the first node of a bucket is its pivot.
+    first = F.min(F.struct(F.xxhash64("node", "odd").alias("turn"), "node", "label")).alias("first")
+    pivots = buckets.groupBy("bucket").agg(first, F.min("label").alias("least"), F.max("label").alias("most"))
+    pivots = pivots.filter("least <> most").select("bucket", F.col("first.node").alias("pivot"), F.col("first.label").alias("known"))
+    stars = buckets.join(cut(pivots), "bucket").filter("label <> known")
+    stars = stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    return stars.join(_side(labelled, "a"), "a").join(_side(labelled, "b"), "b").mapInArrow(_likely(percent), "a binary, b binary")
 
 
 def _side(light: DataFrame, end: str) -> DataFrame:
@@ -260,20 +296,28 @@ def _sketches(words: int):
     return run
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(kept: list[str], bands: range):
     odd = np.random.default_rng(34).integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for batch in batches:
-        n = batch.num_rows
-        registers = _registers(batch.column("sketch")).astype(np.uint64) * odd
-        keys = mix(registers.reshape(n, BANDS, BAND).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * odd[:BANDS])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("node").take(pa.array(np.repeat(np.arange(n), BANDS))),
-                pa.array(keys.ravel().view(np.int64)),
-                pa.array(np.tile(np.arange(BANDS) % 2 == 1, n)),
-            ],
-            ["node", "bucket", "odd"],
-        )
+    which = np.arange(bands.start, bands.stop)
+    part = slice(bands.start * BAND, bands.stop * BAND)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            registers = _registers(batch.column("sketch"))[:, part].astype(np.uint64) * odd[part]
+            keys = registers.reshape(n, len(which), BAND).sum(axis=2, dtype=np.uint64)
+            keys = mix(keys + which.astype(np.uint64) * odd[which])
+            again = pa.array(np.repeat(np.arange(n), len(which)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(again) for c in kept),
+                    pa.array(keys.ravel().view(np.int64)),
+                    pa.array(np.tile(which % 2 == 1, n)),
+                ],
+                [*kept, "bucket", "odd"],
+            )
+
+    return run
 
 
 def _sets(words: int):
