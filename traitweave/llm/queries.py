@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitweave.llm import decontaminate, exact_dedup, html_text, labelled, language_id, line_dedup, near_dedup
-from traitweave.llm import quality, secrets_scan, sentencepiece_codec, suffix_dedup
+from traitweave.llm import alignment, conversation_repair, decontaminate, exact_dedup, html_text, labelled, language_id
+from traitweave.llm import line_dedup, near_dedup, packing, quality, secrets_scan, sentencepiece_codec, suffix_dedup
 
-#: A SentencePiece model file with byte fallback, read by the driver.
+#: Vocabulary files, read by the driver: a SentencePiece model with byte fallback, a byte-level one, one of words.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
+WORDS = "/opt/tokenizers/word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,5 +107,42 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = alignment.align(docs, Path(BYTE_LEVEL).read_text("utf-8"), Path(PIECES).read_bytes())
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(_table(spark, sf_dir, "conversations"))
+    pieces = conversation_repair.repair(rows, present=F.col("damage") != 0)
+    return conversation_repair.summary(pieces).withColumnRenamed("id", "conv_id")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with damage by a hash of each row's place: 0 dropped (still there, marked by `damage`), 1 text
+    emptied, 2 without sentence ends, 3 twice, 4 said by the user."""
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    place = F.concat(conv, F.lit(":"), turn)
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    damage = F.col("damage")
+    return (
+        conversations.withColumn("damage", F.crc32(place.cast("binary")) % 20)
+        .withColumn("copy", F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .select(
+            "conv_id",
+            "turn",
+            F.when(damage == 4, "user").otherwise(role).alias("role"),
+            F.when(damage == 1, "").when(damage == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+            "damage",
+        )
+    )
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = packing.pack(_table(spark, sf_dir, "documents"), Path(WORDS).read_text("utf-8"))
+    return places.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
