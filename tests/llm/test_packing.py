@@ -1,5 +1,6 @@
 """Packing: the plan against its own rules, the tokens against the whole text, the query against brute force."""
 
+import functools
 import random
 import zlib
 from collections import defaultdict
@@ -89,25 +90,36 @@ ODD = [
     "x" * 100 + " " + "日本語" * 30,
     "\x1c\x1d a\x85b \x0b\x0c c",
     "don't we'll '' 's 12345 6,7",
+    "End. END., Á. Á, x² . ., Ⅷ. á., <|endoftext|>.,",
 ]
 
 
+@functools.cache
+def tokenizer():
+    return Tokenizer.from_file(WORDS)
+
+
 def whole(text):
-    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [0]
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def test_words_give_the_ids_of_whole_texts(monkeypatch):
     rng = random.Random(3)
     words = packing.Words(Path(WORDS).read_text("utf-8"))
     texts = ODD + ["".join(rng.choices("aÉ́ \n'.sß1", k=60)) for _ in range(300)]
-    for size in (packing.STRETCH, 5):
-        monkeypatch.setattr(packing, "STRETCH", size)
-        monkeypatch.setattr(packing, "stretches", lambda text, size=size: _stretches(text, size))
-        for text in texts:
-            assert np.frombuffer(words.encode(text), "<u4").tolist() == whole(text)[:-1]
+    want = [whole(text)[:-1] for text in texts]
+
+    def got(some):
+        return [np.frombuffer(ids, "<u4").tolist() for ids in words.encode(some)]
+
+    assert got(texts) == want
+    assert [got([text])[0] for text in texts] == want
     monkeypatch.setattr(packing, "REMEMBERED", 3)
-    for text in texts:
-        assert np.frombuffer(words.encode(text), "<u4").tolist() == whole(text)[:-1]
+    assert [got([text])[0] for text in texts] == want
+    assert got([]) == [] and got([""]) == [[]]
+    monkeypatch.setattr(packing, "STRETCH", 5)
+    monkeypatch.setattr(packing, "stretches", lambda text: _stretches(text, 5))
+    assert got(texts) == want
 
 
 _stretches = packing.stretches

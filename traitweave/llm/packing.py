@@ -34,7 +34,7 @@ from traitweave.llm.common import cut, slices
 #: Groups of the linear grouping; lengths up to capacity / SMALL are packed by best fit alone.
 GROUPS, SMALL = 64, 8
 #: Words remembered by a task; characters of the longest that is; characters of text taken at once.
-REMEMBERED, LONGEST, STRETCH = 200_000, 40, 1 << 20
+REMEMBERED, LONGEST, STRETCH = 250_000, 40, 1 << 20
 MOST_PIVOTS = 5_000
 #: Shares of the program's sequences that are tried; what they leave goes to best fit. The fewest sequences win.
 SHARES = (0.3, 0.65, 1.0)
@@ -281,9 +281,10 @@ def _plan_table(spark: SparkSession, intervals: list[Interval]) -> DataFrame:
 
 
 class Words(dict):
-    """Ids of a stretch without white space, as bytes; a dict of those seen so far.
+    """Ids of stretches without white space, as bytes; a dict of those seen lately.
 
-    White space never becomes part of a token, so a text's ids are those of its stretches in order.
+    White space never becomes part of a token, so a text's ids are those of its stretches in order. When the dict is
+    full, a new one begins, and what is still asked for moves over from the one before.
     """
 
     def __init__(self, tokenizer: str) -> None:
@@ -291,24 +292,53 @@ class Words(dict):
 
         super().__init__()
         self.model = Tokenizer.from_str(tokenizer)
+        self.before: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(self._part(part) for part in stretches(text))
+    def __missing__(self, word: str) -> bytes:
+        self[word] = ids = self.before[word]
+        return ids
 
-    def _part(self, part: str) -> bytes:
-        words = [w for w in re.split("[ \t\n\r]+", part) if w]
-        new = [w for w in set(words) if w not in self]
-        if len(self) + len(new) > REMEMBERED:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        if any(len(text) > STRETCH for text in texts):
+            return [b"".join(self._short([part])[0] for part in stretches(text)) for text in texts]
+        return self._short(texts)
+
+    def _short(self, texts: list[str]) -> list[bytes]:
+        # other white space than these is left to the tokenizer
+        found = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
+        if len(self) > REMEMBERED:
+            self.before = dict(self)
             self.clear()
-            new = list(set(words))
-        encoded = self.model.encode_batch(new, add_special_tokens=False)
-        found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encoded, strict=True)}
-        self.update(found)
-        ids = b"".join(map(self.__getitem__, words))
-        for word in found:
-            if len(word) > LONGEST:
-                del self[word]
-        return ids
+        unknown = {w for w in set().union(*found) if w not in self and w not in self.before}
+        split = {w: _plain(w) for w in unknown}
+        self._learn({part for parts in split.values() for part in parts})
+        for word, (core, tail) in split.items():
+            self[word] = self[core] + self[tail]
+        out = [b"".join(map(self.__getitem__, words)) for words in found]
+        for word in [w for w in unknown if len(w) > LONGEST]:
+            del self[word]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self and w not in self.before]
+        if new:
+            encoded = self.model.encode(new, is_pretokenized=True, add_special_tokens=False)
+            ids, of = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
+            raw, ends = ids.tobytes(), (np.searchsorted(of, np.arange(len(new)), side="right") * 4).tolist()
+            self.update((w, raw[i:j]) for w, i, j in zip(new, [0, *ends[:-1]], ends, strict=True))
+
+
+def _plain(word: str) -> tuple[str, str]:
+    """A word with its first letter small, as the tokenizer makes it, and the full stops and commas after a letter or
+    digit, which are tokens of their own."""
+    core = word.rstrip(".,")
+    if not core or not core[-1].isalnum():
+        core = word
+    tail = word[len(core) :]
+    if "A" <= core[:1] <= "Z":
+        core = core[0].lower() + core[1:]
+    return core, tail
 
 
 def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
@@ -346,8 +376,8 @@ def _pieces(
 
     def cut_up(rows: pa.RecordBatch, words: Words, part: int, seen: np.ndarray) -> pa.RecordBatch:
         source, piece, length, crc, ids = [], [], [], [], []
-        for i, text in enumerate(rows.column("text").to_pylist()):
-            data = words.encode(text) + end
+        for i, data in enumerate(words.encode(rows.column("text").to_pylist())):
+            data += end
             for k, at in enumerate(range(0, len(data), 4 * capacity)):
                 part_of = data[at : at + 4 * capacity]
                 source.append(i)
