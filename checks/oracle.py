@@ -411,14 +411,94 @@ def oracle_sql() -> dict[str, str]:
         k: v.replace("p41270", "plain").replace(".", "") for k, v in _OCD.items() if k.startswith("icd10")
     } | {k: v.replace("p41270", "plain").replace(".", "") for k, v in _DEPRESSION_CODES.items() if "icd10" in k}
     join_check = (
-        "select eid, p20127, p20544 is null as no_multi, p20406, len(p41270) as n_icd10, p20002_i0_a0 from cohort"
+        f"select eid, p20127, p20544 is null as no_multi, {_joined('p20544')}, p20406, len(p41270) as n_icd10,"
+        f" {_joined('p41270')}, {_joined('p20002')}, p20002_i0_a0 from cohort"
     )
+    some_ids = (
+        f"select eid, p20127, {_joined('p20544')}, p20406, {_joined('p41270')}, {_joined('p20002')} from cohort"
+        " where eid in (select o_custkey from orders where o_orderstatus = 'P')"
+    )
+    any_ids = (
+        "with o as (select case when o_orderkey % 7 <> 0 then o_custkey end as eid, o_orderkey % 1000 as ordered from orders),"
+        " e as (select case when event_id % 5 <> 0 then user_id end as eid, event_id % 100 as event from events),"
+        " s as (select s_suppkey as eid, s_nationkey as nation from supplier),"
+        " j as (select * from o full join e using (eid) full join s using (eid))"
+        " select eid, count(*) as n_rows, count(ordered) as n_ordered, count(event) as n_event,"
+        " cast(sum(nation) as bigint) as nations, cast(sum(ordered * event) as bigint) as products,"
+        " count(distinct case when ordered is not null and event is not null then ordered * 1000 + event end) as n_pairs"
+        " from j group by eid"
+    )
+    later_cells = ", ".join(
+        f"case when eid % 3 <> 0 then p20002_i{i}_a{m} end as p20002_i{i}_a{m}" for i in (2, 3) for m in range(7)
+    )
+    every_cell = [f"p20002_i{i}_a{m}" for i in VISITS for m in range(7)]
+    two_tables = (
+        f"select eid, array_to_string(list_sort(list_distinct([{', '.join(every_cell)}])), ',') as p20002, "
+        + ", ".join(f"array_to_string(list_sort(p20002_i{i}), ',') as p20002_i{i}" for i in (0, 1))
+        + ", "
+        + ", ".join(
+            f"case when eid % 3 <> 0 then array_to_string(list_sort(p20002_i{i}), ',') end as p20002_i{i}" for i in (2, 3)
+        )
+        + f" from (select * replace ({later_cells}) from interview)"
+    )
+    listed = [
+        *(("asm_interview", f"p20002_i{i}_a{m}", 20002, i, m) for i in VISITS for m in range(7)),
+        ("asm_touch", "p20127", 20127, "null", "null"),
+        ("asm_online_multi", "p20544", 20544, "null", "null"),
+        ("asm_hospital", "p41270", 41270, "null", "null"),
+    ]
+    lookup = " union all ".join(
+        f"select '{table}' as \"table\", '{column}' as \"column\", {field} as field, cast({visit} as integer) as instance,"
+        f" cast({element} as integer) as element, count({column}) as n_present from {table.removeprefix('asm_')}"
+        for table, column, field, visit, element in listed
+    )
+    two_visits = {}
+    for i in range(3):
+        two_visits[f"rise_{i}"] = f"p5375_i{i + 1} - p5375_i0"
+        two_visits[f"first_told_{i}"] = f"p6156_i{i}_a0"
+        two_visits[f"told_at_first_{i}"] = "list_has_any(p6156_i0, [11, 12])"
+        two_visits[f"worse_than_at_first_{i}"] = f"rise_{i} > 0 or p4609_i3 = 1"
+    two_visits["worse_than_at_first"] = " or ".join(f"worse_than_at_first_{i}" for i in range(3))
+    reverse = "case when p20514 = -818 then 4 else 4 - p20514 end"
+
+    def zero(column: str) -> str:
+        return f"case when {column} = -818 then 0 else {column} end"
+
+    mixed = {
+        "mixed_score": f"{reverse} + {zero('p20510')} + p20517",
+        "mixed": "mixed_score >= 6",
+        "other_score": f"{reverse} + {zero('p20519')}",
+        "other": "other_score >= 4",
+    }
+    thresholds = {
+        "long_hours": "p1200 >= 2",
+        "often": "p20414 > 2",
+        "either_often": "p20127 >= 9 or p20403 >= 4",
+    }
+    how_often = {
+        "how_often": "case when p20414 = -818 then 'not said' when p20414 < 2 then 'seldom' when p20414 < 4 then 'often' end",
+        "said": "how_often <> 'not said'",
+    }
     sql = {
         # scans and joins
         "field_scan": over("touch", f"select eid, p1200, {', '.join(touch_items)} from touch"),
         "source_table": over("hospital interview online", f"select {', '.join(ptsd_source)} from cohort"),
         "outer_join_tables": over(ALL, join_check),
         "outer_join_tables_stacked": over(ALL, join_check),
+        "outer_join_of_some_ids": over(ALL, some_ids),
+        "join_of_any_ids": any_ids,
+        "join_of_any_ids_counted": any_ids,
+        "array_over_two_tables": over("interview", two_tables),
+        "bucketed_round_trip": phenotypes(
+            "hospital interview online touch",
+            COMPOSITES["ptsd"] | _any("ptsd", *CHILDREN["ptsd"]) | _NEUROTICISM,
+            _levels(["ptsd", "neuroticism"]),
+        ),
+        "catalogue_lookup": over("touch interview hospital online_multi", lookup),
+        "two_visit_rule": phenotypes("touch", two_visits),
+        "recode_per_field": phenotypes("online", mixed),
+        "own_threshold": phenotypes("touch online", thresholds),
+        "own_case_recode": phenotypes("online", how_often),
         # arrays
         "pack_instance_array": over(
             "interview", f"select eid, {', '.join(_joined(f'p20002_i{i}') for i in VISITS)} from interview"

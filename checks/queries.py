@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 from traitweave import AnyOf, CodeSet, CohortEngine, EqualsOne, FlagRule, Phenotype, Score, evaluate
 from traitweave.functions.arrays import contains_any, has_at_least, intersect_codes
 from traitweave.functions.scores import replace_missing_code, total
+from traitweave.operators.joins import outer_join
 from traitweave.phenotypes import CATALOGUE, STANDARD_RUN, rules
 from traitweave.phenotypes.vocabularies import ever_diagnosed, icd9, icd10, interview
 from traitweave.sources.assessment import assessment_tables
-from traitweave.sources.writers import flat_csv_frame, write_csv, write_parquet
+from traitweave.sources.catalogue import StoredCatalogue
+from traitweave.sources.writers import flat_csv_frame, write_bucketed, write_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,13 +92,85 @@ def outer_join_tables(mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
             "eid",
             "p20127",
             F.col("p20544").isNull().alias("no_multi"),
+            "p20544",
             "p20406",
             F.when(F.col("p41270").isNotNull(), F.size("p41270")).alias("n_icd10"),
+            "p41270",
+            "p20002",
             "p20002_i0_a0",
         )
     )
 
 
+def outer_join_of_some_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Participants with an open order only; the other rows of each table go before the join."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    some = orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("eid"))
+    wide = engine(spark, sf_dir).get_table(20127, 20544, 20406, 41270, 20002, only=some)
+    return comparable(wide.select("eid", "p20127", "p20544", "p20406", "p41270", "p20002"))
+
+
+def join_of_any_ids(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
+    """Orders, events and lines as tables whose ids repeat, are missing or are in one table only.
+
+    Every id of all three has hundreds of combinations, so most are joined in fragments.
+    """
+
+    def table(name: str, eid: str, value: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet").selectExpr(f"{eid} AS eid", f"{value}")
+
+    tables = [
+        table("orders", "CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END", "o_orderkey % 1000 AS ordered"),
+        table("events", "CASE WHEN event_id % 5 <> 0 THEN user_id END", "event_id % 100 AS event"),
+        table("supplier", "s_suppkey", "s_nationkey AS nation"),
+    ]
+    joined = outer_join(tables, hot_rows)
+    return joined.groupBy("eid").agg(
+        F.count("*").alias("n_rows"),
+        F.count("ordered").alias("n_ordered"),
+        F.count("event").alias("n_event"),
+        F.sum("nation").cast("bigint").alias("nations"),
+        F.sum(F.col("ordered") * F.col("event")).cast("bigint").alias("products"),
+        F.countDistinct("ordered", "event").alias("n_pairs"),
+    )
+
+
+def array_over_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field whose first visits are in one table and the later ones, for some participants only, in another."""
+    told = assessment_tables(spark, sf_dir)["asm_interview"]
+    early = told.select("eid", *[c for c in told.columns if c.startswith(("p20002_i0", "p20002_i1"))])
+    later = told.select("eid", *[c for c in told.columns if c.startswith(("p20002_i2", "p20002_i3"))]).filter("eid % 3 <> 0")
+    wide = CohortEngine({"early": early, "later": later}).get_table(20002)
+    return comparable(wide.select("eid", "p20002", *[f"p20002_i{i}" for i in range(4)]))
+
+
+def bucketed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The participant tables written in buckets, read again, and joined without an exchange."""
+    run = uuid.uuid4().hex
+    tables = {}
+    for name, df in assessment_tables(spark, sf_dir).items():
+        table = f"{name}_{run}"
+        write_bucketed(df, table, buckets=8, path=output_path(spark, table))
+        tables[name] = spark.table(table)
+    specs = [CATALOGUE["ptsd"], CATALOGUE["neuroticism"]]
+    return comparable(CohortEngine(tables, colocated=True).query(*specs, hot_rows=None))
+
+
+def catalogue_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many participants have a value in each column of some fields, the columns found in a stored catalogue."""
+    tables = assessment_tables(spark, sf_dir)
+    path = output_path(spark, "catalogue")
+    write_parquet(CohortEngine(tables).catalogue.entries(spark), path)
+    stored = StoredCatalogue(spark.read.parquet(path))
+    scan = CohortEngine(tables, stored).scan(20002, 20127, 20544, 41270)
+    parts = []
+    for table, frame in scan.frames.items():
+        columns = [c for c in frame.columns if c in tables[table].columns and c != "eid"]
+        counts = frame.agg(*[F.count(c).alias(c) for c in columns])
+        parts.append(counts.unpivot([], columns, "column", "n_present").withColumn("table", F.lit(table)))
+    return reduce(DataFrame.union, parts).join(stored.entries, ["table", "column"])
+
+
 # ------------------------------------------------------------------ evaluation and scores
 
 
@@ -150,6 +224,56 @@ def custom_rule() -> FlagRule:
     )
 
 
+def two_visit_rule() -> FlagRule:
+    """Rules over several visits and single cells: mood worse than on the first visit, and the first thing told."""
+    return FlagRule(
+        "worse_than_at_first",
+        fields=[4609, 5375, 6156],
+        visits=3,
+        helpers={
+            "rise": lambda scope: scope.field(5375, visit=scope.visit + 1) - scope.field(5375, visit=0),
+            "first_told": lambda scope: scope.field(6156, element=0),
+            "told_at_first": lambda scope: scope.any_code(6156, [11, 12], visit=0),
+        },
+        rule=lambda scope: (scope.column("rise") > 0) | (scope.field(4609, visit=3) == 1),
+    )
+
+
+def recode_per_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of one score recoded differently, and an item that two scores share."""
+
+    def reversed_answer(item: Column) -> Column:
+        return F.when(item == -818, 4).otherwise(4 - item)
+
+    first = Score(
+        "mixed",
+        fields=[20514, 20510, 20517],
+        levels=[3, 6],
+        recode={20514: reversed_answer, 20510: replace_missing_code},
+    )
+    second = Score("other", fields=[20514, 20519], levels=[4], recode={20514: reversed_answer, 20519: replace_missing_code})
+    return comparable(_without_levels(engine(spark, sf_dir).query(first, second)))
+
+
+def own_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of thresholds on answers of several tables, as rules of the caller's own."""
+    specs = [
+        FlagRule("long_hours", fields=[1200], rule=lambda scope: scope.field(1200) >= 2),
+        FlagRule("often", fields=[20414], rule=lambda scope: scope.field(20414) > 2),
+        FlagRule("either_often", fields=[20127, 20403], rule=lambda scope: (scope.field(20127) >= 9) | (scope.field(20403) >= 4)),
+    ]
+    return comparable(_without_levels(engine(spark, sf_dir).query(*specs)))
+
+
+def own_case_recode(df: DataFrame) -> DataFrame:
+    """Answers in words of the caller's own, the missing code apart from null."""
+    group = lambda scope: (
+        F.when(scope.field(20414) == -818, "not said").when(scope.field(20414) < 2, "seldom").when(scope.field(20414) < 4, "often")
+    )
+    spec = FlagRule("said", fields=[20414], helpers={"how_often": group}, rule=lambda scope: scope.column("how_often") != "not said")
+    return evaluate(df, spec).select("eid", "how_often", "said")
+
+
 # ------------------------------------------------------------------ sinks
 
 
@@ -185,6 +309,16 @@ def registered() -> dict[str, Query]:
         "source_table": source_table,
         "outer_join_tables": partial(outer_join_tables, "outer"),
         "outer_join_tables_stacked": partial(outer_join_tables, "stack"),
+        "outer_join_of_some_ids": outer_join_of_some_ids,
+        "join_of_any_ids": partial(join_of_any_ids, hot_rows=200),
+        "join_of_any_ids_counted": partial(join_of_any_ids, hot_rows=1_000_000),
+        "array_over_two_tables": array_over_two_tables,
+        "bucketed_round_trip": bucketed_round_trip,
+        "catalogue_lookup": catalogue_lookup,
+        "two_visit_rule": phenotypes(two_visit_rule()),
+        "recode_per_field": recode_per_field,
+        "own_threshold": own_threshold,
+        "own_case_recode": over("asm_online", own_case_recode),
         "pack_instance_array": over("asm_interview", lambda df: df.select("eid", *[f"p20002_i{i}" for i in range(4)])),
         "merge_instances_array": over("asm_interview", lambda df: df.select("eid", "p20002")),
         "contains_any": over(

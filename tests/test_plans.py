@@ -62,7 +62,8 @@ def test_one_table_needs_no_shuffle(stored):
     assert "p99999" not in plan
 
 
-def test_outer_join_forces_no_broadcast(stored):
+def test_outer_join_broadcasts_only_the_marks(stored):
+    """The marks are hashes of a fixed number of values; ids and rows are never broadcast."""
     spark = stored.get_table(1200).sparkSession
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -70,10 +71,29 @@ def test_outer_join_forces_no_broadcast(stored):
         simple = plan_of(stored.query(CATALOGUE["ptsd"], hot_rows=None))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastExchange" not in plan
+    lines = plan.splitlines()
+    sent = [lines[i + 1] for i, line in enumerate(lines) if "BroadcastExchange" in line]
+    assert len(sent) == 1 and "__axes" in sent[0]
+    assert "functions=[max_by(" in plan  # one id for each mark
     assert "BroadcastExchange" not in simple
-    assert simple.count("SortMergeJoin") == 2
-    assert "FullOuter" in simple
+    assert "Join" not in simple
+
+
+def scans(plan):
+    return len(re.findall(r"FileScan parquet", plan))
+
+
+@pytest.mark.parametrize("specs", [[CATALOGUE["ptsd"]], STANDARD_RUN])
+def test_outer_join_reads_each_table_three_times_at_most(stored, specs):
+    """For the rows, for the ids alone, and for the rows without an id."""
+    stacked = scans(plan_of(stored.query(*specs, join_mode="stack")))
+    outer = plan_of(stored.query(*specs))
+    assert scans(outer) <= 3 * stacked
+    ids_only = re.findall(r"ReadSchema: struct<eid:bigint>", outer)
+    assert len(ids_only) == stacked
+    simple = plan_of(stored.query(*specs, hot_rows=None))
+    assert scans(simple) <= 2 * stacked
+    assert len(re.findall("Exchange hashpartitioning", simple)) == 1
 
 
 def test_stack_join_refuses_missing_ids_before_the_shuffle(spark):

@@ -13,7 +13,7 @@ SQL = entry_points.oracle_sql()
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()
-    for table in ("orders", "lineitem", "events", "documents", "benchmark"):
+    for table in ("orders", "lineitem", "events", "supplier", "documents", "benchmark"):
         connection.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     return connection
 

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 EID = "eid"
 
 _FIELD_NUMBER = re.compile(r"^p(\d+)(?:_|$)")
+_ADDRESS = re.compile(r"^p(\d+)(?:_i(\d+)(?:_a(\d+))?)?$")
 _CELL = re.compile(r"^p(\d+)_i(\d+)_a(\d+)$")
 
 
@@ -39,6 +40,15 @@ def field_number(column: str) -> int | None:
     return int(match.group(1)) if match else None
 
 
+def address(column: str) -> tuple[int, int | None, int | None]:
+    """Field, visit and element of a field's column; parts it does not name are None."""
+    match = _ADDRESS.match(column)
+    if not match:
+        return field_number(column), None, None
+    field, visit, element = match.groups()
+    return int(field), None if visit is None else int(visit), None if element is None else int(element)
+
+
 def sql_name(column: str) -> str:
     """A column name quoted for SQL text."""
     return "`" + column.replace("`", "``") + "`"

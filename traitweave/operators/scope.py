@@ -22,6 +22,8 @@ if TYPE_CHECKING:
     from traitweave.operators.specs import Step
 
 Recode = Callable[[Column], Column]
+#: Stands for the visit a spec is being evaluated on.
+HERE = -1
 
 
 class Scope:
@@ -40,15 +42,17 @@ class Scope:
     def visit(self) -> int | None:
         return self._step.visit
 
-    def field(self, number: int) -> Column:
-        """The field on the current visit, with the spec's recoding applied."""
-        column = self._source(self._resolve(number))
-        recode = self._step.recodes.get(number)
-        return recode(column) if recode else column
+    def field(self, number: int, visit: int | None = HERE, element: int | None = None) -> Column:
+        """The field, with the spec's recoding applied.
 
-    def any_code(self, number: int, codes: Iterable[int | str]) -> Column:
-        """Whether the array field holds at least one of the codes."""
-        name = self._resolve(number)
+        It is read on the current visit unless another is named (None: the
+        column without a visit); ``element`` names one cell of a multi-valued answer.
+        """
+        return self._recoded(self._resolve(number, visit, element), self._step.recodes.get(number))
+
+    def any_code(self, number: int, codes: Iterable[int | str], visit: int | None = HERE) -> Column:
+        """Whether the array field holds at least one of the codes, on the current visit unless another is named."""
+        name = self._resolve(number, visit)
         type_ = self._types[name]
         if not isinstance(type_, T.ArrayType):
             raise ValueError(f"column {name} holds {type_.simpleString()}, but a code list needs an array")
@@ -67,8 +71,14 @@ class Scope:
     def _match(self, name: str, codes: list[int | str], element: T.DataType) -> Column:
         return contains_any(self._source(name), codes, element)
 
-    def _resolve(self, number: int) -> str:
-        name = field_column(number, self.visit)
+    def _recoded(self, name: str, recode: Recode | None) -> Column:
+        return recode(self._source(name)) if recode else self._source(name)
+
+    def _resolve(self, number: int, visit: int | None = HERE, element: int | None = None) -> str:
+        visit = self.visit if visit == HERE else visit
+        if element is not None and visit is None:
+            raise ValueError(f"field {number}: element {element} exists on a visit only")
+        name = field_column(number, visit, element)
         if name in self._types:
             return name
         family = sorted(c for c in self._types if c == f"p{number}" or c.startswith(f"p{number}_"))
@@ -84,8 +94,10 @@ class RowScope(Scope):
         created: Container[str],
         named: Callable[[str], Column] = F.col,
         plain_codes: Callable[[str], str] | None = None,
+        shared_recode: Callable[[str, Recode], str] | None = None,
     ):
         super().__init__(types, step)
+        self._shared_recode = shared_recode
         self._known = created
         self._named = named
         self._plain_codes = plain_codes
@@ -98,6 +110,11 @@ class RowScope(Scope):
             )
         return self._source(name)
 
+    def _recoded(self, name: str, recode: Recode | None) -> Column:
+        if recode is None or self._shared_recode is None:
+            return super()._recoded(name, recode)
+        return self._source(self._shared_recode(name, recode))
+
     def _source(self, name: str) -> Column:
         if name not in self.reads:
             self.reads.append(name)

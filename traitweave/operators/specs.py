@@ -27,7 +27,8 @@ class Step:
 
     ``null_if_absent`` says that the value is null whenever all inputs are null;
     where it is unset, the value for participants without any input is worked
-    out by evaluating the expression on nulls.
+    out by evaluating the expression on nulls. ``promised`` says that it was set
+    by the author of a rule; it is then checked when the query is planned.
     """
 
     name: str
@@ -35,7 +36,9 @@ class Step:
     visit: int | None = None
     visible: bool = True
     null_if_absent: bool = False
+    promised: bool = False
     recodes: Mapping[int, Recode] = field(default_factory=lambda: _NOTHING)
+    recode_once: bool = False
     local_names: Mapping[str, str] = field(default_factory=lambda: _NOTHING)
 
 
@@ -55,7 +58,8 @@ class Phenotype:
     in parts, one per table: then only the parts travel through the join, not
     the answers. ``null_if_absent`` is a promise that everything the spec
     computes is null for a participant all of whose answers are null, which
-    spares working that value out; the kinds below that need no promise ignore it.
+    spares a marker for the table in the join; it is checked on a row of nulls, and a
+    wrong one fails the query. The kinds below that need no promise ignore it.
     """
 
     name: str = field(kw_only=False)
@@ -96,10 +100,19 @@ class Phenotype:
     def _part_names(self, visit: int | None) -> dict[str, str]:
         return {part: f"__{on_visit(self.name, visit)}_{part}" for part in self.parts}
 
-    def _part_steps(self, visit: int | None, recodes: Mapping[int, Recode] = _NOTHING) -> Iterator[Step]:
+    def _part_steps(
+        self, visit: int | None, recodes: Mapping[int, Recode] = _NOTHING, recode_once: bool = False
+    ) -> Iterator[Step]:
         for part, name in self._part_names(visit).items():
             yield Step(
-                name, self.parts[part], visit, visible=False, null_if_absent=self.null_if_absent, recodes=recodes
+                name,
+                self.parts[part],
+                visit,
+                visible=False,
+                null_if_absent=self.null_if_absent,
+                promised=self.null_if_absent,
+                recodes=recodes,
+                recode_once=recode_once,
             )
 
 
@@ -174,13 +187,16 @@ class FlagRule(Phenotype):
     def _visit_steps(self, visit, severity):
         helpers = {name: on_visit(name, visit) for name in self.helpers}
         for name, build in self.helpers.items():
-            yield Step(helpers[name], build, visit, null_if_absent=self.null_if_absent)
+            yield Step(
+                helpers[name], build, visit, null_if_absent=self.null_if_absent, promised=self.null_if_absent
+            )
         yield from self._part_steps(visit)
         yield Step(
             on_visit(self.name, visit),
             self.rule,
             visit,
             null_if_absent=self.null_if_absent,
+            promised=self.null_if_absent,
             local_names={**helpers, **self._part_names(visit)},
         )
 
@@ -194,14 +210,16 @@ class Score(Phenotype):
     """A numeric score, a flag on it and, on request, the severity band.
 
     Items pass through ``recode`` first (the missing code counts as zero), but
-    for those in ``keep_raw``; ``recode=None`` leaves all of them alone. The
-    score is their sum unless a ``scorer`` is given.
+    for those in ``keep_raw``; ``recode=None`` leaves all of them alone. A mapping
+    from field to recode treats items differently and leaves those it does not
+    name alone; an item that several specs recode alike is worked out once. The
+    score is the sum of the items unless a ``scorer`` is given.
     """
 
     levels: Sequence[int] = ()
     labels: Sequence[str] | None = None
     scorer: Rule | None = None
-    recode: Recode | None = scores.replace_missing_code
+    recode: Recode | Mapping[int, Recode] | None = scores.replace_missing_code
     keep_raw: Sequence[int] = ()
     to_flag: Callable[[Column, Sequence[int]], Column] = scores.at_least_level()
     score_name: str | None = None
@@ -218,22 +236,35 @@ class Score(Phenotype):
                 raise ValueError(f"{self.name}: {len(self.levels)} levels need {len(self.levels) + 1} labels")
         if not self.fields and self.scorer is None:
             raise ValueError(f"{self.name}: neither fields to sum nor a scorer")
+        if isinstance(self.recode, Mapping):
+            unknown = sorted(set(self.recode) - set(self.fields))
+            if unknown:
+                raise ValueError(f"{self.name}: recode names fields it does not read: {', '.join(map(str, unknown))}")
         if self.score_name is None:
             object.__setattr__(self, "score_name", f"{self.name}_score")
         if self.severity_name is None:
             object.__setattr__(self, "severity_name", f"{self.name}_severity")
 
+    def _recodes(self) -> Mapping[int, Recode]:
+        if self.recode is None:
+            return _NOTHING
+        each = self.recode if isinstance(self.recode, Mapping) else dict.fromkeys(self.fields, self.recode)
+        return {f: recode for f, recode in each.items() if f not in self.keep_raw}
+
     def _visit_steps(self, visit, severity):
         score_name = on_visit(self.score_name, visit)
-        recodes = {f: self.recode for f in self.fields if f not in self.keep_raw} if self.recode else _NOTHING
-        plain_sum = self.scorer is None and self.recode in (None, scores.replace_missing_code)
-        yield from self._part_steps(visit, recodes)
+        recodes = self._recodes()
+        plain_sum = self.scorer is None and set(recodes.values()) <= {scores.replace_missing_code}
+        shared = isinstance(self.recode, Mapping)
+        yield from self._part_steps(visit, recodes, shared)
         yield Step(
             score_name,
             self.scorer or (lambda scope: sum_of_fields(self, scope)),
             visit,
             null_if_absent=self.null_if_absent or plain_sum,
+            promised=self.null_if_absent and not plain_sum,
             recodes=recodes,
+            recode_once=shared,
             local_names=self._part_names(visit),
         )
         if severity and self.labels is not None:
@@ -248,4 +279,5 @@ class Score(Phenotype):
             lambda scope: self.to_flag(scope.column(score_name), self.levels),
             visit,
             null_if_absent=self.null_if_absent or self.to_flag is Score.to_flag,
+            promised=self.null_if_absent and self.to_flag is not Score.to_flag,
         )

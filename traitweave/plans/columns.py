@@ -6,12 +6,12 @@ from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from traitweave.functions.arrays import undotted
-from traitweave.operators.scope import AbsentScope, RowScope
+from traitweave.operators.scope import AbsentScope, Recode, RowScope
 from traitweave.operators.specs import Phenotype, Step
 
 
@@ -25,6 +25,7 @@ class Planned:
     visible: bool
     null_if_absent: bool
     absent: Callable[[], Column] = field(repr=False, compare=False)
+    promised: bool = False
 
 
 def source_fields(specs: Iterable[Phenotype]) -> set[int]:
@@ -88,10 +89,27 @@ def plan_columns(
             )
         return name
 
+    recoded: dict[tuple[str, Recode], str] = {}
+
+    def recode_once(source: str, recode: Recode) -> str:
+        """The column of an item as one recode leaves it, whoever asks for it."""
+        if (source, recode) not in recoded:
+            name = recoded[source, recode] = f"__{source}_recoded_{len(recoded)}"
+            planned[name] = Planned(
+                name,
+                recode(F.col(source)),
+                (source,),
+                visible=False,
+                null_if_absent=False,
+                absent=cache(lambda: recode(F.lit(None).cast(types[source]))),
+            )
+        return recoded[source, recode]
+
     def add(step: Step) -> None:
         if step.name in planned:
             raise ValueError(f"two phenotypes create a column named {step.name}")
-        scope = RowScope(types, step, planned, named, plain_codes if normalize_codes else None)
+        shared = recode_once if step.recode_once else None
+        scope = RowScope(types, step, planned, named, plain_codes if normalize_codes else None, shared)
         column = step.build(scope)
         planned[step.name] = Planned(
             step.name,
@@ -100,6 +118,7 @@ def plan_columns(
             step.visible,
             step.null_if_absent and all(planned[r].null_if_absent for r in scope.reads if r in planned),
             absent=cache(lambda: step.build(AbsentScope(types, step, absent))),
+            promised=step.promised,
         )
 
     for spec in walk(specs, skip):
@@ -108,6 +127,21 @@ def plan_columns(
     return list(planned.values())
 
 
+def check_promises(planned: Iterable[Planned], spark: SparkSession) -> None:
+    """Work out, on a row of nulls, every column that is promised to be null there; a broken promise is an error.
+
+    The row is a local one, so that no job runs.
+    """
+    promised = [p for p in planned if p.promised]
+    if not promised:
+        return
+    nothing = spark.sql("SELECT * FROM VALUES (1) AS t(one)")
+    (row,) = nothing.select(*[p.absent().isNotNull().alias(p.name) for p in promised]).collect()
+    broken = [p.name for p in promised if row[p.name]]
+    if broken:
+        raise ValueError(f"null_if_absent does not hold: {', '.join(broken)} has a value where all answers are null")
+
+
 def layers(planned: Iterable[Planned]) -> list[list[Planned]]:
     """Group columns so that each group only reads sources and earlier groups."""
     depth: dict[str, int] = {}

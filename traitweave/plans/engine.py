@@ -13,8 +13,8 @@ from traitweave.functions.naming import EID
 from traitweave.operators.joins import HOT_ROWS, join_tables
 from traitweave.operators.levels import level_column, level_labels, levels
 from traitweave.operators.specs import Phenotype
-from traitweave.plans.columns import Planned, create, plan_columns, source_fields
-from traitweave.sources.catalogue import FieldCatalogue
+from traitweave.plans.columns import Planned, check_promises, create, plan_columns, source_fields
+from traitweave.sources.catalogue import FieldCatalogue, StoredCatalogue
 from traitweave.sources.scan import FieldScan, scan_fields
 
 
@@ -24,40 +24,64 @@ class CohortEngine:
     ``tables`` maps table names to DataFrames with a column ``eid``.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame], catalogue: Mapping[str, Iterable[str]] | None = None):
+    def __init__(
+        self,
+        tables: Mapping[str, DataFrame],
+        catalogue: Mapping[str, Iterable[str]] | StoredCatalogue | None = None,
+        colocated: bool = False,
+    ):
+        """``colocated``: the tables are bucketed by id into the same number of buckets, see ``write_bucketed``."""
         self._tables = tables
-        self.catalogue = FieldCatalogue.of(catalogue or {name: df.columns for name, df in tables.items()})
+        self._colocated = colocated
+        if isinstance(catalogue, StoredCatalogue):
+            self.catalogue = catalogue
+        else:
+            self.catalogue = FieldCatalogue.of(catalogue or {name: df.columns for name, df in tables.items()})
 
     @classmethod
     def from_database(
-        cls, spark: SparkSession, database: str | None = None, catalogue: Mapping[str, Iterable[str]] | None = None
+        cls,
+        spark: SparkSession,
+        database: str | None = None,
+        catalogue: Mapping[str, Iterable[str]] | DataFrame | str | None = None,
+        colocated: bool = False,
     ) -> CohortEngine:
         """Engine over the tables of a database; those without an ``eid`` are left out.
 
-        With a ``catalogue`` (table name to column names) only the tables a
-        query needs are ever looked up.
+        With a ``catalogue`` only the tables a query needs are ever looked up. It
+        is a mapping from table name to column names, or a stored catalogue: a
+        frame of its entries, or the name of the table that holds them.
         """
+        if isinstance(catalogue, str):
+            catalogue = spark.table(_qualified(database, catalogue))
+        if isinstance(catalogue, DataFrame):
+            return cls(_TablesByName(spark, database), StoredCatalogue(catalogue), colocated)
         if catalogue is not None:
-            return cls(_TablesByName(spark, database, catalogue), catalogue)
+            return cls(_TablesByName(spark, database, catalogue), catalogue, colocated)
         found = {t.name: spark.table(_qualified(database, t.name)) for t in spark.catalog.listTables(database)}
-        return cls({name: df for name, df in found.items() if EID in df.columns})
+        return cls({name: df for name, df in found.items() if EID in df.columns}, colocated=colocated)
 
     def scan(self, *fields: int) -> FieldScan:
         """Pruned scans of the tables that hold the fields."""
-        return scan_fields(self._tables, self.catalogue, set(fields))
+        catalogue = self.catalogue.holding(fields)
+        catalogue.require(fields)
+        if isinstance(self.catalogue, StoredCatalogue):
+            self.catalogue.check(self._tables, catalogue, fields)
+        return scan_fields(self._tables, catalogue, set(fields))
 
     def get_table(
-        self, *fields: int, join_mode: str = "outer", hot_rows: int | None = HOT_ROWS
+        self, *fields: int, join_mode: str = "outer", hot_rows: int | None = HOT_ROWS, only: DataFrame | None = None
     ) -> DataFrame:
         """All columns of the fields and the arrays packed from them, one row per participant."""
         scan = self.scan(*fields)
-        return _merge_arrays(join_tables(list(scan.frames.values()), join_mode, hot_rows), scan)
+        joined = join_tables(list(scan.frames.values()), join_mode, hot_rows, only, self._colocated)
+        return _merge_arrays(joined, scan)
 
     def get_source_table(
-        self, *specs: Phenotype, join_mode: str = "outer", hot_rows: int | None = HOT_ROWS
+        self, *specs: Phenotype, join_mode: str = "outer", hot_rows: int | None = HOT_ROWS, only: DataFrame | None = None
     ) -> DataFrame:
         """``get_table`` of every field the specs and the phenotypes below them read."""
-        return self.get_table(*source_fields(specs), join_mode=join_mode, hot_rows=hot_rows)
+        return self.get_table(*source_fields(specs), join_mode=join_mode, hot_rows=hot_rows, only=only)
 
     def query(
         self,
@@ -65,6 +89,7 @@ class CohortEngine:
         return_only_created_columns: bool = True,
         join_mode: str = "outer",
         hot_rows: int | None = HOT_ROWS,
+        only: DataFrame | None = None,
         severity: bool = False,
         compact_levels: bool = False,
         normalize_codes: bool = False,
@@ -76,7 +101,8 @@ class CohortEngine:
         the code arrays and answers they come from.
 
         ``join_mode='outer'`` takes any ids; ``'stack'`` is the faster way for
-        ids that are unique in every table, and fails if they are not.
+        ids that are unique in every table, and fails if they are not. With
+        ``only``, a frame of ids, just these participants are read.
         """
         if not specs:
             raise ValueError("no phenotype is requested")
@@ -84,6 +110,7 @@ class CohortEngine:
         planned = _merge_steps(scan) + plan_columns(
             specs, scan.types, severity=severity, normalize_codes=normalize_codes
         )
+        check_promises(planned, next(iter(scan.frames.values())).sparkSession)
         early, late = _split_by_table(planned, scan)
 
         wanted = {p.name for p in planned if p.visible} | {r for p in late for r in p.reads}
@@ -102,7 +129,7 @@ class CohortEngine:
                 filled += [(p, _marker(table)) for p in defaulted]
             frames.append(frame.select(EID, *kept))
 
-        df = join_tables(frames, join_mode, hot_rows)
+        df = join_tables(frames, join_mode, hot_rows, only, self._colocated)
         if filled:
             df = df.withColumns({p.name: F.when(F.col(m), F.col(p.name)).otherwise(p.absent()) for p, m in filled})
         df = create(df, late)
@@ -175,7 +202,7 @@ def _qualified(database: str | None, table: str) -> str:
 class _TablesByName(Mapping):
     """Tables of a catalogue, looked up in the metastore when they are read."""
 
-    def __init__(self, spark: SparkSession, database: str | None, names: Iterable[str]):
+    def __init__(self, spark: SparkSession, database: str | None, names: Iterable[str] = ()):
         self._spark = spark
         self._database = database
         self._names = list(names)

@@ -5,7 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from traitweave.functions.naming import EID, field_number
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from traitweave.functions.naming import EID, address, field_number
+
+#: Columns of a stored catalogue: one row per column of a participant table.
+STORED = "table string, column string, field int, instance int, element int"
 
 
 @dataclass(frozen=True)
@@ -40,6 +46,20 @@ class FieldCatalogue:
         held = (self.by_field.get(f, {}).get(table, ()) for f in sorted(set(fields)))
         return [EID, *(name for names in held for name in names)]
 
+    def holding(self, fields: Iterable[int]) -> FieldCatalogue:
+        """The part of the catalogue a query of the fields needs; here all of it."""
+        return self
+
+    def entries(self, spark: SparkSession) -> DataFrame:
+        """The catalogue as a frame that can be stored; columns that belong to no field are left out."""
+        rows = [
+            (table, column, *address(column))
+            for table, names in self.columns.items()
+            for column in names
+            if field_number(column) is not None
+        ]
+        return spark.createDataFrame(rows, STORED)
+
     def require(self, fields: Iterable[int]) -> None:
         fields = set(fields)
         if not fields:
@@ -47,3 +67,31 @@ class FieldCatalogue:
         unknown = sorted(fields - set(self.by_field))
         if unknown:
             raise ValueError("no table holds field " + ", ".join(map(str, unknown)))
+
+
+@dataclass(frozen=True)
+class StoredCatalogue:
+    """A catalogue in a table (``table``, ``column``, ``field``, ``instance``, ``element``).
+
+    Only the rows of the fields a query reads are fetched, and only the tables
+    they name are ever opened. Those must have exactly the columns of the fields
+    that the catalogue lists; a stale catalogue is an error, not a lost visit.
+    """
+
+    entries: DataFrame
+
+    def holding(self, fields: Iterable[int]) -> FieldCatalogue:
+        wanted = sorted(set(fields))
+        rows = self.entries.filter(F.col("field").isin(wanted)).select("table", "column").collect()
+        columns: dict[str, list[str]] = {}
+        for table, column in rows:
+            columns.setdefault(table, []).append(column)
+        return FieldCatalogue.of(columns)
+
+    def check(self, tables: Mapping[str, DataFrame], found: FieldCatalogue, fields: Iterable[int]) -> None:
+        for table in found.columns:
+            there = {c for c in tables[table].columns if field_number(c) in set(fields)}
+            listed = set(found.columns[table])
+            if there != listed:
+                wrong = ", ".join(sorted(there ^ listed))
+                raise ValueError(f"the catalogue and table {table} do not agree on {wrong}")

@@ -11,6 +11,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).parquet(path)
 
 
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, mode: str = "errorifexists", path: str | None = None, key: str = "eid"
+) -> None:
+    """A table bucketed and sorted by the participant id.
+
+    Tables with the same number of buckets are joined without an exchange by an
+    engine that is told so (``colocated=True``). Rows are brought to their bucket
+    before they are written, so that each bucket is one file. ``path`` makes it an
+    external table there.
+    """
+    placed = df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet")
+    (placed.option("path", path) if path else placed).saveAsTable(table)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
