@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from traitweave.llm import alignment
+from traitweave.llm import alignment, common
 from traitweave.llm.queries import BYTE_LEVEL, PIECES, op11_cross_tokenizer_alignment
 
 SCHEMA = "doc_id long, text string, a string, b string, row string"
@@ -127,7 +127,7 @@ def test_long_texts_in_parts(spark, tokenizers, a_bytes, texts, monkeypatch):
 
 
 def test_byte_letters(a_bytes):
-    letters = alignment.byte_letters()
+    letters = common.byte_letters()
     assert len(letters) == 256 and set(letters.values()) == set(range(256))
     vocabulary = Tokenizer.from_file(BYTE_LEVEL).get_vocab()
     assert all(bytes(letters[c] for c in piece) == a_bytes[i] for piece, i in vocabulary.items() if i in a_bytes)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from traitweave.llm.common import cut, slices
+from traitweave.llm.common import byte_letters, cut, slices
 
 #: Pairs whose counts are broadcast (16 bytes each).
 FREQUENT = 2_000_000
@@ -218,14 +218,6 @@ class Tokenizers:
         return Tokens(joined, sizes[joined], counts)
 
 
-def byte_letters() -> dict[str, int]:
-    """The byte each character of a byte-level vocabulary stands for: printable ones themselves, the others in order
-    from U+0100 on."""
-    printable = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)}
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 def groups_of(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """The group of each A and of each B token, numbered over all texts in order.
 

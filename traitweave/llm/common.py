@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +53,33 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
+def shipped(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of a value together with the code of its classes, so that executors need no copy of this package.
+    Tasks read it with `received`."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast):
+    return pickle.loads(shared.value)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Written to the shared folder and read again: computed once, and safe when executors are lost."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Deletes tables of `cut` that nothing reads any more."""
+    for table in tables:
+        if table is not None:
+            spark = table.sparkSession
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batch: pa.RecordBatch, column: str, target: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -139,3 +162,11 @@ def sliding(ufunc: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     before = ufunc.accumulate(grid, axis=1).ravel()
     after = ufunc.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     return ufunc(after[:n], before[width - 1 : width - 1 + n])
+
+
+def byte_letters() -> dict[str, int]:
+    """The byte each character of a byte-level vocabulary stands for: printable ones themselves, the others in order
+    from U+0100 on."""
+    printable = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)}
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}

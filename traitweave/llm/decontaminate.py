@@ -96,9 +96,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         docs.select(F.struct(F.xxhash64(id_col), F.xxhash64(text_col)).alias("key"), F.col(text_col).alias("text")),
         benchmark, "key", "text", **options,
     ).filter("contaminated")
-    bad = bad.select(F.col("id").alias("_contaminated")).distinct()
-    key = F.struct(F.xxhash64(docs[id_col]), F.xxhash64(docs[text_col]))
-    return docs.join(bad, key == F.col("_contaminated"), "left_anti")
+    bad = bad.select(F.col("id").alias("key")).distinct()
+    # the row as one column, so that no name of its own clashes
+    key = F.struct(F.xxhash64(id_col), F.xxhash64(text_col)).alias("key")
+    return docs.select(F.struct("*").alias("row"), key).join(bad, "key", "left_anti").select("row.*")
 
 
 def _head(w: Column, at: Column, n: Column) -> Column:

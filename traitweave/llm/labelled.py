@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from traitweave.llm.common import Rolling
 
-#: Longer texts are scored like all others, but not used for fitting.
-LONGEST_EXAMPLE = 20_000
+#: More different labels than this are an error, for they are counted on the driver.
+MOST_LABELS = 10_000
 
 
 def remainder(id_col: Column, divisor: int) -> Column:
@@ -25,13 +25,17 @@ def fraction(id_col: Column) -> Column:
 def examples(rows: DataFrame, id_col: str, text_col: str, label_col: str, rows_wanted: int, by_label: bool) -> list[tuple[str, object]]:
     """About `rows_wanted` (text, label) pairs, chosen by a hash of the id, in the order of their ids.
 
-    `by_label`: as many of each label, as far as they go; else in the proportion of the labels. A sample has more
-    than its size by chance only; rows without text or label are left out.
+    `by_label`: as many of each label, as far as they go; else in the proportion of the labels. By chance a sample may
+    have more than its size; of more than twice its size the rows with the least hashes stay. Rows without text or
+    label are left out, and no text is too long.
     """
-    usable = rows.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= LONGEST_EXAMPLE))
-    counts = {r[0]: r[1] for r in usable.groupBy(label_col).count().limit(10_000).collect()}
+    rows = rows.select(id_col, text_col, label_col)
+    usable = rows.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+    counts = {r[0]: r[1] for r in usable.groupBy(label_col).count().limit(MOST_LABELS + 1).collect()}
     if not counts:
         return []
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"column {label_col} has more than {MOST_LABELS} different labels")
     each = rows_wanted / len(counts) if by_label else rows_wanted * 1.0
     total = sum(counts.values())
     share = {k: each / (n if by_label else total) for k, n in counts.items()}
@@ -39,7 +43,7 @@ def examples(rows: DataFrame, id_col: str, text_col: str, label_col: str, rows_w
     for label, wanted in share.items():
         one = (F.col(label_col) == F.lit(label)) & (fraction(F.col(id_col)) < wanted)
         chosen = one if chosen is None else chosen | one
-    picked = usable.filter(chosen).select(id_col, text_col, label_col).limit(2 * rows_wanted).collect()
+    picked = usable.filter(chosen).orderBy(fraction(F.col(id_col)), id_col).limit(2 * rows_wanted).collect()
     return [(r[1], r[2]) for r in sorted(picked, key=lambda r: (str(r[0]), r[1]))]
 
 

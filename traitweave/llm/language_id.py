@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitweave.llm.common import flat, slices
+from traitweave.llm.common import flat, received, shipped, slices
 from traitweave.llm.labelled import GramBuckets, examples
 
 BITS, WIDTH, SIZES = 15, 16, (1, 2, 3, 4)
@@ -59,6 +59,8 @@ class Subwords:
 
 def fit(pairs: list[tuple[str, str]], seed: int = 3, epochs: int = 6, rate: float = 0.5) -> LanguageModel:
     """From (text, language) pairs; short stretches of each text are learned too. A tenth of the pairs calibrates."""
+    if not pairs:
+        return LanguageModel((), np.zeros((1 << BITS, 0), np.float32), 1.0, 1.0)
     rng = np.random.default_rng(seed)
     languages = tuple(sorted({language for _, language in pairs}))
     number = {language: i for i, language in enumerate(languages)}
@@ -99,11 +101,8 @@ def fit(pairs: list[tuple[str, str]], seed: int = 3, epochs: int = 6, rate: floa
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> LanguageModel:
-    """Fit on a sample of the labelled rows of `docs`; an error if there are none."""
-    pairs = examples(docs, id_col, text_col, lang_col, sample, by_label=True)
-    if not pairs:
-        raise ValueError("no labelled texts to learn from")
-    return fit(pairs)
+    """Fit on a sample of the labelled rows of `docs`; without any, every text is `und` with score 0 and rejected."""
+    return fit(examples(docs, id_col, text_col, lang_col, sample, by_label=True))
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,7 +111,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     Text that is null or has no letter is `und` with score 0 and rejected. Whole texts count, whatever their length.
     Other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), text.rlike(r"\p{L}").alias("letters"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -121,13 +120,16 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords, model = Subwords(), shared.value
+        subwords, model = Subwords(), received(shared)
         names = np.array([*model.languages, UNDETERMINED], object)
         for batch in batches:
             for piece in slices(batch, "text"):
-                chance = _softmax(_logits(subwords, piece.column("text"), model) / model.temperature)
-                best = chance.argmax(axis=1)
                 letters = piece.column("letters").to_numpy(zero_copy_only=False)
+                if not model.languages:
+                    letters, chance = np.zeros(len(letters), bool), np.zeros((len(letters), 1))
+                else:
+                    chance = _softmax(_logits(subwords, piece.column("text"), model) / model.temperature)
+                best = chance.argmax(axis=1)
                 best, score = np.where(letters, best, len(names) - 1), np.where(letters, chance.max(axis=1), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -3,16 +3,18 @@
 1. Each text becomes the set of its word shingles. Equal sets are one node of the graph, however many copies they have.
 2. A SetSketch of a node: for each register the smallest of exponential hash values, on an exponential scale and
    truncated. Bands of neighbouring registers are bucket keys; nodes of a bucket are likely to be alike.
-3. In each bucket one pivot meets the other nodes (a star, linear in the bucket). Pairs whose likelihood, given both
-   sketches and set sizes, speaks against the similarity are left out; the others are compared on their full sets.
-   A quarter of the bands comes first; in the others the pivot meets only nodes of other components.
-4. Components of the links. Where a bucket still holds several components, its pairs between components are compared:
-   in small buckets by sketches first and then on full sets, in large ones on full sets in square blocks of bounded
-   size, of which no task gets more than a few. Only nodes outside the bucket's largest component meet the others, so
-   that a hot group that is one component costs nothing here.
+3. Rounds over 1, 1, 2, 4, 8 and 16 bands. In each bucket the nodes are first folded by component, on the map side; a
+   node of the largest component is the pivot and meets the nodes of all others (a star, linear in the bucket). Pairs
+   whose likelihood, given both sketches and set sizes, speaks against the similarity are left out; the others are
+   compared on their full sets. What a round links is one component in the next, so a hot group takes part in one
+   round and is then one row a bucket.
+4. Where a bucket still holds several components, its pairs between components are compared, all by their sketches and
+   the likely ones on full sets: in small buckets together, in large ones in square blocks of bounded size. Only nodes
+   outside the bucket's largest component meet the others.
 5. Components again; the smallest id of a component stays.
 
-Nothing is gathered on the driver but counts; every list is a table in the shared folder.
+Nothing is gathered on the driver but counts; every list is a table in the shared folder, and goes when the tables made
+from it are written.
 """
 
 from __future__ import annotations
@@ -25,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitweave.llm.common import Rolling, cut, flat, keyed, mix, slices
+from traitweave.llm.common import Rolling, cut, drop, flat, keyed, mix, slices
 
 #: Registers in a band, and bands. Sets of similarity 0.85 miss all bands with a chance of 1e-8, of 0.8 of 2e-6.
 BAND, BANDS = 5, 32
 REGISTERS = BAND * BANDS
-#: Bands whose stars come first. What they link, almost all of a group, takes no part in the stars of the others.
-EARLY, LATER = range(8), range(8, BANDS)
+#: The bands of each round of stars, and of each step of the search for nodes that share a bucket at all.
+ROUNDS = (range(1), range(1, 2), range(2, 4), range(4, 8), range(8, 16), range(16, BANDS))
+STEPS = (range(1), range(1, 4), range(4, BANDS))
 #: Base of the exponential scale: different sets agree on a register with a chance of (BASE - 1) / 4.
 BASE, RATE = 1.02, 22.2
 #: Standard errors by which the likeliest similarity may lie under the threshold without the pair being left out.
@@ -65,16 +68,20 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    rows = keyed(docs, id_col, text_col)
-    kind = rows.schema["id"].dataType.simpleString()
-    rows = cut(rows.mapInArrow(_sketches(words), f"id {kind}, k1 long, k2 long, n long, node binary, sketch binary"))
-    full = rows.filter("n > 0")
+    keys = keyed(docs, id_col, text_col)
+    kind = keys.schema["id"].dataType.simpleString()
+    sketched = cut(keys.mapInArrow(_sketches(words), f"id {kind}, k1 long, k2 long, n long, node binary, sketch binary"))
+    full = sketched.filter("n > 0")
     nodes = full.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("k1", "k2")).alias("key"))
     nodes = cut(nodes.select("node", "n", "sketch", "key.*"))
-    labels = _linked(keyed(docs, id_col, text_col), nodes, words, percent)
-    grouped = rows.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node"))
+    rows = cut(sketched.drop("sketch"))
+    drop(sketched)
+    labels = _linked(keys, nodes, words, percent)
+    drop(nodes)
+    grouped = cut(rows.join(labels, "node", "left").select("id", "k1", "k2", "n", F.coalesce("label", "node").alias("group")))
+    drop(rows, labels)
     least = cut(grouped.filter("n > 0").groupBy("group").agg(F.min("id").alias("least")))
-    joined = grouped.select("id", "k1", "k2", "n", F.when(F.col("n") > 0, F.col("group")).alias("group")).join(least, "group", "left")
+    joined = grouped.withColumn("group", F.when(F.col("n") > 0, F.col("group"))).join(least, "group", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
     return joined.select(
         "id",
@@ -87,7 +94,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """`node`, `label` (the smallest node it is connected with) of all ends of `edges` (a, b).
+    """`node`, `label` (the smallest node it is connected with) of all ends of `edges` (a, b), as a scratch table.
 
     Each round takes the smallest label of the neighbours and then that label's own label; labels are written out
     between rounds. Partial aggregation keeps nodes with many neighbours from gathering them.
@@ -100,44 +107,81 @@ def components(edges: DataFrame) -> DataFrame:
         near = near.select("node", F.col("label").alias("old"), F.least("near", "label").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         step = cut(near.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label")))
+        drop(labels)
+        labels = step
         if step.filter("old <> label").isEmpty():
-            return step.select("node", "label")
-        labels = step.select("node", "label")
+            drop(both)
+            return step
 
 
 def _linked(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    own = nodes.select("node", "sketch")
-    soon = cut(_sharing(own, own, EARLY))
-    late = _sharing(own, own.join(soon, "node", "left_anti"), LATER)
-    active = nodes.join(cut(soon.union(late)), "node")
+    """`node` and `label` of every node that has a link, as a scratch table."""
+    active = _active(nodes.select("node", "sketch"))
     # The texts of these nodes' first rows give their sets; they are few against all rows.
-    wanted = texts.select("k1", "k2", "text").join(active.select("node", "n", "sketch", "k1", "k2"), ["k1", "k2"])
+    chosen = nodes.join(active, "node").select("node", "n", "sketch", "k1", "k2")
+    wanted = texts.select("k1", "k2", "text").join(chosen, ["k1", "k2"])
     sets = cut(wanted.mapInArrow(_sets(words), "node binary, n long, sketch binary, grams binary").dropDuplicates(["node"]))
+    drop(active)
     light = sets.select("node", "n", "sketch")
 
-    labelled = light.withColumn("label", F.col("node"))
     labels = None
-    for bands in (EARLY, LATER):
-        links = cut(_verified(_stars(labelled, bands, percent), sets, percent))
-        if labels is None:
-            labels = components(links)
-        elif not links.isEmpty():
-            labels = components(_with_labels(links, labels))
-        labelled = cut(light.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    for bands in ROUNDS:
+        links = cut(_verified(_stars(_labelled(light, labels), bands, percent), sets, percent))
+        labels = _joined(links, labels)
 
     # Buckets that still hold several components and have pairs that no star has tested.
+    labelled = _labelled(light, labels)
+    parts = _buckets(labelled, range(BANDS)).groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("bucket").agg(
+        F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"), F.max("n").alias("most")
+    )
+    mixed = mixed.filter("size > 2 and labels > 1").withColumn("apart", F.col("size") - F.col("most"))
+    mixed = cut(mixed.select("bucket", "main", "size", "apart"))
     buckets = _buckets(labelled, range(BANDS))
-    mixed = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("least"), F.max("label").alias("most"))
-    mixed = cut(mixed.filter("size > 2 and least <> most").select("bucket", "size"))
-    open_rows = cut(buckets.join(mixed, "bucket").select("bucket", "node", "label", "size"))
-    small = open_rows.filter(F.col("size") <= SMALL).join(light, "node").repartition("bucket").sortWithinPartitions("bucket")
-    pairs = small.mapInArrow(_across(percent), "a binary, b binary").distinct()
-    more = _verified(pairs, sets, percent)
-    large = open_rows.filter(F.col("size") > SMALL)
+    small = buckets.join(mixed.filter(F.col("size") <= SMALL), "bucket").join(light, "node")
+    small = small.select("bucket", "node", "label", "n", "sketch").repartition("bucket").sortWithinPartitions("bucket")
+    pairs = small.mapInArrow(_across(percent), "a binary, b binary")
+    large = mixed.filter(F.col("size") > SMALL)
     if not large.isEmpty():
-        more = more.union(_blocks(large, sets, percent))
-    more = cut(more.distinct())
-    return labels if more.isEmpty() else components(_with_labels(more, labels))
+        pairs = pairs.union(_blocks(buckets.join(large, "bucket"), light, percent))
+    links = cut(_verified(pairs.distinct(), sets, percent))
+    labels = _joined(links, labels)
+    drop(mixed, sets)
+    return labels
+
+
+def _active(nodes: DataFrame) -> DataFrame:
+    """The nodes that share a bucket with another, as a scratch table. A node is looked up in further bands only as
+    long as it shares none, so that those of a hot bucket are few in the later steps."""
+    found: list[DataFrame] = []
+    rest = nodes
+    for bands in STEPS:
+        # A table of its own, so that a hot bucket can be split in the join.
+        sizes = cut(_buckets(nodes, bands).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+        some = cut(_buckets(rest, bands).join(sizes, "bucket", "left_semi").select("node").distinct())
+        drop(sizes)
+        found.append(some)
+        rest = rest.join(some, "node", "left_anti")
+    every = found[0].union(found[1]).union(found[2])
+    active = cut(every)
+    drop(*found)
+    return active
+
+
+def _labelled(light: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return light.withColumn("label", F.col("node"))
+    return light.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _joined(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The components of the labels and of new links; both tables are used up."""
+    if labels is not None and links.isEmpty():
+        drop(links)
+        return labels
+    new = components(links if labels is None else _with_labels(links, labels))
+    drop(links, labels)
+    return new
 
 
 def _with_labels(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -152,21 +196,16 @@ def _buckets(nodes: DataFrame, bands: range) -> DataFrame:
     return nodes.select(*kept, "sketch").mapInArrow(_bands(kept, bands), f"{columns}, bucket long, odd boolean")
 
 
-def _sharing(nodes: DataFrame, among: DataFrame, bands: range) -> DataFrame:
-    """The nodes of `among` that share a bucket of `bands` with another of `nodes`."""
-    # A table of its own, so that a hot bucket can be split in the join.
-    sizes = cut(_buckets(nodes, bands).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    return _buckets(among, bands).join(sizes, "bucket", "left_semi").select("node").distinct()
-
-
 def _stars(labelled: DataFrame, bands: range, percent: int) -> DataFrame:
-    """Likely pairs of a bucket's pivot and those of its other nodes that have another label."""
+    """Likely pairs of a bucket's pivot, a node of its largest component, and its nodes of other components."""
     buckets = _buckets(labelled, bands)
-    # Two orders of nodes, one for half of the bands: the first node of a bucket is its pivot.
-    first = F.min(F.struct(F.xxhash64("node", "odd").alias("turn"), "node", "label")).alias("first")
-    pivots = buckets.groupBy("bucket").agg(first, F.min("label").alias("least"), F.max("label").alias("most"))
-    pivots = pivots.filter("least <> most").select("bucket", F.col("first.node").alias("pivot"), F.col("first.label").alias("known"))
-    stars = buckets.join(cut(pivots), "bucket").filter("label <> known")
+    # Two orders of nodes, one for half of the bands: the first node of a component is its pivot.
+    first = F.min(F.struct(F.xxhash64("node", "odd").alias("turn"), "node"))["node"].alias("node")
+    parts = buckets.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), first)
+    heads = parts.groupBy("bucket").agg(F.max(F.struct("n", "label", "node")).alias("head"), F.count(F.lit(1)).alias("labels"))
+    heads = heads.filter("labels > 1").select("bucket", F.col("head.node").alias("pivot"), F.col("head.label").alias("known"))
+    heads = cut(heads)  # a table of its own, so that a hot bucket can be split in the join
+    stars = buckets.join(heads.withColumnRenamed("bucket", "of"), (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("known")))
     stars = stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     return stars.join(_side(labelled, "a"), "a").join(_side(labelled, "b"), "b").mapInArrow(_likely(percent), "a binary, b binary")
 
@@ -182,24 +221,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(_similar(percent), "a binary, b binary")
 
 
-def _blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components of large buckets: nodes outside the largest component against all, block by block."""
-    counts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("all"))
-    others = rows.join(main, "bucket").withColumn("rest", F.col("label") != F.col("main"))
-    sizes = others.groupBy("bucket").agg(F.count_if("rest").alias("apart"))
-    others = others.join(sizes, "bucket")
-    height, width = F.ceil(F.col("apart") / BLOCK).cast("int"), F.ceil(F.col("all") / BLOCK).cast("int")
+def _blocks(rows: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs between components of large buckets: the nodes outside the largest component (`apart` of them)
+    against all (`size`), block by block."""
+    height, width = F.ceil(F.col("apart") / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.xxhash64("node", "bucket")
-    left = others.filter("rest").select(
+    left = rows.filter(F.col("label") != F.col("main")).select(
         "bucket", "node", "label", F.pmod(own, height).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), width - 1)).alias("j"), F.lit(True).alias("left")
     )
-    right = others.select(
+    right = rows.select(
         "bucket", "node", "label", F.explode(F.sequence(F.lit(0), height - 1)).alias("i"), F.pmod(own, width).cast("int").alias("j"), F.lit(False).alias("left")
     )
-    cells = left.union(right).join(sets.select("node", "grams"), "node")
+    cells = left.union(right).join(light, "node")
     cells = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return cells.mapInArrow(_block_links(percent), "a binary, b binary")
+    return cells.mapInArrow(_block_pairs(percent), "a binary, b binary")
 
 
 class Shingles:
@@ -396,30 +431,20 @@ def _across(percent: int):
     return run
 
 
-def _block_links(percent: int):
+def _block_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["bucket", "i", "j"]):
             left = group.column("left").to_numpy()
-            node, label = group.column("node").to_pylist(), group.column("label").to_pylist()
-            sets = [np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()]
-            sizes = np.array([len(x) for x in sets])
-            _, gram = np.unique(np.concatenate(sets), return_inverse=True)
-            row = np.repeat(np.arange(len(sets)), sizes)
-            l_rows, r_rows = np.flatnonzero(left), np.flatnonzero(~left)
-            common = np.zeros((len(l_rows), len(r_rows)), np.float32)
-            place = np.empty(len(sets), np.int64)
-            place[l_rows], place[r_rows] = np.arange(len(l_rows)), np.arange(len(r_rows))
-            for start in range(0, int(gram.max()) + 1, 4096):  # some thousand shingles at once
-                here = (gram >= start) & (gram < start + 4096)
-                held = [np.zeros((len(r), 4096), np.float32) for r in (l_rows, r_rows)]
-                for side, which in zip(held, (left, ~left), strict=True):
-                    mine = here & which[row]
-                    side[place[row[mine]], gram[mine] - start] = 1
-                common += held[0] @ held[1].T
-            union = sizes[l_rows][:, None] + sizes[r_rows][None, :] - common
-            i, j = np.nonzero(100 * common >= percent * union)
-            found = [(node[l_rows[x]], node[r_rows[y]]) for x, y in zip(i, j, strict=True) if label[l_rows[x]] != label[r_rows[y]]]
-            yield _pairs(found)
+            node, label = np.array(group.column("node").to_pylist(), object), np.array(group.column("label").to_pylist(), object)
+            registers = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            n = group.column("n").to_numpy()
+            right = np.flatnonzero(~left)
+            for x in np.flatnonzero(left):
+                # far less equal registers than any pair in doubt has; spares the likelihood of most
+                some = right[((registers[right] == registers[x]).sum(axis=1) * 2 >= REGISTERS) & (label[right] != label[x])]
+                if len(some):
+                    keep = some[_keep(registers[some], registers[np.full(len(some), x)], n[some], n[np.full(len(some), x)], percent)]
+                    yield _pairs([(node[x], node[y]) for y in keep])
 
     return run
 

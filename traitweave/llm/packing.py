@@ -17,6 +17,7 @@ a third of all pieces have is a few intervals. No piece passes the driver.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -29,13 +30,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from traitweave.llm.common import cut, slices
+from traitweave.llm.common import byte_letters, cut, slices
 
 #: Groups of the linear grouping; lengths up to capacity / SMALL are packed by best fit alone.
 GROUPS, SMALL = 64, 8
 #: Words remembered by a task; characters of the longest that is; characters of text taken at once.
 REMEMBERED, LONGEST, STRETCH = 250_000, 40, 1 << 20
 MOST_PIVOTS = 5_000
+#: The first character after the Latin letters. None of them is a mark, so words of them are in normal form.
+LATIN_END = "\u0250"
+#: A tokenizers file without what comes before its merges.
+NOTHING_BEFORE = {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
 #: Shares of the program's sequences that are tried; what they leave goes to best fit. The fewest sequences win.
 SHARES = (0.3, 0.65, 1.0)
 
@@ -284,20 +289,19 @@ class Words(dict):
     """Ids of stretches without white space, as bytes; a dict of those seen lately.
 
     White space never becomes part of a token, so a text's ids are those of its stretches in order. When the dict is
-    full, a new one begins, and what is still asked for moves over from the one before.
+    full, a new one begins, and what is still asked for moves over from the one before. Words of small Latin letters
+    are not changed by the tokenizer's normalisation and not split before its merges: they go straight to the merges.
     """
 
     def __init__(self, tokenizer: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.model = Tokenizer.from_str(tokenizer)
+        self.whole = Tokenizer.from_str(tokenizer)
+        self.merges = Tokenizer.from_str(json.dumps(json.loads(tokenizer) | NOTHING_BEFORE))
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.before: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        self[word] = ids = self.before[word]
-        return ids
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         if any(len(text) > STRETCH for text in texts):
@@ -305,28 +309,46 @@ class Words(dict):
         return self._short(texts)
 
     def _short(self, texts: list[str]) -> list[bytes]:
-        # other white space than these is left to the tokenizer
-        found = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
+        words: list[str] = []
+        ends = [0]
+        for text in texts:  # other white space than these is left to the tokenizer
+            words += text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            ends.append(len(words))
         if len(self) > REMEMBERED:
             self.before = dict(self)
             self.clear()
-        unknown = {w for w in set().union(*found) if w not in self and w not in self.before}
-        split = {w: _plain(w) for w in unknown}
-        self._learn({part for parts in split.values() for part in parts})
-        for word, (core, tail) in split.items():
-            self[word] = self[core] + self[tail]
-        out = [b"".join(map(self.__getitem__, words)) for words in found]
-        for word in [w for w in unknown if len(w) > LONGEST]:
+        ids = list(map(self.get, words))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        self._learn({words[i] for i in missing})
+        for i in missing:
+            ids[i] = self[words[i]]
+        for word in {words[i] for i in missing if len(words[i]) > LONGEST}:
             del self[word]
-        return out
+        return [b"".join(ids[start:end]) for start, end in zip(ends, ends[1:])]
 
     def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self and w not in self.before]
-        if new:
-            encoded = self.model.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids, of = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
-            raw, ends = ids.tobytes(), (np.searchsorted(of, np.arange(len(new)), side="right") * 4).tolist()
-            self.update((w, raw[i:j]) for w, i, j in zip(new, [0, *ends[:-1]], ends, strict=True))
+        before = {w: self.before[w] for w in words if w in self.before}
+        self.update(before)
+        split = {w: _plain(w) for w in words if w not in before}
+        plain = {part for parts in split.values() for part in parts if part not in self}
+        latin = [w for w in plain if w.isalpha() and w < LATIN_END and max(w) < LATIN_END and w == w.lower()]
+        self.update(self._encoded(latin, self.merges, [self._as_letters(w) for w in latin]))
+        other = [w for w in plain if w not in self]
+        self.update(self._encoded(other, self.whole, other))
+        for word, (core, tail) in split.items():
+            self[word] = self[core] + self[tail] if tail else self[core]
+
+    def _as_letters(self, word: str) -> str:
+        return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+
+    @staticmethod
+    def _encoded(words: list[str], model, inputs: list[str]) -> dict[str, bytes]:
+        if not words:
+            return {}
+        encoded = model.encode(inputs, is_pretokenized=True, add_special_tokens=False)
+        ids, of = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
+        raw, ends = ids.tobytes(), (np.searchsorted(of, np.arange(len(words)), side="right") * 4).tolist()
+        return {w: raw[i:j] for w, i, j in zip(words, [0, *ends[:-1]], ends, strict=True)}
 
 
 def _plain(word: str) -> tuple[str, str]:

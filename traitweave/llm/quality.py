@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitweave.llm.common import Rolling, flat, slices
+from traitweave.llm.common import Rolling, flat, received, shipped, slices
 from traitweave.llm.labelled import GramBuckets, examples, fraction
 
 BITS = 16
@@ -81,7 +81,10 @@ class Indicators:
 
 
 def fit(pairs: list[tuple[str, int]], cost: float = 1.0, rounds: int = 15, seed: int = 5) -> QualityModel:
-    """From (text, 0 or 1) pairs; every fifth pair only fits the logistic curve."""
+    """From (text, 0 or 1) pairs; every fifth pair only fits the logistic curve. Without pairs all scores are 0.5."""
+    if not pairs:
+        nothing = np.zeros(1 << BITS, np.float32)
+        return QualityModel(nothing, nothing + 1, 0.0, 1.0, 0.0)
     indicators = Indicators()
     rows = [np.unique(indicators(pa.array([text]))[1]).astype(np.uint16) for text, _ in pairs]  # held on the driver
     label = np.array([1 if good else 0 for _, good in pairs])
@@ -102,33 +105,33 @@ def fit(pairs: list[tuple[str, int]], cost: float = 1.0, rounds: int = 15, seed:
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE
 ) -> QualityModel:
-    """Fit on a sample of the rows of `labels` and their texts. Null labels and ids are left out; an error if no row
-    is left. The sample of ids is bounded and small, so it is broadcast to the texts."""
+    """Fit on a sample of the rows of `labels` and their texts. Null labels and ids are left out; if no row is left,
+    nothing is known and every text scores one half. The sample of ids is bounded and small, so it is broadcast to
+    the texts."""
     usable = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, label_col)
     total = usable.count()
     if not total:
-        raise ValueError("no labels to learn from")
-    chosen = usable.filter(fraction(F.col(id_col)) < sample / total).limit(2 * sample)
-    pairs = examples(docs.join(F.broadcast(chosen), id_col), id_col, text_col, label_col, 2 * sample, by_label=False)
-    if not pairs:
-        raise ValueError("no labelled texts to learn from")
-    return fit(pairs)
+        return fit([])
+    hashed = fraction(F.col(id_col))
+    chosen = usable.filter(hashed < sample / total).orderBy(hashed, id_col, label_col).limit(2 * sample)
+    texts = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
+    return fit(examples(texts, id_col, text_col, label_col, 2 * sample, by_label=False))
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of `docs`: id, score from 0 to 1 (higher: the good label is likelier). Null text counts as empty; empty
     texts get the score of a text without n-grams. Other columns are not read."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(_score(shared), f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
 
 def filter_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", least: float = 0.3) -> DataFrame:
     """The rows of `docs`, all columns, whose score is at least `least`; scored and filtered in one pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indicators, model = Indicators(), shared.value
+        indicators, model = Indicators(), received(shared)
         for batch in batches:
             for piece in slices(batch, text_col):
                 yield piece.filter(pa.array(_scores(indicators, piece.column(text_col), model) >= least))
@@ -138,7 +141,7 @@ def filter_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indicators, model = Indicators(), shared.value
+        indicators, model = Indicators(), received(shared)
         for batch in batches:
             for piece in slices(batch, "text"):
                 scores = _scores(indicators, piece.column("text"), model)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from traitweave.llm.common import slices
+from traitweave.llm.common import received, shipped, slices
 
 #: Stands for a space in pieces.
 MARK = "▁"
@@ -209,15 +209,15 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out_col: str
     Null text gives null, empty text no ids. Any text comes back from `decode` byte for byte. Characters without a
     piece are written as bytes. Rows stay in their partitions; nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    return _replaced(docs, out_col, T.ArrayType(T.IntegerType()), text_col, lambda: _encoder(shared.value))
+    shared = shipped(docs.sparkSession, pieces)
+    return _replaced(docs, out_col, T.ArrayType(T.IntegerType()), text_col, lambda: _encoder(received(shared)))
 
 
 def decode(tokens: DataFrame, pieces: Pieces, tokens_col: str = "tokens", out_col: str = "decoded") -> DataFrame:
     """`tokens` with the text of its ids in `out_col`. Ids of control pieces give nothing; ids that are not in the
     model are an error; bytes that are no UTF-8 become U+FFFD. Null gives null."""
-    shared = tokens.sparkSession.sparkContext.broadcast(pieces)
-    return _replaced(tokens, out_col, T.StringType(), tokens_col, lambda: _decoder(shared.value))
+    shared = shipped(tokens.sparkSession, pieces)
+    return _replaced(tokens, out_col, T.StringType(), tokens_col, lambda: _decoder(received(shared)))
 
 
 def _encoder(pieces: Pieces):
