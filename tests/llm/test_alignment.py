@@ -112,18 +112,26 @@ def test_align(spark, tokenizers, a_bytes, texts, frequent):
     assert got == expected(rows, tokenizers, a_bytes)
 
 
-def test_long_texts_in_parts(spark, tokenizers, a_bytes, texts, monkeypatch):
+def test_stretches_and_parts_give_the_tokens_of_the_whole(tokenizers, monkeypatch):
     rng = random.Random(5)
-    words = ["the", "Étion", "don't", "naïve", "2024", "aipaoi.", "🙂", "\n", "  ", "x", "Le", "▁"]
-    long = [" ".join(rng.choices(words[: 11 + k % 2], k=400)) for k in range(6)] + ["y" * 3000]
-    both = Tokenizers = alignment.Tokenizers(A_JSON, B_MODEL)  # noqa: N806
-    for text in long:
-        whole = alignment._columns(alignment.Links(*Tokenizers([text]), 1), True)
-        monkeypatch.setattr(alignment.parts, "__defaults__", (100,))
-        in_parts = alignment._long_text(text, both, True)
-        assert [c.to_pylist() for c in in_parts] == [c.to_pylist() for c in whole]
-        if "▁" not in text and " " in text:
-            assert len(list(alignment.parts(text))) > 5
+    words = ["the", "Étion", "don't", "naïve", "2024", "aipaoi.", "🙂", "\n", "  ", "x", "Le", "²", "\x1c", "a\u0301", "é"]
+    pieces = alignment.Tokenizers(A_JSON, B_MODEL)
+    assert pieces.apart
+    for k in range(8):
+        text = "".join(rng.choices([" ", " ", "", "\n"])[0] + w for w in rng.choices(words, k=400))
+        links = alignment.Links(*pieces([text]), 1)
+        for size in (100, 1 << 20):
+            monkeypatch.setattr(alignment.parts, "__defaults__", (size,))
+            monkeypatch.setattr(alignment, "REMEMBERED", 50 * k)
+            monkeypatch.setattr(alignment, "TEXT_BYTES", size)
+            (got,) = alignment._aligned([text], alignment.Stretches(pieces), True)
+            numbers = [got.numbers >> shift & alignment.FIELD for shift in alignment.SHIFTS]
+            assert numbers == [len(links.a.ids), len(links.b.ids), links.n_groups[0], links.n_links[0]]
+            assert [b";".join(got.groups).decode()] == links.texts()
+            assert got.digest.hexdigest() == hashlib.sha256(links.texts()[0].encode()).hexdigest()
+            pair, times = np.unique(links.pair, return_counts=True)
+            assert got.pair.tolist() == pair.tolist() and got.times.tolist() == times.tolist()
+        assert len(list(alignment.parts(text, 100))) > 5
 
 
 def test_byte_letters(a_bytes):

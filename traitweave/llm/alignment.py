@@ -5,7 +5,7 @@ their ends is kept, and a group begins wherever a start reaches that maximum: th
 token of one tokenizer is linked with every token of the other in its group, and a pair of ids is counted by the
 documents that hold it linked.
 
-At scale: texts are tokenised once; what is stored for each is the ids of its links, a pair once with its number of
+At scale: texts are tokenised once, stretch by stretch, and stretches seen lately are looked up; what is stored for each is the ids of its links, a pair once with its number of
 occurrences. Pairs are counted with map-side combining, so one that is in every document reaches the shuffle as a row
 per task. The counts go back to the documents in two ways: those of the most frequent pairs, at most ``FREQUENT`` of
 them, as broadcast arrays; the others, none of which is frequent, by a join. So no hot pair is shuffled and nothing
@@ -18,6 +18,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -33,8 +34,15 @@ FREQUENT = 2_000_000
 #: An id pair is one number: the A id times this, plus the B id.
 SHIFT = 1 << 32
 SPACE_MARK = "▁"
-#: Texts are tokenised in slices of some 256 KB, which bounds the arrays of a batch.
-TEXT_BYTES = 1 << 18
+#: Texts are handled in slices of so many bytes, and longer ones in parts.
+TEXT_BYTES = 1 << 20
+#: Stretches remembered by a task, and characters of the longest that is.
+REMEMBERED, LONGEST = 200_000, 64
+#: A space between something that is no white space and a letter. A token of both tokenizers begins there, and both put
+#: a space before a text, so the stretches between such spaces can be encoded as texts of their own.
+BETWEEN = re.compile(r"(?<=\S) (?=[^\W\d_])")
+#: Where the numbers of a text lie in one number: A tokens, B tokens, groups, links. Python's numbers do not overflow.
+SHIFTS, FIELD = (0, 48, 96, 144), (1 << 48) - 1
 
 
 def align(
@@ -153,19 +161,126 @@ def linked_ids(
     shared = docs.sparkSession.sparkContext.broadcast((a_json, b_model))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers = Tokenizers(*shared.value)
+        known = Stretches(Tokenizers(*shared.value))
         for batch in batches:
             for rows in slices(batch, "text", TEXT_BYTES):
-                texts = rows.column("text").to_pylist()
-                if len(texts) == 1 and texts[0] and len(texts[0]) > TEXT_BYTES:
-                    columns = _long_text(texts[0], tokenizers, with_groups)
-                else:
-                    columns = _columns(Links(*tokenizers(texts), len(texts)), with_groups)
-                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("row"), *columns], schema.names)
+                found = _aligned(rows.column("text").to_pylist(), known, with_groups)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("row"), *_columns(found, with_groups)], schema.names
+                )
 
     return given.mapInArrow(run, schema)
 
 
+class Text:
+    """The numbers, groups and links of a text, added up from its stretches in turn."""
+
+    def __init__(self) -> None:
+        self.numbers = 0
+        self.digest = hashlib.sha256()
+        self.groups: list[bytes] = []
+        self.pair, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, found: list[Stretch], keep_groups: bool) -> None:
+        written = b";".join([s.groups for s in found])
+        self.digest.update((b";" if self.numbers else b"") + written)
+        self.groups += [written] * keep_groups
+        self.numbers += sum([s.numbers for s in found])
+        pairs = np.sort(np.frombuffer(b"".join([s.pairs for s in found]), np.int64))
+        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])[: len(pairs)])
+        pair, times = pairs[first], np.diff(np.append(first, len(pairs)))
+        if len(self.pair):
+            pair, of = np.unique(np.concatenate([self.pair, pair]), return_inverse=True)
+            times = np.bincount(of, np.concatenate([self.times, times]), len(pair)).astype(np.int64)
+        self.pair, self.times = pair, times
+
+
+def _aligned(texts: list[str | None], known: Stretches, keep_groups: bool = False) -> list[Text | None]:
+    """Texts with tokens of both tokenizers for all their bytes; None for the others."""
+    if len(texts) == 1 and texts[0] and len(texts[0]) > TEXT_BYTES:
+        return [_in_parts(texts[0], known, keep_groups)]
+    out: list[Text | None] = []
+    for found in known.of([text or "" for text in texts]):
+        total = Text() if found and all(found) else None
+        if total:
+            total.add(found, keep_groups)
+        out.append(total)
+    return out
+
+
+def _in_parts(text: str, known: Stretches, keep_groups: bool) -> Text | None:
+    total = Text()
+    for part in parts(text):
+        (found,) = known.of([part])
+        if not all(found):
+            return None
+        total.add(found, keep_groups)
+    return total
+
+
+def _columns(found: list[Text | None], with_groups: bool) -> list[pa.Array]:
+    """The columns after `row` of `linked_ids`."""
+    nothing = np.zeros(0, np.int64)
+    numbers = [[t.numbers >> shift & FIELD if t else 0 for t in found] for shift in SHIFTS]
+    pair = np.concatenate([t.pair if t else nothing for t in found]) if found else nothing
+    times = np.concatenate([t.times if t else nothing for t in found]) if found else nothing
+    offsets = pa.array(np.cumsum([0, *(len(t.pair) if t else 0 for t in found)]).astype(np.int32))
+    return [
+        *(pa.array(n, pa.int64()) for n in numbers),
+        pa.array([t.digest.hexdigest() if t else "" for t in found], pa.string()),
+        *[pa.array([b";".join(t.groups).decode() if t else "" for t in found], pa.string())] * with_groups,
+        *(pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (pair // SHIFT, pair % SHIFT, times)),
+    ]
+
+
+@dataclass(frozen=True, slots=True)
+class Stretch:
+    """Of a stretch of text: its numbers in one, its groups as text, and the pair of each of its links."""
+
+    numbers: int
+    groups: bytes
+    pairs: bytes
+
+
+class Stretches(dict):
+    """The alignment of stretches of text seen lately; None for those whose tokens' bytes differ from the text.
+
+    New stretches of a text are tokenised and grouped together. When the dict is full, a new one begins, and what is
+    still asked for moves over from the one before.
+    """
+
+    def __init__(self, tokenizers: Tokenizers) -> None:
+        super().__init__()
+        self.tokenizers = tokenizers
+        self.before: dict[str, Stretch | None] = {}
+
+    def of(self, texts: list[str]) -> list[list[Stretch | None]]:
+        """The stretches of each text in order; an empty text has none."""
+        split = [(BETWEEN.split(text) if self.tokenizers.apart else [text]) if text else [] for text in texts]
+        if len(self) > REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        wanted = set().union(*split)
+        new = [s for s in wanted if s not in self and s not in self.before]
+        self.update((s, self.before[s]) for s in wanted if s not in self and s in self.before)
+        for start in range(0, len(new), 5_000):
+            self._learn(new[start : start + 5_000])
+        found = [list(map(self.__getitem__, stretches)) for stretches in split]
+        for stretch in new:
+            if len(stretch) > LONGEST:
+                del self[stretch]
+        return found
+
+    def _learn(self, new: list[str]) -> None:
+        a, b = self.tokenizers(new)
+        links = Links(a, b, len(new))
+        numbers = zip(*(x.tolist() for x in (a.counts, b.counts, links.n_groups, links.n_links)), strict=True)
+        raw, ends = links.pair.tobytes(), (np.cumsum(links.n_links) * 8).tolist()
+        for stretch, own, groups, start, end in zip(new, numbers, links.texts(), [0, *ends[:-1]], ends, strict=True):
+            number = sum(n << shift for n, shift in zip(own, SHIFTS, strict=True))
+            self[stretch] = Stretch(number, groups.encode(), raw[start:end]) if groups else None
+
+
 @dataclass(frozen=True)
 class Tokens:
     """Tokens of many texts one after another: ids, numbers of bytes, and how many belong to each text."""
@@ -190,6 +305,8 @@ class Tokenizers:
         for piece, i in vocabulary.items():
             self.a_bytes[i] = special.get(piece) or bytes(letters[c] for c in piece)
         self.b_bytes = [self._b_piece(i) for i in range(self.b.get_piece_size())]
+        #: Whether no B piece goes on after a space, so that stretches are independent.
+        self.apart = not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", self.b.id_to_piece(i)) for i in range(len(self.b_bytes)))
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
 
@@ -197,24 +314,34 @@ class Tokenizers:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE_MARK, " ").encode()
 
-    def __call__(self, texts: list[str | None]) -> tuple[Tokens, Tokens]:
+    def __call__(self, texts: list[str]) -> tuple[Tokens, Tokens]:
         """The tokens of each text, none where the bytes of one tokenizer's differ from the text."""
-        some = [i for i, text in enumerate(texts) if text]
-        wanted = [" " + texts[i] for i in some]
-        a = [e.ids for e in self.a.encode_batch(wanted, add_special_tokens=False)] if some else []
-        b = self.b.encode([texts[i] for i in some], num_threads=1) if some else []
-        a_ids: list[list[int]] = [[] for _ in texts]
-        b_ids: list[list[int]] = [[] for _ in texts]
-        for i, text, mine, other in zip(some, wanted, a, b, strict=True):
-            raw = text.encode()
-            if b"".join(map(self.a_bytes.__getitem__, mine)) == raw == b"".join(map(self.b_bytes.__getitem__, other)):
-                a_ids[i], b_ids[i] = mine, other
-        return self._tokens(a_ids, self.a_sizes), self._tokens(b_ids, self.b_sizes)
+        raw = [(" " + text).encode() for text in texts]
+        a = [e.ids for e in self.a.encode_batch([" " + text for text in texts], add_special_tokens=False)]
+        b = self.b.encode(texts, num_threads=1)
+        found = self._tokens(a, self.a_sizes), self._tokens(b, self.b_sizes)
+        if self._same(raw, *found):
+            return found
+        for i, text in enumerate(raw):
+            if b"".join(map(self.a_bytes.__getitem__, a[i])) != text or b"".join(map(self.b_bytes.__getitem__, b[i])) != text:
+                a[i], b[i] = [], []
+        return self._tokens(a, self.a_sizes), self._tokens(b, self.b_sizes)
+
+    def _same(self, raw: list[bytes], a: Tokens, b: Tokens) -> bool:
+        """Whether all tokens of both have the bytes of the texts, told from all texts at once."""
+        wanted, joined = np.array([len(x) for x in raw]), b"".join(raw)
+        for tokens, pieces in ((a, self.a_bytes), (b, self.b_bytes)):
+            row = np.repeat(np.arange(len(raw)), tokens.counts)
+            if not np.array_equal(np.bincount(row, tokens.sizes, len(raw)), wanted):
+                return False
+            if b"".join(map(pieces.__getitem__, tokens.ids.tolist())) != joined:
+                return False
+        return True
 
     @staticmethod
     def _tokens(ids: list[list[int]], sizes: np.ndarray) -> Tokens:
         counts = np.array([len(x) for x in ids], np.int64)
-        joined = np.fromiter((x for one in ids for x in one), np.int64, int(counts.sum()))
+        joined = np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum()))
         return Tokens(joined, sizes[joined], counts)
 
 
@@ -235,20 +362,15 @@ def groups_of(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Links:
-    """Groups and links of the tokens of `n` texts.
-
-    `pair` are the distinct pairs of each text, ascending, `times` how often each is linked, `offsets` where each
-    text's begin.
-    """
+    """Groups and links of the tokens of `n` texts; `pair` holds the pair of each link, text by text."""
 
     def __init__(self, a: Tokens, b: Tokens, n: int) -> None:
         self.a, self.b, self.n = a, b, n
         a_group, b_group = groups_of(a, b)
         n_groups = int(a_group[-1]) + 1 if len(a_group) else 0
         self.a_in, self.b_in = np.bincount(a_group, minlength=n_groups), np.bincount(b_group, minlength=n_groups)
-        a_row = np.repeat(np.arange(n), a.counts)
         self.row = np.empty(n_groups, np.int64)
-        self.row[a_group] = a_row
+        self.row[a_group] = np.repeat(np.arange(n), a.counts)
         self.n_groups = np.bincount(self.row, minlength=n)
         self.n_links = np.bincount(self.row, self.a_in * self.b_in, n).astype(np.int64)
 
@@ -257,14 +379,7 @@ class Links:
         left = np.repeat(np.arange(len(a.ids)), meets)
         place = np.arange(len(left)) - np.repeat(np.cumsum(meets) - meets, meets)
         right = (np.cumsum(self.b_in) - self.b_in)[a_group[left]] + place
-        pair, of = a.ids[left] * SHIFT + b.ids[right], a_row[left]
-        order = np.lexsort((pair, of))
-        pair, of = pair[order], of[order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (of[1:] != of[:-1])
-        first = np.flatnonzero(new)
-        self.pair, self.times = pair[first], np.diff(np.append(first, len(pair)))
-        self.offsets = np.concatenate([[0], np.cumsum(np.bincount(of[first], minlength=n))])
+        self.pair = a.ids[left] * SHIFT + b.ids[right]
 
     def texts(self) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of each text: ids in order, each with its separator."""
@@ -282,52 +397,11 @@ class Links:
         return ["".join(parts[i:j])[:-1] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def _columns(links: Links, with_groups: bool) -> list[pa.Array]:
-    """The columns after `row` of `linked_ids`."""
-    texts = links.texts()
-    digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-    offsets = pa.array(links.offsets.astype(np.int32))
-    lists = (links.pair // SHIFT, links.pair % SHIFT, links.times)
-    return [
-        *(pa.array(x) for x in (links.a.counts, links.b.counts, links.n_groups, links.n_links)),
-        *(pa.array(x, pa.string()) for x in (digests, *[texts] * with_groups)),
-        *(pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in lists),
-    ]
-
-
-def _long_text(text: str, tokenizers: Tokenizers, with_groups: bool) -> list[pa.Array]:
-    """The columns of one text, from its parts in turn."""
-    numbers, digest, groups = np.zeros(4, np.int64), hashlib.sha256(), []
-    pair, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for part in parts(text):
-        links = Links(*tokenizers([part]), 1)
-        if not len(links.a.ids):  # the bytes of a part differ, so those of the whole do
-            return _columns(Links(*tokenizers([None]), 1), with_groups)
-        (written,) = links.texts()
-        digest.update((";" * bool(numbers[0]) + written).encode())
-        groups += [written] * with_groups
-        numbers += [links.a.counts[0], links.b.counts[0], links.n_groups[0], links.n_links[0]]
-        joined, where = np.unique(np.concatenate([pair, links.pair]), return_inverse=True)
-        times = np.bincount(where, np.concatenate([times, links.times]), len(joined)).astype(np.int64)
-        pair = joined
-    lists = (pair // SHIFT, pair % SHIFT, times)
-    return [
-        *(pa.array([x], pa.int64()) for x in numbers),
-        *(pa.array([x], pa.string()) for x in (digest.hexdigest(), *[";".join(groups)] * with_groups)),
-        *(pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for x in lists),
-    ]
-
-
 def parts(text: str, size: int = TEXT_BYTES) -> Iterator[str]:
-    """A long text without some of its spaces, in parts between them; each part is encoded as a text of its own.
-
-    A space between two letters begins a token of both tokenizers, and both put a space before a part. So the tokens of
-    the parts are those of the text.
-    """
+    """A long text in parts of some `size` characters, without the spaces between them."""
     start = 0
-    between = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
     while len(text) - start > size:
-        found = between.search(text, start + size)
+        found = BETWEEN.search(text, start + size)
         if not found:
             break
         yield text[start : found.start()]
