@@ -1,10 +1,16 @@
 """HTML extraction by nearest-URL page differencing.
 
 Pages of a host are put in the order of their URL paths; each is paired with the neighbour whose path shares the longer
-beginning. Both become lines of text (blocks), the lines are aligned by longest common subsequence, and those that
-both share are deleted as the site's template. What the markup itself names is used first: lines in menus, footers,
-forms, adverts and the like never count, and where a page marks its article, exactly that is its text; a line of an
-article that also stands in the neighbour's is a quotation or a copy and stays.
+beginning. Both are lines of text (blocks), the lines are aligned by longest common subsequence, and those that both
+share are deleted as the site's template. The markup is a second witness: lines in menus, footers, forms, adverts and
+the like never count. Where a page marks its article, its lines are those in it; one of them that is aligned with a
+line which its neighbour has outside the article is template all the same, and one that both articles share is a
+quotation or a copy and stays.
+
+At scale: pages are parsed where they are read, and only their lines are sorted, by range of (host, path), so that a
+large host spreads over tasks. A task knows both neighbours of each page but its first and its last; these two, with
+their neighbours inside, are finished afterwards with the last page of the task before and the first of the one after.
+So the text of a page depends on its neighbours alone, not on the size of its host or on the number of tasks.
 """
 
 from __future__ import annotations
@@ -18,10 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages of a host that are sorted together; larger hosts are dealt into cells of about this size by path.
-CELL = 2_000
-#: Large hosts whose names are broadcast; more of them are joined by shuffle.
-FEW = 50_000
+from traitweave.llm.common import cut, slices
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
@@ -49,12 +52,14 @@ CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 LISTS = frozenset("ul ol dl table article main section div body".split())
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", cell: int = CELL) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row of `pages`: id, url, text (blocks joined by one space; empty if none).
 
-    Null html is empty; a null or odd url belongs to the host of no name. Equal urls are neighbours. A page that is alone
-    on its host, or all of whose lines its neighbours share, keeps what the markup leaves. Other columns are not read.
+    Null html is empty; a null or odd url belongs to the host of no name. Equal urls are neighbours, in the order of
+    their ids. A page that is alone on its host, or all of whose lines both neighbours share, keeps what the markup
+    leaves. Other columns are not read.
     """
+    spark = pages.sparkSession
     url = F.coalesce(F.col(url_col), F.lit(""))
     rows = pages.select(
         F.col(id_col).alias("id"),
@@ -63,13 +68,25 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1).alias("path"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
-    large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell)
-    few = large.count() <= FEW
-    rows = rows.join(F.broadcast(large) if few else large, "host", "left")
-    cells = F.coalesce(F.ceil(F.col("n") / cell), F.lit(1))
-    rows = rows.select("id", "url", "host", "path", "html", F.pmod(F.xxhash64("path"), cells).alias("cell"))
-    rows = rows.repartition("host", "cell").sortWithinPartitions("host", "cell", "path", "id")
-    return rows.mapInArrow(_extract, f"id {rows.schema['id'].dataType.simpleString()}, url string, text string")
+    kind = rows.schema["id"].dataType.simpleString()
+    page = f"id {kind}, url string, host string, path string, lines array<string>, inside array<boolean>"
+    order = ["host", "path", "id", "url"]
+    parsed = rows.mapInArrow(_parse, page).repartitionByRange(*order).sortWithinPartitions(*order)
+    near = "near_path string, near_lines array<string>, near_inside array<boolean>"
+    done = parsed.withColumn("part", F.spark_partition_id()).mapInArrow(_texts, f"{page}, text string, part int, edge string, {near}")
+    done = cut(done)
+    inner = done.filter("edge IS NULL").select("id", "url", "text")
+
+    edges = done.filter("edge IS NOT NULL")
+    # the numbers of the tasks that had pages, in order: as many rows as there are tasks
+    parts = sorted(r["part"] for r in edges.select("part").distinct().collect())
+    places = spark.createDataFrame([(p, i) for i, p in enumerate(parts)], "part int, place int")
+    edges = edges.join(F.broadcast(places), "part")
+    whole = ["host", "path", "lines", "inside"]
+    ends = edges.filter("edge <> 'first'").select((F.col("place") + 1).alias("place"), F.struct(*whole).alias("before"))
+    starts = edges.filter("edge <> 'last'").select((F.col("place") - 1).alias("place"), F.struct(*whole).alias("after"))
+    outer = edges.join(ends, "place", "left").join(starts, "place", "left")
+    return inner.union(outer.select(*edges.columns, "before", "after").mapInArrow(_edge_texts, inner.schema))
 
 
 def lines(html: str) -> tuple[list[str], list[bool]]:
@@ -133,8 +150,8 @@ def _close(stack: list[tuple[str, bool, bool]], tag: str) -> None:
             return
 
 
-def common_lines(a: list[str], b: list[str]) -> set[int]:
-    """Places in `a` of a longest common subsequence with `b` (Hunt and Szymanski)."""
+def common_lines(a: list[str], b: list[str]) -> dict[int, int]:
+    """Places in `a` of a longest common subsequence with `b`, and their places in `b` (Hunt and Szymanski)."""
     places: dict[str, list[int]] = {}
     for j in range(len(b) - 1, -1, -1):
         places.setdefault(b[j], []).append(j)
@@ -143,63 +160,108 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     for i, line in enumerate(a):
         for j in places.get(line, ()):
             k = bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
+            link = (i, j, links[k - 1] if k else None)
             if k == len(ends):
                 ends.append(j)
                 links.append(link)
             else:
                 ends[k], links[k] = j, link
-    found: set[int] = set()
+    found: dict[int, int] = {}
     link = links[-1] if links else None
     while link:
-        found.add(link[0])
-        link = link[1]
+        found[link[0]] = link[1]
+        link = link[2]
     return found
 
 
 def own_text(page: tuple[list[str], list[bool]], neighbours: list[tuple[list[str], list[bool]]]) -> str:
-    """The article if the page marks one; else its lines without those shared with the first neighbour that leaves any."""
+    """The lines of a page without its template, as told by the first neighbour that leaves any line."""
     text, inside = page
-    if any(inside):
-        return " ".join(x for x, own in zip(text, inside, strict=True) if own)
-    for other, _ in neighbours:
+    marked = any(inside)
+    for other, other_inside in neighbours:
         shared = common_lines(text, other)
-        if len(shared) < len(text):
-            return " ".join(x for i, x in enumerate(text) if i not in shared)
-    return " ".join(text)
+        if marked:
+            own = [i for i in range(len(text)) if inside[i] and (i not in shared or other_inside[shared[i]] or not any(other_inside))]
+        else:
+            own = [i for i in range(len(text)) if i not in shared]
+        if own:
+            return " ".join(text[i] for i in own)
+    return " ".join(x for x, within in zip(text, inside, strict=True) if within or not marked)
 
 
 def _alike(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = None
-    before = now = None  # (key, path, id, url, lines)
-    out: list[tuple] = []
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows in slices(batch, "html"):
+            found = [lines(html) for html in rows.column("html").to_pylist()]
+            columns = [rows.column(c) for c in ("id", "url", "host", "path")]
+            columns += [pa.array([x for x, _ in found], pa.list_(pa.string())), pa.array([x for _, x in found], pa.list_(pa.bool_()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "url", "host", "path", "lines", "inside"])
+
+
+def _page_text(page: dict, before: dict | None, after: dict | None) -> str:
+    near = [p for p in (before, after) if p and p["host"] == page["host"]]
+    near.sort(key=lambda p: -_alike(p["path"], page["path"]))
+    return own_text((page["lines"], page["inside"]), [(p["lines"], p["inside"]) for p in near])
+
 
-    def finish(after) -> None:
-        near = [p for p in (before, after) if p and p[0] == now[0]]
-        near.sort(key=lambda p: -_alike(p[1], now[1]))
-        out.append((now[2], now[3], own_text(now[4], [p[4] for p in near])))
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of each page of a task from its two neighbours; its first and last page as they are."""
+    before = now = schema = None
+    out: list[dict] = []
+
+    def finish(after: dict | None) -> None:
+        row = {"id": now["id"], "url": now["url"], "part": now["part"]}
+        if before and after:
+            row["text"] = _page_text(now, before, after)
+        else:
+            near = before or after
+            row |= {c: now[c] for c in ("host", "path", "lines", "inside")}
+            row["edge"] = "last" if before else "first" if after else "only"
+            if near and near["host"] == now["host"]:
+                row |= {f"near_{c}": near[c] for c in ("path", "lines", "inside")}
+        out.append(row)
 
     def rows() -> pa.RecordBatch:
-        ids, urls, texts = zip(*out, strict=True)
+        batch = pa.RecordBatch.from_pylist(out, schema)
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(urls, pa.string()), pa.array(texts, pa.string())], ["id", "url", "text"])
+        return batch
 
     for batch in batches:
-        kind = batch.schema.field("id").type
-        columns = [batch.column(c) for c in ("host", "cell", "path", "id", "url", "html")]
-        for i in range(batch.num_rows):
-            host, cell, path, page, url, html = (c[i].as_py() for c in columns)
-            after = ((host, cell), path, page, url, lines(html))
-            if now:
-                finish(after)
-            before, now = now, after
-            if len(out) >= 500:
+        if schema is None:
+            texts, marks = pa.list_(pa.string()), pa.list_(pa.bool_())
+            kinds = [("text", pa.string()), ("part", pa.int32()), ("edge", pa.string())]
+            kinds += [("near_path", pa.string()), ("near_lines", texts), ("near_inside", marks)]
+            page = [("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("lines", texts), ("inside", marks)]
+            schema = pa.schema([("id", batch.schema.field("id").type), *page, *kinds])
+        for start in range(0, batch.num_rows, 200):
+            for after in batch.slice(start, 200).to_pylist():
+                if now:
+                    finish(after)
+                before, now = now, after
+            if out:
                 yield rows()
     if now:
         finish(None)
-    if out:
         yield rows()
+
+
+def _edge_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of the first and last pages of the tasks."""
+    for batch in batches:
+        kind = batch.schema.field("id").type
+        for start in range(0, batch.num_rows, 50):
+            part = batch.slice(start, 50).to_pylist()
+            texts = []
+            for row in part:
+                inner = None
+                if row["near_path"] is not None:
+                    inner = {"host": row["host"], **{c: row[f"near_{c}"] for c in ("path", "lines", "inside")}}
+                before = inner if row["edge"] == "last" else row["before"]
+                after = inner if row["edge"] == "first" else row["after"]
+                texts.append(_page_text(row, before, after))
+            columns = [pa.array([r["id"] for r in part], kind), pa.array([r["url"] for r in part], pa.string()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "url", "text"])
