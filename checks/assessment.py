@@ -15,6 +15,25 @@ from pyspark.sql import functions as F
 from traitweave.functions.naming import EID, field_column
 from traitweave.functions.scores import MISSING_CODE
 
+# Most illnesses told, and the three codes of dependency; diagnoses with and without dots, of other chapters, and the
+# codes of old external causes. All spread by part and supplier.
+TOLD = (
+    "CASE WHEN l_partkey % 20 = 7 THEN CASE l_suppkey % 3 WHEN 0 THEN 785 WHEN 1 THEN 48 ELSE 53 END"
+    " ELSE 1270 + l_partkey % 400 END"
+)
+ICD10 = (
+    "CASE WHEN l_suppkey % 4 < 2 THEN concat('F', CAST(l_partkey % 500 AS STRING))"
+    " WHEN l_suppkey % 4 = 2 THEN concat('F', CAST(10 + l_partkey % 35 AS STRING), '.', CAST(CAST(floor(l_partkey / 35) AS BIGINT) % 10 AS STRING))"
+    " WHEN l_partkey % 7 = 0 THEN concat('Y', CAST(1 + l_partkey % 3 AS STRING))"
+    " WHEN l_partkey % 7 = 1 THEN 'Z915'"
+    " ELSE concat(substring('XYZ', CAST(1 + l_partkey % 3 AS INT), 1), CAST(60 + CAST(floor(l_partkey / 3) AS BIGINT) % 25 AS STRING)) END"
+)
+ICD9 = (
+    "CASE WHEN l_partkey % 13 = 0 THEN concat('E95', CAST(l_suppkey % 10 AS STRING))"
+    " WHEN l_partkey % 13 = 1 THEN concat('295', CAST(l_suppkey % 10 AS STRING))"
+    " WHEN l_partkey % 13 = 2 THEN '295F4'"
+    " ELSE CAST(3000 + l_suppkey % 100 AS STRING) END"
+)
 VISITS = range(4)
 MULTI_ANSWER_ELEMENTS = range(4)
 INTERVIEW_ELEMENTS = range(7)
@@ -118,7 +137,7 @@ def interview(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     order with very many lines reaches the join as one row.
     """
     per_order = lineitem.groupBy("l_orderkey").agg(
-        *[_largest(f"l_linenumber = {m + 1}", "1270 + l_partkey % 400", f"told_{m}") for m in INTERVIEW_ELEMENTS]
+        *[_largest(f"l_linenumber = {m + 1}", TOLD, f"told_{m}") for m in INTERVIEW_ELEMENTS]
     )
     finished = orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
     return (
@@ -137,20 +156,20 @@ def interview(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def hospital(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Diagnosis codes of both revisions; one row per customer.
 
-    There are 500 codes of one and 100 of the other, which bounds the arrays;
+    There are some 930 codes of one and 121 of the other, which bounds the arrays;
     repeated diagnoses of an order are dropped before the join.
     """
     diagnoses = (
         lineitem.filter("l_returnflag = 'R'")
-        .selectExpr("l_orderkey", "l_partkey % 500 AS icd10", "3000 + l_suppkey % 100 AS icd9")
+        .selectExpr("l_orderkey", f"{ICD10} AS icd10", f"{ICD9} AS icd9")
         .distinct()
     )
     return (
         diagnoses.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias(EID))
         .agg(
-            F.expr("collect_set(concat('F', CAST(icd10 AS STRING))) AS p41270"),
-            F.expr("collect_set(CAST(icd9 AS STRING)) AS p41271"),
+            F.expr("collect_set(icd10) AS p41270"),
+            F.expr("collect_set(icd9) AS p41271"),
         )
     )
 
@@ -176,8 +195,8 @@ def online_multiple_choice(events: DataFrame) -> DataFrame:
         .groupBy(F.col("user_id").alias(EID))
         .agg(
             *[
-                F.expr(f"collect_set(event_id % {choices}) AS {column}")
-                for column, choices in (("p20544", 23), ("p20554", 9), ("p20548", 8))
+                F.expr(f"collect_set(event_id % {choices}) FILTER (WHERE event_id % {every} = 0) AS {column}")
+                for column, choices, every in (("p20544", 23, 1), ("p20554", 9, 16), ("p20548", 8, 1))
             ]
         )
     )

@@ -49,7 +49,8 @@ def _touch() -> str:
 
 def _interview() -> str:
     cells = [
-        f"max(case when o_orderkey % 4 = {i} and l_linenumber = {m + 1} then 1270 + l_partkey % 400 end)"
+        f"max(case when o_orderkey % 4 = {i} and l_linenumber = {m + 1} then case when l_partkey % 20 <> 7"
+        " then 1270 + l_partkey % 400 else list_extract([785, 48, 53], 1 + l_suppkey % 3) end end)"
         f" as p20002_i{i}_a{m}"
         for i in VISITS
         for m in range(7)
@@ -65,8 +66,14 @@ def _interview() -> str:
 
 def _hospital() -> str:
     return (
-        "select o_custkey as eid, list(distinct concat('F', cast(l_partkey % 500 as varchar))) as p41270,"
-        " list(distinct cast(3000 + l_suppkey % 100 as varchar)) as p41271"
+        "select o_custkey as eid, list(distinct case"
+        " when l_suppkey % 4 in (0, 1) then 'F' || l_partkey % 500"
+        " when l_suppkey % 4 = 2 then 'F' || (10 + l_partkey % 35) || '.' || (l_partkey // 35) % 10"
+        " when l_partkey % 7 = 0 then 'Y' || (1 + l_partkey % 3)"
+        " when l_partkey % 7 = 1 then 'Z915'"
+        " else list_extract(['X', 'Y', 'Z'], 1 + l_partkey % 3) || (60 + (l_partkey // 3) % 25) end) as p41270,"
+        " list(distinct case l_partkey % 13 when 0 then 'E95' || l_suppkey % 10 when 1 then '295' || l_suppkey % 10"
+        " when 2 then '295F4' else cast(3000 + l_suppkey % 100 as varchar) end) as p41271"
         " from lineitem join orders on l_orderkey = o_orderkey where l_returnflag = 'R' group by o_custkey"
     )
 
@@ -101,7 +108,8 @@ def _online() -> str:
 
 def _online_multi() -> str:
     return (
-        "select user_id as eid, list(distinct event_id % 23) as p20544, list(distinct event_id % 9) as p20554,"
+        "select user_id as eid, list(distinct event_id % 23) as p20544,"
+        " coalesce(list(distinct event_id % 9) filter (where event_id % 16 = 0), []) as p20554,"
         " list(distinct event_id % 8) as p20548 from events where event_type = 'signup'"
         " group by user_id"
     )

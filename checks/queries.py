@@ -20,7 +20,7 @@ from traitweave.functions.scores import replace_missing_code, total
 from traitweave.operators.joins import outer_join
 from traitweave.phenotypes import CATALOGUE, STANDARD_RUN, rules
 from traitweave.phenotypes.vocabularies import ever_diagnosed, icd9, icd10, interview
-from traitweave.sources.assessment import assessment_tables
+from checks.assessment import assessment_tables
 from traitweave.sources.catalogue import StoredCatalogue
 from traitweave.sources.writers import flat_csv_frame, write_bucketed, write_csv, write_parquet
 
@@ -281,7 +281,7 @@ def output_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder all executors share; in local mode without one, below the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", "")
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

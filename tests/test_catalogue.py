@@ -11,7 +11,7 @@ from traitweave.operators.levels import levels
 from traitweave.operators.specs import CodeSet
 from traitweave.phenotypes import CATALOGUE, STANDARD_RUN
 from traitweave.plans.columns import plan_columns, source_fields
-from traitweave.sources.assessment import assessment_tables
+from checks.assessment import assessment_tables
 
 
 def test_size():

@@ -9,7 +9,7 @@ from traitweave import CohortEngine
 from traitweave.operators.joins import stack_join
 from traitweave.phenotypes import CATALOGUE, STANDARD_RUN
 from traitweave.session import tune
-from traitweave.sources.assessment import assessment_tables
+from checks.assessment import assessment_tables
 
 
 @pytest.fixture(scope="module")

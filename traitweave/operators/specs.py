@@ -70,6 +70,8 @@ class Phenotype:
     null_if_absent: bool = False
 
     def __post_init__(self):
+        #: Promises that were found to hold when a query was planned.
+        object.__setattr__(self, "kept_promises", set())
         object.__setattr__(self, "fields", tuple(self.fields))
         object.__setattr__(self, "children", tuple(self.children))
         if not isinstance(self.name, str) or not self.name:

@@ -25,7 +25,7 @@ class Planned:
     visible: bool
     null_if_absent: bool
     absent: Callable[[], Column] = field(repr=False, compare=False)
-    promised: bool = False
+    promise: tuple[Phenotype, tuple] | None = None
 
 
 def source_fields(specs: Iterable[Phenotype]) -> set[int]:
@@ -105,7 +105,7 @@ def plan_columns(
             )
         return recoded[source, recode]
 
-    def add(step: Step) -> None:
+    def add(step: Step, spec: Phenotype) -> None:
         if step.name in planned:
             raise ValueError(f"two phenotypes create a column named {step.name}")
         shared = recode_once if step.recode_once else None
@@ -118,21 +118,22 @@ def plan_columns(
             step.visible,
             step.null_if_absent and all(planned[r].null_if_absent for r in scope.reads if r in planned),
             absent=cache(lambda: step.build(AbsentScope(types, step, absent))),
-            promised=step.promised,
+            promise=(spec, (step.name, tuple((r, str(types[r])) for r in scope.reads if r in types))) if step.promised else None,
         )
 
     for spec in walk(specs, skip):
         for step in spec.steps(severity=severity):
-            add(step)
+            add(step, spec)
     return list(planned.values())
 
 
 def check_promises(planned: Iterable[Planned], spark: SparkSession) -> None:
     """Work out, on a row of nulls, every column that is promised to be null there; a broken promise is an error.
 
-    The row is a local one, so that no job runs.
+    The row is a local one, so that no job runs. A spec that has kept its promises on columns of the same types is
+    not asked again.
     """
-    promised = [p for p in planned if p.promised]
+    promised = [p for p in planned if p.promise and p.promise[1] not in p.promise[0].kept_promises]
     if not promised:
         return
     nothing = spark.sql("SELECT * FROM VALUES (1) AS t(one)")
@@ -140,6 +141,8 @@ def check_promises(planned: Iterable[Planned], spark: SparkSession) -> None:
     broken = [p.name for p in promised if row[p.name]]
     if broken:
         raise ValueError(f"null_if_absent does not hold: {', '.join(broken)} has a value where all answers are null")
+    for p in promised:
+        p.promise[0].kept_promises.add(p.promise[1])
 
 
 def layers(planned: Iterable[Planned]) -> list[list[Planned]]:
