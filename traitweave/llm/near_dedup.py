@@ -3,13 +3,13 @@
 1. Each text becomes the set of its word shingles. Equal sets are one node of the graph, however many copies they have.
 2. A SetSketch of a node: for each register the smallest of exponential hash values, on an exponential scale and
    truncated. Bands of neighbouring registers are bucket keys; nodes of a bucket are likely to be alike.
-3. Rounds over 1, 1, 2, 4, 8 and 16 bands. In each bucket the nodes are first folded by component, on the map side; a
+3. Rounds over 1, 3 and 28 bands. In each bucket the nodes are first folded by component, on the map side; a
    node of the largest component is the pivot and meets the nodes of all others (a star, linear in the bucket). Pairs
    whose likelihood, given both sketches and set sizes, speaks against the similarity are left out; the others are
    compared on their full sets. What a round links is one component in the next, so a hot group takes part in one
    round and is then one row a bucket.
-4. Where a bucket still holds several components, its pairs between components are compared, all by their sketches and
-   the likely ones on full sets: in small buckets together, in large ones in square blocks of bounded size. Only nodes
+4. Where a bucket still holds several components, its pairs between components are compared: in small buckets by
+   sketches first and then on full sets, in large ones on full sets in square blocks of bounded size. Only nodes
    outside the bucket's largest component meet the others.
 5. Components again; the smallest id of a component stays.
 
@@ -32,9 +32,10 @@ from traitweave.llm.common import Rolling, cut, drop, flat, keyed, mix, slices
 #: Registers in a band, and bands. Sets of similarity 0.85 miss all bands with a chance of 1e-8, of 0.8 of 2e-6.
 BAND, BANDS = 5, 32
 REGISTERS = BAND * BANDS
-#: The bands of each round of stars, and of each step of the search for nodes that share a bucket at all.
-ROUNDS = (range(1), range(1, 2), range(2, 4), range(4, 8), range(8, 16), range(16, BANDS))
-STEPS = (range(1), range(1, 4), range(4, BANDS))
+#: The bands of each step of the search for nodes that share a bucket at all, and of each round of stars.
+STEPS = ROUNDS = (range(1), range(1, 4), range(4, BANDS))
+#: Bits of the filter by which texts are picked: 16 MB, whatever their number. Texts it lets through in vain cost time only.
+FILTER_BITS = 1 << 27
 #: Base of the exponential scale: different sets agree on a register with a chance of (BASE - 1) / 4.
 BASE, RATE = 1.02, 22.2
 #: Standard errors by which the likeliest similarity may lie under the threshold without the pair being left out.
@@ -117,10 +118,7 @@ def components(edges: DataFrame) -> DataFrame:
 def _linked(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """`node` and `label` of every node that has a link, as a scratch table."""
     active = _active(nodes.select("node", "sketch"))
-    # The texts of these nodes' first rows give their sets; they are few against all rows.
-    chosen = nodes.join(active, "node").select("node", "n", "sketch", "k1", "k2")
-    wanted = texts.select("k1", "k2", "text").join(chosen, ["k1", "k2"])
-    sets = cut(wanted.mapInArrow(_sets(words), "node binary, n long, sketch binary, grams binary").dropDuplicates(["node"]))
+    sets = _full_sets(texts, nodes.join(active, "node").select("node", "n", "sketch", "k1", "k2"), words)
     drop(active)
     light = sets.select("node", "n", "sketch")
 
@@ -140,16 +138,36 @@ def _linked(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> Dat
     buckets = _buckets(labelled, range(BANDS))
     small = buckets.join(mixed.filter(F.col("size") <= SMALL), "bucket").join(light, "node")
     small = small.select("bucket", "node", "label", "n", "sketch").repartition("bucket").sortWithinPartitions("bucket")
-    pairs = small.mapInArrow(_across(percent), "a binary, b binary")
+    links = _verified(small.mapInArrow(_across(percent), "a binary, b binary").distinct(), sets, percent)
     large = mixed.filter(F.col("size") > SMALL)
     if not large.isEmpty():
-        pairs = pairs.union(_blocks(buckets.join(large, "bucket"), light, percent))
-    links = cut(_verified(pairs.distinct(), sets, percent))
-    labels = _joined(links, labels)
+        links = links.union(_blocks(buckets.join(large, "bucket"), sets, percent).distinct())
+    labels = _joined(cut(links), labels)
     drop(mixed, sets)
     return labels
 
 
+def _full_sets(texts: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
+    """`node`, `n`, `sketch` and the full set (`grams`) of the chosen nodes, from the texts of their first rows.
+
+    Texts are picked by a filter of the rows' keys where they are read, so that only the sets of (almost only) the
+    chosen are shuffled. The filter is made on the executors and passes the driver as 4,096 maps of 4 KB.
+    """
+    place = F.pmod(F.xxhash64("k1", "k2"), F.lit(FILTER_BITS)).alias("place")
+    chosen = cut(chosen)
+    spots = chosen.select(F.bitmap_bucket_number(place + 1).alias("map"), F.bitmap_bit_position(place + 1).alias("bit"))
+    maps = spots.groupBy("map").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
+    for row in maps:
+        bits[row["map"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(bits.ravel())
+    grams = texts.select("k1", "k2", "text", place).mapInArrow(_sets(words, shared), "k1 long, k2 long, grams binary")
+    grams = grams.groupBy("k1", "k2").agg(F.first("grams").alias("grams"))
+    sets = cut(chosen.join(grams, ["k1", "k2"]).select("node", "n", "sketch", "grams"))
+    drop(chosen)
+    return sets
+
+
 def _active(nodes: DataFrame) -> DataFrame:
     """The nodes that share a bucket with another, as a scratch table. A node is looked up in further bands only as
     long as it shares none, so that those of a hot bucket are few in the later steps."""
@@ -221,9 +239,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(_similar(percent), "a binary, b binary")
 
 
-def _blocks(rows: DataFrame, light: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs between components of large buckets: the nodes outside the largest component (`apart` of them)
-    against all (`size`), block by block."""
+def _blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components of large buckets: the nodes outside the largest component (`apart` of them) against
+    all (`size`), block by block."""
     height, width = F.ceil(F.col("apart") / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.xxhash64("node", "bucket")
     left = rows.filter(F.col("label") != F.col("main")).select(
@@ -232,9 +250,9 @@ def _blocks(rows: DataFrame, light: DataFrame, percent: int) -> DataFrame:
     right = rows.select(
         "bucket", "node", "label", F.explode(F.sequence(F.lit(0), height - 1)).alias("i"), F.pmod(own, width).cast("int").alias("j"), F.lit(False).alias("left")
     )
-    cells = left.union(right).join(light, "node")
+    cells = left.union(right).join(sets.select("node", "grams"), "node")
     cells = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return cells.mapInArrow(_block_pairs(percent), "a binary, b binary")
+    return cells.mapInArrow(_block_links(percent), "a binary, b binary")
 
 
 class Shingles:
@@ -355,16 +373,16 @@ def _bands(kept: list[str], bands: range):
     return run
 
 
-def _sets(words: int):
+def _sets(words: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
+        shingles, bits = Shingles(words), shared.value
         for batch in batches:
-            for piece in slices(batch, "text"):
+            place = batch.column("place").to_numpy()
+            wanted = batch.filter(pa.array((bits[place >> 3] >> (place & 7)) & 1 == 1))
+            for piece in slices(wanted, "text"):
                 hashes, at = shingles(piece.column("text"))
                 grams = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c) for c in ("node", "n", "sketch")), pa.array(grams, pa.binary())], ["node", "n", "sketch", "grams"]
-                )
+                yield pa.RecordBatch.from_arrays([piece.column("k1"), piece.column("k2"), pa.array(grams, pa.binary())], ["k1", "k2", "grams"])
 
     return run
 
@@ -431,20 +449,30 @@ def _across(percent: int):
     return run
 
 
-def _block_pairs(percent: int):
+def _block_links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["bucket", "i", "j"]):
             left = group.column("left").to_numpy()
-            node, label = np.array(group.column("node").to_pylist(), object), np.array(group.column("label").to_pylist(), object)
-            registers = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            n = group.column("n").to_numpy()
-            right = np.flatnonzero(~left)
-            for x in np.flatnonzero(left):
-                # far less equal registers than any pair in doubt has; spares the likelihood of most
-                some = right[((registers[right] == registers[x]).sum(axis=1) * 2 >= REGISTERS) & (label[right] != label[x])]
-                if len(some):
-                    keep = some[_keep(registers[some], registers[np.full(len(some), x)], n[some], n[np.full(len(some), x)], percent)]
-                    yield _pairs([(node[x], node[y]) for y in keep])
+            node, label = group.column("node").to_pylist(), group.column("label").to_pylist()
+            sets = [np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()]
+            sizes = np.array([len(x) for x in sets])
+            _, gram = np.unique(np.concatenate(sets), return_inverse=True)
+            row = np.repeat(np.arange(len(sets)), sizes)
+            l_rows, r_rows = np.flatnonzero(left), np.flatnonzero(~left)
+            common = np.zeros((len(l_rows), len(r_rows)), np.float32)
+            place = np.empty(len(sets), np.int64)
+            place[l_rows], place[r_rows] = np.arange(len(l_rows)), np.arange(len(r_rows))
+            for start in range(0, int(gram.max()) + 1, 4096):  # some thousand shingles at once
+                here = (gram >= start) & (gram < start + 4096)
+                held = [np.zeros((len(r), 4096), np.float32) for r in (l_rows, r_rows)]
+                for side, which in zip(held, (left, ~left), strict=True):
+                    mine = here & which[row]
+                    side[place[row[mine]], gram[mine] - start] = 1
+                common += held[0] @ held[1].T
+            union = sizes[l_rows][:, None] + sizes[r_rows][None, :] - common
+            i, j = np.nonzero(100 * common >= percent * union)
+            found = [(node[l_rows[x]], node[r_rows[y]]) for x, y in zip(i, j, strict=True) if label[l_rows[x]] != label[r_rows[y]]]
+            yield _pairs(found)
 
     return run
 
