@@ -37,8 +37,12 @@ GROUPS, SMALL = 64, 8
 #: Words remembered by a task; characters of the longest that is; characters of text taken at once.
 REMEMBERED, LONGEST, STRETCH = 250_000, 40, 1 << 20
 MOST_PIVOTS = 5_000
-#: The first character after the Latin letters. None of them is a mark, so words of them are in normal form.
-LATIN_END = "\u0250"
+#: Fixed value: how the word tokenizer splits a text before its merges.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for characters before U+0250. There are no marks among them, so that such texts are in normal form.
+_LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
+WIDE = re.compile(r"[^\x00-\u024f]").search
+LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+").findall
 #: A tokenizers file without what comes before its merges.
 NOTHING_BEFORE = {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
 #: Shares of the program's sequences that are tried; what they leave goes to best fit. The fewest sequences win.
@@ -286,21 +290,29 @@ def _plan_table(spark: SparkSession, intervals: list[Interval]) -> DataFrame:
 
 
 class Words(dict):
-    """Ids of stretches without white space, as bytes; a dict of those seen lately.
+    """Ids of the words that come before the merges, as bytes; a dict of those seen lately.
 
-    White space never becomes part of a token, so a text's ids are those of its stretches in order. When the dict is
-    full, a new one begins, and what is still asked for moves over from the one before. Words of small Latin letters
-    are not changed by the tokenizer's normalisation and not split before its merges: they go straight to the merges.
+    In a text of Latin characters nothing of the tokenizer's normalisation is left to do but to lower the case, and
+    `LATIN_WORDS` splits it as the tokenizer does; new words then go straight to the merges, all of a slice together.
+    Other texts go through the tokenizer as they are. When the dict is full, a new one begins, and what is still asked
+    for moves over from the one before.
     """
 
     def __init__(self, tokenizer: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
+        own = json.loads(tokenizer)
         self.whole = Tokenizer.from_str(tokenizer)
-        self.merges = Tokenizer.from_str(json.dumps(json.loads(tokenizer) | NOTHING_BEFORE))
+        self.merges = Tokenizer.from_str(json.dumps(own | NOTHING_BEFORE))
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.before: dict[str, bytes] = {}
+        splits = [p["pattern"].get("Regex") for p in (own["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        kinds = [n["type"] for n in (own["normalizer"] or {}).get("normalizers", [])]
+        added = [t["content"] for t in own["added_tokens"]]
+        #: What sends a text to the tokenizer itself; everything, if that is not the one whose split is known.
+        known = splits == [SPLIT] and kinds == ["NFC", "Replace", "Lowercase"]
+        self.odd = re.compile("|".join(map(re.escape, added)) or "(?!)").search if known else lambda text: True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
@@ -309,58 +321,42 @@ class Words(dict):
         return self._short(texts)
 
     def _short(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = []
         words: list[str] = []
         ends = [0]
-        for text in texts:  # other white space than these is left to the tokenizer
-            words += text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        for text in texts:
+            small = text.lower()
+            if WIDE(small) or self.odd(text):
+                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                out.append(None)
+                words += LATIN_WORDS(small)
             ends.append(len(words))
         if len(self) > REMEMBERED:
             self.before = dict(self)
             self.clear()
         ids = list(map(self.get, words))
         missing = [i for i, x in enumerate(ids) if x is None]
-        self._learn({words[i] for i in missing})
-        for i in missing:
-            ids[i] = self[words[i]]
-        for word in {words[i] for i in missing if len(words[i]) > LONGEST}:
-            del self[word]
-        return [b"".join(ids[start:end]) for start, end in zip(ends, ends[1:])]
-
-    def _learn(self, words: set[str]) -> None:
-        before = {w: self.before[w] for w in words if w in self.before}
+        if missing:
+            new = list({words[i] for i in missing})
+            self._learn(new)
+            for i in missing:
+                ids[i] = self[words[i]]
+            for word in new:
+                if len(word) > LONGEST:
+                    del self[word]
+        return [b"".join(ids[i:j]) if x is None else x for x, i, j in zip(out, ends, ends[1:])]
+
+    def _learn(self, words: list[str]) -> None:
+        before = {w: x for w in words if (x := self.before.get(w)) is not None}
         self.update(before)
-        split = {w: _plain(w) for w in words if w not in before}
-        plain = {part for parts in split.values() for part in parts if part not in self}
-        latin = [w for w in plain if w.isalpha() and w < LATIN_END and max(w) < LATIN_END and w == w.lower()]
-        self.update(self._encoded(latin, self.merges, [self._as_letters(w) for w in latin]))
-        other = [w for w in plain if w not in self]
-        self.update(self._encoded(other, self.whole, other))
-        for word, (core, tail) in split.items():
-            self[word] = self[core] + self[tail] if tail else self[core]
-
-    def _as_letters(self, word: str) -> str:
-        return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-
-    @staticmethod
-    def _encoded(words: list[str], model, inputs: list[str]) -> dict[str, bytes]:
-        if not words:
-            return {}
-        encoded = model.encode(inputs, is_pretokenized=True, add_special_tokens=False)
-        ids, of = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
-        raw, ends = ids.tobytes(), (np.searchsorted(of, np.arange(len(words)), side="right") * 4).tolist()
-        return {w: raw[i:j] for w, i, j in zip(words, [0, *ends[:-1]], ends, strict=True)}
-
-
-def _plain(word: str) -> tuple[str, str]:
-    """A word with its first letter small, as the tokenizer makes it, and the full stops and commas after a letter or
-    digit, which are tokens of their own."""
-    core = word.rstrip(".,")
-    if not core or not core[-1].isalnum():
-        core = word
-    tail = word[len(core) :]
-    if "A" <= core[:1] <= "Z":
-        core = core[0].lower() + core[1:]
-    return core, tail
+        new = [w for w in words if w not in before]
+        if new:
+            inputs = [w if w.isascii() and w.isalpha() else w.encode().decode("latin-1").translate(self.letters) for w in new]
+            encoded = self.merges.encode(inputs, is_pretokenized=True, add_special_tokens=False)
+            ids, of = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
+            raw, ends = ids.tobytes(), (np.searchsorted(of, np.arange(len(new)), side="right") * 4).tolist()
+            self.update((w, raw[i:j]) for w, i, j in zip(new, [0, *ends[:-1]], ends, strict=True))
 
 
 def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
