@@ -214,3 +214,65 @@ def test_planned_reads_decide_the_table(spark):
     assert planned["a1"].reads == ("p1",)
     assert planned["either"].reads == ("a1", "b2")
     assert list(planned) == ["a1", "b2", "either"]
+
+
+def test_rules_over_visits_and_cells(spark):
+    df = spark.createDataFrame([(1, 3, 5, 7, 8), (2, 4, 4, None, 7), (3, None, 1, 7, 9)], "eid int, p1_i0 int, p1_i1 int, p2_i0_a0 int, p2_i0_a1 int")
+    rule = FlagRule(
+        "rose",
+        fields=[1, 2],
+        visits=2,
+        helpers={
+            "change": lambda scope: scope.field(1) - scope.field(1, visit=0),
+            "second_cell": lambda scope: scope.field(2, visit=0, element=1),
+            "seven": lambda scope: scope.any_code(2, [7], visit=0),
+        },
+        rule=lambda scope: scope.column("change") > 0,
+    )
+    got = CohortEngine({"t": df}).query(rule)
+    assert by_id(got, "change_0", "change_1", "second_cell_1", "seven_1", "rose") == {
+        1: (0, 2, 8, True, True),
+        2: (0, 0, 7, True, False),
+        3: (None, None, 9, True, None),
+    }
+    with pytest.raises(ValueError, match="no column p1_i4 for field 1"):
+        CohortEngine({"t": df}).query(FlagRule("f", fields=[1], rule=lambda scope: scope.field(1, visit=4) == 1))
+    with pytest.raises(ValueError, match="exists on a visit only"):
+        CohortEngine({"t": df}).query(FlagRule("f", fields=[2], rule=lambda scope: scope.field(2, element=0) == 1))
+
+
+def test_recode_per_field(spark):
+    df = spark.createDataFrame([(1, -818, 2), (2, 1, -818), (3, None, 0)], "eid int, p1 int, p2 int")
+    calls = []
+
+    def reverse(item):
+        calls.append(1)
+        return F.when(item == -818, 9).otherwise(4 - item)
+
+    one = Score("one", fields=[1, 2], levels=[3], recode={1: reverse})
+    two = Score("two", fields=[1], levels=[9], recode={1: reverse})
+    got = CohortEngine({"t": df}).query(one, two)
+    assert by_id(got, "one_score", "two_score", "two") == {1: (11, 9, True), 2: (-815, 3, False), 3: (None, None, None)}
+    assert not [c for c in got.columns if c.startswith("__")]
+    planned = plan_columns([one, two], {"p1": df.schema["p1"].dataType, "p2": df.schema["p2"].dataType})
+    assert sum("recoded" in p.name for p in planned) == 1  # shared by both scores
+    with pytest.raises(ValueError, match="recode names fields it does not read: 7"):
+        Score("x", fields=[1], levels=[1], recode={7: reverse})
+
+
+def test_a_recode_that_fills_nulls_reaches_absent_participants(tables):
+    filled = Score("filled", fields=[1], levels=[1], recode={1: lambda item: F.coalesce(item, F.lit(2))})
+    for mode in ("outer", "stack"):
+        got = CohortEngine(tables).query(filled, B2, join_mode=mode)
+        assert by_id(got, "filled_score") == {1: (1,), 2: (0,), 3: (2,), 4: (2,), 5: (2,)}
+
+
+def test_a_broken_promise_is_an_error(tables):
+    rule = lambda scope: F.coalesce(scope.field(1) == 1, F.lit(False))
+    wrong = FlagRule("wrong", fields=[1], rule=rule, null_if_absent=True)
+    with pytest.raises(ValueError, match="null_if_absent does not hold: wrong"):
+        CohortEngine(tables).query(wrong, B2)
+    kept = FlagRule("kept", fields=[1], rule=lambda scope: scope.field(1) == 1, null_if_absent=True)
+    for _ in range(2):
+        assert by_id(CohortEngine(tables).query(kept, B2), "kept")[5] == (None,)
+    assert len(kept.kept_promises) == 1

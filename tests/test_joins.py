@@ -143,3 +143,46 @@ def test_values_do_not_depend_on_the_number_of_rows(spark, hot_rows):
     assert sorted(str(r["d"]) for r in got if r["eid"] == 1) == ["-0.0", "0.0", "0.0", "nan"]
     assert all(r["m"] == {"a": 1} and r["t"].microsecond == 1 and bytes(r["b"]) == b"\xff\x00" for r in got if r["eid"] == 1)
     assert [str(r["r"]) for r in got].count("[-0.0, None]") == 4 and len(got) == 5
+
+
+@pytest.mark.parametrize("mode", ["outer", "stack"])
+def test_join_of_some_ids(spark, mode):
+    tables = MESSY if mode == "outer" else CLEAN
+    n = len(tables)
+    some = spark.createDataFrame([(1, "x"), (9, "y"), (9, "z"), (None, "n"), (77, "absent"), (2, "q")], "who long, other string")
+    wanted = [[row for row in rows if row[0] in (1, 9, 2)] for rows in tables]
+    joined = join_tables(frames(spark, tables), mode, 3, only=some)
+    assert rows_of(joined, n) == brute_force(wanted)
+    (single,) = frames(spark, MESSY[:1])
+    assert rows_of(join_tables([single], only=some), 1) == Counter(r for r in MESSY[0] if r[0] in (1, 9, 2))
+    nobody = some.filter("who = 77")
+    assert join_tables(frames(spark, tables), mode, only=nobody).count() == 0
+
+
+def test_marks_that_collide_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr("traitweave.operators.joins.MARKS", 2)
+    tables = frames(spark, MESSY)
+    some = spark.createDataFrame([(1,), (9,)], "eid long")
+    wanted = [[row for row in rows if row[0] in (1, 9)] for rows in MESSY]
+    assert rows_of(join_tables(tables, only=some), 4) == brute_force(wanted)
+    assert rows_of(outer_join(tables, 2), 4) == brute_force(MESSY)
+
+
+def test_equal_rows_of_a_hot_id_spread_over_tasks(spark):
+    """Copies of one row in several partitions fall into several fragments, and none is lost."""
+    many = spark.range(20_000, numPartitions=8).select(F.lit(0).cast("long").alias("eid"), F.lit("x").alias("c0"))
+    few = spark.createDataFrame([(0, "y"), (0, "z")], "eid long, c1 string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = outer_join([many, few], hot_rows=2_000)
+        tasks = joined.groupBy(F.spark_partition_id()).count().count()
+        assert {tuple(r) for r in joined.groupBy("c0", "c1").count().collect()} == {("x", "y", 20_000), ("x", "z", 20_000)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert tasks > 1
+
+
+def test_ids_that_are_not_numbers(spark):
+    a = spark.createDataFrame([("k", 1), ("k", 2), (None, 3), ("é", 4)], "eid string, c0 int")
+    b = spark.createDataFrame([("k", 5)] * 3 + [("", 6)], "eid string, c1 int")
+    assert rows_of(outer_join([a, b], 2), 2) == brute_force([[tuple(r) for r in x.collect()] for x in (a, b)])

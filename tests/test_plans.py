@@ -9,6 +9,7 @@ from traitweave import CohortEngine
 from traitweave.operators.joins import stack_join
 from traitweave.phenotypes import CATALOGUE, STANDARD_RUN
 from traitweave.session import tune
+from traitweave.sources.writers import write_bucketed
 from checks.assessment import assessment_tables
 
 
@@ -109,3 +110,46 @@ def test_no_python_in_any_plan(stored):
         assert "Python" not in plan
         assert "Arrow" not in plan
         assert "CartesianProduct" not in plan
+
+
+def test_ids_are_sorted_out_below_every_exchange(stored):
+    """Of a join for some ids, only rows that passed the semi-join on the marks are exchanged."""
+    spark = stored.get_table(1200).sparkSession
+    some = spark.range(100).select(F.col("id").alias("eid"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mode in ("stack", "outer"):
+            plan = plan_of(stored.query(CATALOGUE["ptsd"], join_mode=mode, hot_rows=None, only=some)).splitlines()
+            depth = [len(re.match(r"[^A-Z(*]*", line).group()) for line in plan]
+            for i, line in enumerate(plan):
+                if "FileScan parquet" not in line:
+                    continue
+                above, at = [], depth[i]
+                for k in range(i - 1, -1, -1):
+                    if depth[k] < at:
+                        above.append(plan[k])
+                        at = depth[k]
+                exchange = next(k for k, x in enumerate(above) if "Exchange hashpartitioning" in x)
+                assert any("LeftSemi" in x and "__mark" in x for x in above[:exchange])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_tables_join_without_exchange(spark, sf_dir):
+    tables = {}
+    for name, df in assessment_tables(spark, sf_dir).items():
+        write_bucketed(df, f"plan_{name}", buckets=6, mode="overwrite")
+        tables[name] = spark.table(f"plan_{name}")
+    try:
+        bucketed = CohortEngine(tables, colocated=True)
+        for options in ({"join_mode": "stack"}, {"hot_rows": None}):
+            assert "Exchange" not in plan_of(bucketed.query(*STANDARD_RUN, **options))
+        # the look for frequent ids exchanges what it found, never rows
+        looked = plan_of(bucketed.query(CATALOGUE["ptsd"]))
+        assert not re.findall(r"Exchange hashpartitioning\(eid", looked)
+        got = bucketed.query(CATALOGUE["ptsd"]).collect()
+        expected = CohortEngine(assessment_tables(spark, sf_dir)).query(CATALOGUE["ptsd"], join_mode="stack").collect()
+        assert sorted(got, key=str) == sorted(expected, key=str)
+    finally:
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS plan_{name}")
