@@ -13,7 +13,7 @@ SQL = entry_points.oracle_sql()
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()
-    for table in ("orders", "lineitem", "events", "supplier", "documents", "benchmark"):
+    for table in ("orders", "lineitem", "events", "supplier"):
         connection.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     return connection
 
@@ -46,7 +46,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", SQL)
+@pytest.mark.parametrize("name", COHORT)
 def test_query(spark, sf_dir, duck, name):
     df = QUERIES[name](spark, sf_dir)
     got = sorted((tuple(r) for r in df.collect()), key=repr)

@@ -12,7 +12,11 @@ from traitweave.functions.naming import sql_literal
 
 
 def pack_cells(columns: Iterable[str | Column]) -> Column:
-    """Distinct non-null elements in first-seen order; all-null cells give an empty array."""
+    """Distinct non-null elements in first-seen order; all-null cells give an empty array.
+
+    ``array_distinct(array_compact(...))`` says the same, but its filter is not part of the generated code: packing 3
+    million rows of seven cells took it 1.5 to 2.2 seconds on two cores, this 0.5 to 1.1.
+    """
     return F.array_except(F.array(*columns), F.expr("array(NULL)"))
 
 

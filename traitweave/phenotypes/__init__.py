@@ -71,7 +71,10 @@ anxiety = AnyOf(
         icd9("anxiety", ["3000", "3001", "3002", "3009", "300"]),
         icd10(
             "anxiety",
-            "F064 F93.0 F931 F932 F40 F400 F401 F402 F408 F409 F41 F410 F411 F412 F413 F418 F419".split(),
+            [
+                "F064", "F93.0", "F931", "F932", "F40", "F400", "F401", "F402", "F408", "F409",
+                "F41", "F410", "F411", "F412", "F413", "F418", "F419",
+            ],
         ),
         interview("anxiety", [1287, 1614]),
         ever_diagnosed("anxiety", [1, 6, 17]),
