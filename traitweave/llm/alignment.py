@@ -15,6 +15,7 @@ unbounded is broadcast.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -37,10 +38,12 @@ SPACE_MARK = "▁"
 #: Texts are handled in slices of so many bytes, and longer ones in parts.
 TEXT_BYTES = 1 << 20
 #: Stretches remembered by a task, and characters of the longest that is.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 80_000, 64
 #: A space between something that is no white space and a letter. A token of both tokenizers begins there, and both put
 #: a space before a text, so the stretches between such spaces can be encoded as texts of their own.
 BETWEEN = re.compile(r"(?<=\S) (?=[^\W\d_])")
+#: A word of Latin letters and what may follow it.
+PLAIN = re.compile(r"([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([.,]*)").fullmatch
 #: Where the numbers of a text lie in one number: A tokens, B tokens, groups, links. Python's numbers do not overflow.
 SHIFTS, FIELD = (0, 48, 96, 144), (1 << 48) - 1
 
@@ -274,10 +277,11 @@ class Stretches(dict):
     def _learn(self, new: list[str]) -> None:
         a, b = self.tokenizers(new)
         links = Links(a, b, len(new))
-        numbers = zip(*(x.tolist() for x in (a.counts, b.counts, links.n_groups, links.n_links)), strict=True)
+        numbers = [x.tolist() for x in (a.counts, b.counts, links.n_groups, links.n_links)]
         raw, ends = links.pair.tobytes(), (np.cumsum(links.n_links) * 8).tolist()
-        for stretch, own, groups, start, end in zip(new, numbers, links.texts(), [0, *ends[:-1]], ends, strict=True):
-            number = sum(n << shift for n, shift in zip(own, SHIFTS, strict=True))
+        each = zip(new, *numbers, links.texts(), [0, *ends[:-1]], ends, strict=True)
+        for stretch, n_a, n_b, n_groups, n_links, groups, start, end in each:
+            number = n_a | n_b << 48 | n_groups << 96 | n_links << 144
             self[stretch] = Stretch(number, groups.encode(), raw[start:end]) if groups else None
 
 
@@ -299,6 +303,14 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         letters = byte_letters()
+        own = json.loads(a_json)
+        before = own["pre_tokenizer"] or {}
+        #: The merges alone, where what comes before them is known to be the split of words and nothing else.
+        known = own["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+        bare = {"pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(own | bare)) if known and not before.get("add_prefix_space") else None
+        self.letters = {byte: letter for letter, byte in letters.items()}
+        self.space = self.letters[32]
         special = {t.content: t.content.encode() for t in self.a.get_added_tokens_decoder().values()}
         vocabulary = self.a.get_vocab()
         self.a_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
@@ -317,7 +329,7 @@ class Tokenizers:
     def __call__(self, texts: list[str]) -> tuple[Tokens, Tokens]:
         """The tokens of each text, none where the bytes of one tokenizer's differ from the text."""
         raw = [(" " + text).encode() for text in texts]
-        a = [e.ids for e in self.a.encode_batch([" " + text for text in texts], add_special_tokens=False)]
+        a = self._a_ids(texts)
         b = self.b.encode(texts, num_threads=1)
         found = self._tokens(a, self.a_sizes), self._tokens(b, self.b_sizes)
         if self._same(raw, *found):
@@ -327,6 +339,32 @@ class Tokenizers:
                 a[i], b[i] = [], []
         return self._tokens(a, self.a_sizes), self._tokens(b, self.b_sizes)
 
+    def _a_ids(self, texts: list[str]) -> list[list[int]]:
+        """A ids of a space and each text. Latin words, with full stops and commas, are two words before the merges and
+        go straight to them."""
+        plain = [m for m in map(PLAIN, texts) if m] if self.merges else []
+        if len(plain) < len(texts):
+            known = {m.string for m in plain}
+            others = [text for text in texts if text not in known]
+            found = self.a.encode_batch([" " + text for text in others], add_special_tokens=False)
+            ids = {text: e.ids for text, e in zip(others, found, strict=True)}
+        else:
+            ids = {}
+        if plain:
+            words, ends = [], []
+            for m in plain:
+                word, tail = m.groups()
+                words.append(self.space + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)))
+                if tail:
+                    words.append(tail)
+                ends.append(len(words))
+            encoded = self.merges.encode(words, is_pretokenized=True, add_special_tokens=False)
+            stops = np.searchsorted(np.array(encoded.word_ids, np.int64), ends).tolist()
+            every = encoded.ids
+            for m, start, stop in zip(plain, [0, *stops[:-1]], stops, strict=True):
+                ids[m.string] = every[start:stop]
+        return [ids[text] for text in texts]
+
     def _same(self, raw: list[bytes], a: Tokens, b: Tokens) -> bool:
         """Whether all tokens of both have the bytes of the texts, told from all texts at once."""
         wanted, joined = np.array([len(x) for x in raw]), b"".join(raw)
