@@ -22,14 +22,14 @@ TOLD = (
     " ELSE 1270 + l_partkey % 400 END"
 )
 ICD10 = (
-    "CASE WHEN l_suppkey % 4 < 2 THEN concat('F', CAST(l_partkey % 500 AS STRING))"
+    "CASE WHEN l_suppkey % 16 <> 3 AND l_suppkey % 4 <> 2 THEN concat('F', CAST(l_partkey % 510 AS STRING))"
     " WHEN l_suppkey % 4 = 2 THEN concat('F', CAST(10 + l_partkey % 35 AS STRING), '.', CAST(CAST(floor(l_partkey / 35) AS BIGINT) % 10 AS STRING))"
     " WHEN l_partkey % 7 = 0 THEN concat('Y', CAST(1 + l_partkey % 3 AS STRING))"
     " WHEN l_partkey % 7 = 1 THEN 'Z915'"
     " ELSE concat(substring('XYZ', CAST(1 + l_partkey % 3 AS INT), 1), CAST(60 + CAST(floor(l_partkey / 3) AS BIGINT) % 25 AS STRING)) END"
 )
 ICD9 = (
-    "CASE WHEN l_partkey % 13 = 0 THEN concat('E95', CAST(l_suppkey % 10 AS STRING))"
+    "CASE WHEN l_partkey % 104 = 0 THEN concat('E95', CAST(l_suppkey % 10 AS STRING))"
     " WHEN l_partkey % 13 = 1 THEN concat('295', CAST(l_suppkey % 10 AS STRING))"
     " WHEN l_partkey % 13 = 2 THEN '295F4'"
     " ELSE CAST(3000 + l_suppkey % 100 AS STRING) END"

@@ -67,13 +67,14 @@ def _interview() -> str:
 def _hospital() -> str:
     return (
         "select o_custkey as eid, list(distinct case"
-        " when l_suppkey % 4 in (0, 1) then 'F' || l_partkey % 500"
+        " when l_suppkey % 16 <> 3 and l_suppkey % 4 <> 2 then 'F' || l_partkey % 510"
         " when l_suppkey % 4 = 2 then 'F' || (10 + l_partkey % 35) || '.' || (l_partkey // 35) % 10"
         " when l_partkey % 7 = 0 then 'Y' || (1 + l_partkey % 3)"
         " when l_partkey % 7 = 1 then 'Z915'"
         " else list_extract(['X', 'Y', 'Z'], 1 + l_partkey % 3) || (60 + (l_partkey // 3) % 25) end) as p41270,"
-        " list(distinct case l_partkey % 13 when 0 then 'E95' || l_suppkey % 10 when 1 then '295' || l_suppkey % 10"
-        " when 2 then '295F4' else cast(3000 + l_suppkey % 100 as varchar) end) as p41271"
+        " list(distinct case when l_partkey % 104 = 0 then 'E95' || l_suppkey % 10"
+        " when l_partkey % 13 = 1 then '295' || l_suppkey % 10 when l_partkey % 13 = 2 then '295F4'"
+        " else cast(3000 + l_suppkey % 100 as varchar) end) as p41271"
         " from lineitem join orders on l_orderkey = o_orderkey where l_returnflag = 'R' group by o_custkey"
     )
 
