@@ -41,12 +41,17 @@ def code_literals(codes: Iterable[int | str], element: T.DataType | None = None)
     Under ANSI rules Spark does not compare ``array<string>`` with integers, so
     a code list is brought to the column's type here.
     """
+    return F.expr(code_text(codes, element))
+
+
+def code_text(codes: Iterable[int | str], element: T.DataType | None = None) -> str:
+    """:func:`code_literals` as SQL text."""
     if isinstance(element, T.StringType):
         codes = [str(c) for c in codes]
     elif isinstance(element, T.NumericType):
         codes = [int(c) for c in codes]
     literals = f"array({', '.join(sql_literal(c) for c in codes)})"
-    return F.expr(literals if element is None else f"CAST({literals} AS array<{element.simpleString()}>)")
+    return literals if element is None else f"CAST({literals} AS array<{element.simpleString()}>)"
 
 
 def contains_any(column: Column, codes: Iterable[int | str], element: T.DataType | None = None) -> Column:

@@ -9,6 +9,8 @@ from operator import add, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from traitweave.functions.naming import sql_name
+
 # The answer code that means "missing", and what it counts as.
 MISSING_CODE = -818
 MISSING_VALUE = 0
@@ -19,6 +21,11 @@ def replace_missing_code(item: Column) -> Column:
     return F.when(item == MISSING_CODE, MISSING_VALUE).otherwise(item)
 
 
+def replaced_missing_code(name: str) -> str:
+    """:func:`replace_missing_code` of a named column as SQL text."""
+    return f"CASE WHEN {sql_name(name)} = {MISSING_CODE} THEN {MISSING_VALUE} ELSE {sql_name(name)} END"
+
+
 def total(items: Sequence[Column]) -> Column:
     """Sum of the items, null as soon as one of them is null."""
     return reduce(add, items)
