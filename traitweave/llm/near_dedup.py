@@ -3,7 +3,7 @@
 1. Each text becomes the set of its word shingles. Equal sets are one node of the graph, however many copies they have.
 2. A SetSketch of a node: for each register the smallest of exponential hash values, on an exponential scale and
    truncated. Bands of neighbouring registers are bucket keys; nodes of a bucket are likely to be alike.
-3. Rounds over 1, 3 and 28 bands. In each bucket the nodes are first folded by component, on the map side; a
+3. Rounds over 2 and 30 bands. In each bucket the nodes are first folded by component, on the map side; a
    node of the largest component is the pivot and meets the nodes of all others (a star, linear in the bucket). Pairs
    whose likelihood, given both sketches and set sizes, speaks against the similarity are left out; the others are
    compared on their full sets. What a round links is one component in the next, so a hot group takes part in one
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from traitweave.llm.common import Rolling, cut, drop, flat, keyed, mix, slices
 BAND, BANDS = 5, 32
 REGISTERS = BAND * BANDS
 #: The bands of each step of the search for nodes that share a bucket at all, and of each round of stars.
-STEPS = ROUNDS = (range(1), range(1, 4), range(4, BANDS))
+STEPS = ROUNDS = (range(2), range(2, BANDS))
 #: Bits of the filter by which texts are picked: 16 MB, whatever their number. Texts it lets through in vain cost time only.
 FILTER_BITS = 1 << 27
 #: Base of the exponential scale: different sets agree on a register with a chance of (BASE - 1) / 4.
@@ -180,8 +181,7 @@ def _active(nodes: DataFrame) -> DataFrame:
         drop(sizes)
         found.append(some)
         rest = rest.join(some, "node", "left_anti")
-    every = found[0].union(found[1]).union(found[2])
-    active = cut(every)
+    active = cut(reduce(DataFrame.union, found))
     drop(*found)
     return active
 
