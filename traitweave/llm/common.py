@@ -63,11 +63,11 @@ def received(shared: Broadcast):
     return pickle.loads(shared.value)
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Written to the shared folder and read again: computed once, and safe when executors are lost."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     table = spark.read.schema(df.schema).parquet(path)
     table.scratch_path = path
     return table

@@ -69,12 +69,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    page = f"id {kind}, url string, host string, path string, lines array<string>, inside array<boolean>"
+    # lines hold no line feed, so they travel as one text, and whether each is in the article as one of 0 and 1
+    page = f"id {kind}, url string, host string, path string, lines string, inside string"
     order = ["host", "path", "id", "url"]
     parsed = rows.mapInArrow(_parse, page).repartitionByRange(*order).sortWithinPartitions(*order)
-    near = "near_path string, near_lines array<string>, near_inside array<boolean>"
+    near = "near_path string, near_lines string, near_inside string"
     done = parsed.withColumn("part", F.spark_partition_id()).mapInArrow(_texts, f"{page}, text string, part int, edge string, {near}")
-    done = cut(done)
+    done = cut(done, codec="zstd")
     inner = done.filter("edge IS NULL").select("id", "url", "text")
 
     edges = done.filter("edge IS NOT NULL")
@@ -198,14 +199,20 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batch, "html"):
             found = [lines(html) for html in rows.column("html").to_pylist()]
             columns = [rows.column(c) for c in ("id", "url", "host", "path")]
-            columns += [pa.array([x for x, _ in found], pa.list_(pa.string())), pa.array([x for _, x in found], pa.list_(pa.bool_()))]
+            columns.append(pa.array(["\n".join(x) for x, _ in found], pa.string()))
+            columns.append(pa.array(["".join("1" if i else "0" for i in x) for _, x in found], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, ["id", "url", "host", "path", "lines", "inside"])
 
 
+def _unpacked(page: dict) -> tuple[list[str], list[bool]]:
+    """The lines of a page as `lines` gives them."""
+    return page["lines"].split("\n") if page["inside"] else [], [x == "1" for x in page["inside"]]
+
+
 def _page_text(page: dict, before: dict | None, after: dict | None) -> str:
     near = [p for p in (before, after) if p and p["host"] == page["host"]]
     near.sort(key=lambda p: -_alike(p["path"], page["path"]))
-    return own_text((page["lines"], page["inside"]), [(p["lines"], p["inside"]) for p in near])
+    return own_text(_unpacked(page), [_unpacked(p) for p in near])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,11 +239,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         if schema is None:
-            texts, marks = pa.list_(pa.string()), pa.list_(pa.bool_())
-            kinds = [("text", pa.string()), ("part", pa.int32()), ("edge", pa.string())]
-            kinds += [("near_path", pa.string()), ("near_lines", texts), ("near_inside", marks)]
-            page = [("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("lines", texts), ("inside", marks)]
-            schema = pa.schema([("id", batch.schema.field("id").type), *page, *kinds])
+            texts = ("url", "host", "path", "lines", "inside", "text")
+            kinds = [("part", pa.int32()), *((c, pa.string()) for c in ("edge", "near_path", "near_lines", "near_inside"))]
+            schema = pa.schema([("id", batch.schema.field("id").type), *((c, pa.string()) for c in texts), *kinds])
         for start in range(0, batch.num_rows, 200):
             for after in batch.slice(start, 200).to_pylist():
                 if now:
