@@ -10,8 +10,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from traitweave.llm import decontaminate, exact_dedup, html_text, labelled, language_id, line_dedup, near_dedup
-from traitweave.llm import quality, secrets_scan, sentencepiece_codec, suffix_dedup
+from traitweave.llm import decontaminate, exact_dedup, html_text, labelled, labelled_findings, language_id, line_dedup
+from traitweave.llm import near_dedup, quality, secrets_scan, sentencepiece_codec, suffix_dedup
 from traitweave.llm.queries import PIECES
 
 SCHEMA = "doc_id long, text string, lang string, key string, k1 string, id string"
@@ -355,6 +355,29 @@ def test_common_lines():
         assert len(html_text.common_lines(a, b)) == table[-1][-1]
 
 
+def test_forest_on_held_out_findings():
+    """Precision and recall on findings the forest was not fitted on, over all kinds and for each kind of secret."""
+    learn = labelled_findings.labelled_findings(secrets_scan.LABELLED)
+    forest = secrets_scan.fit([f[:4] for f in learn], labelled_findings.WORDS)
+    held = [f for f in labelled_findings.labelled_findings(3_000, seed=99) if f[:3] not in {x[:3] for x in learn}]
+    x = np.array([secrets_scan.features(c, b, a, forest.dictionary) for c, b, a, *_ in held])
+    found = forest.chance(x) >= 0.5
+    true = np.array([f[3] for f in held])
+    assert (found & true).sum() / found.sum() >= 0.95
+    assert (found & true).sum() / true.sum() >= 0.95
+    kinds = np.array([f[4] for f in held])
+    rates = {k: float(found[kinds == k].mean()) for k in labelled_findings.KINDS}
+    print(rates)
+    for kind, (secret, *_) in labelled_findings.KINDS.items():
+        assert rates[kind] >= 0.8 if secret else rates[kind] <= 0.2, (kind, rates[kind])
+
+
+def test_assigned_candidates():
+    texts = ['password: "river-Stone" and token=abc', "Key: sk_live_0123456789abcdefgh; pwd='q!9zzkW'", None, "monkeys: none"]
+    got = [(i, c) for i, _, _, c, _, _ in secrets_scan.findings(texts)]
+    assert got == [(0, "river-Stone"), (1, "sk_live_0123456789abcdefgh"), (1, "q!9zzkW")]
+
+
 def test_secret_scan(spark):
     rng = random.Random(6)
     token = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(60)]
