@@ -44,7 +44,8 @@ def examples(rows: DataFrame, id_col: str, text_col: str, label_col: str, rows_w
         one = (F.col(label_col) == F.lit(label)) & (fraction(F.col(id_col)) < wanted)
         chosen = one if chosen is None else chosen | one
     picked = usable.filter(chosen).orderBy(fraction(F.col(id_col)), id_col).limit(2 * rows_wanted).collect()
-    return [(r[1], r[2]) for r in sorted(picked, key=lambda r: (str(r[0]), r[1]))]
+    picked.sort(key=lambda r: (str(r[0]), r[1]))
+    return [(r[1], r[2]) for r in picked]
 
 
 class GramBuckets:

@@ -35,8 +35,8 @@ BAND, BANDS = 5, 32
 REGISTERS = BAND * BANDS
 #: The bands of each step of the search for nodes that share a bucket at all, and of each round of stars.
 STEPS = ROUNDS = (range(2), range(2, BANDS))
-#: Bits of the filter by which texts are picked: 16 MB, whatever their number. Texts it lets through in vain cost time only.
-FILTER_BITS = 1 << 27
+#: Bits of the filter by which texts are picked: 4 MB, whatever their number. Texts it lets through in vain cost time only.
+FILTER_BITS = 1 << 25
 #: Base of the exponential scale: different sets agree on a register with a chance of (BASE - 1) / 4.
 BASE, RATE = 1.02, 22.2
 #: Standard errors by which the likeliest similarity may lie under the threshold without the pair being left out.
@@ -152,7 +152,7 @@ def _full_sets(texts: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
     """`node`, `n`, `sketch` and the full set (`grams`) of the chosen nodes, from the texts of their first rows.
 
     Texts are picked by a filter of the rows' keys where they are read, so that only the sets of (almost only) the
-    chosen are shuffled. The filter is made on the executors and passes the driver as 4,096 maps of 4 KB.
+    chosen are shuffled. The filter is made on the executors and passes the driver as 1,024 maps of 4 KB.
     """
     place = F.pmod(F.xxhash64("k1", "k2"), F.lit(FILTER_BITS)).alias("place")
     chosen = cut(chosen)

@@ -86,9 +86,12 @@ def fit(pairs: list[tuple[str, int]], cost: float = 1.0, rounds: int = 15, seed:
         nothing = np.zeros(1 << BITS, np.float32)
         return QualityModel(nothing, nothing + 1, 0.0, 1.0, 0.0)
     indicators = Indicators()
-    rows = [np.unique(indicators(pa.array([text]))[1]).astype(np.uint16) for text, _ in pairs]  # held on the driver
     label = np.array([1 if good else 0 for _, good in pairs])
-    held = np.arange(len(pairs)) % 5 == 4
+    rows: list[np.ndarray] = []  # held on the driver; each text goes when its row is made
+    pairs = pairs[::-1]
+    while pairs:
+        rows.append(np.unique(indicators(pa.array([pairs.pop()[0]]))[1]).astype(np.uint16))
+    held = np.arange(len(rows)) % 5 == 4
     learn = np.flatnonzero(~held)
     counts = np.ones((2, 1 << BITS))
     for i in learn:
