@@ -105,7 +105,7 @@ def whole(text):
 
 def test_words_give_the_ids_of_whole_texts(monkeypatch):
     rng = random.Random(3)
-    words = packing.Words(Path(WORDS).read_text("utf-8"))
+    words = packing.Words(*packing.Words.parts(Path(WORDS).read_text("utf-8")))
     texts = ODD + ["".join(rng.choices("aÉ́ \n'.sß1", k=60)) for _ in range(300)]
     latin = "".join(map(chr, range(0x250)))
     texts += [latin, *latin, latin * 2, *("".join(rng.choices(latin, k=40)) for _ in range(300))]

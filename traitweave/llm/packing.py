@@ -22,6 +22,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from traitweave.llm.common import byte_letters, cut, slices
 #: Groups of the linear grouping; lengths up to capacity / SMALL are packed by best fit alone.
 GROUPS, SMALL = 64, 8
 #: Words remembered by a task; characters of the longest that is; characters of text taken at once.
-REMEMBERED, LONGEST, STRETCH = 250_000, 40, 1 << 20
+REMEMBERED, LONGEST, STRETCH = 500_000, 40, 1 << 20
 MOST_PIVOTS = 5_000
 #: Fixed value: how the word tokenizer splits a text before its merges.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -298,21 +299,40 @@ class Words(dict):
     for moves over from the one before.
     """
 
-    def __init__(self, tokenizer: str) -> None:
+    def __init__(self, tokenizer: str, merges: str, added: list[str] | None) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
-        own = json.loads(tokenizer)
-        self.whole = Tokenizer.from_str(tokenizer)
-        self.merges = Tokenizer.from_str(json.dumps(own | NOTHING_BEFORE))
+        self.tokenizer, self.added = tokenizer, added
+        self.merges = Tokenizer.from_str(merges)
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.before: dict[str, bytes] = {}
+
+    @staticmethod
+    def parts(tokenizer: str) -> tuple[str, str, list[str] | None]:
+        """What tasks get: the tokenizer, its merges alone, and the added tokens, which send a text that has one to the
+        tokenizer itself. None sends all texts there, if the tokenizer is not the one whose split is known."""
+        own = json.loads(tokenizer)
         splits = [p["pattern"].get("Regex") for p in (own["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
         kinds = [n["type"] for n in (own["normalizer"] or {}).get("normalizers", [])]
-        added = [t["content"] for t in own["added_tokens"]]
-        #: What sends a text to the tokenizer itself; everything, if that is not the one whose split is known.
         known = splits == [SPLIT] and kinds == ["NFC", "Replace", "Lowercase"]
-        self.odd = re.compile("|".join(map(re.escape, added)) or "(?!)").search if known else lambda text: True
+        return tokenizer, json.dumps(own | NOTHING_BEFORE), [t["content"] for t in own["added_tokens"]] if known else None
+
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.tokenizer)
+
+    def _plain(self, text: str, small: str) -> bool:
+        """Whether a text and its lower case are of Latin characters, without added tokens."""
+        if self.added is None or any(token in text for token in self.added):
+            return False
+        try:
+            small.encode("latin-1")
+        except UnicodeEncodeError:
+            return not WIDE(small)
+        return True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
@@ -326,11 +346,11 @@ class Words(dict):
         ends = [0]
         for text in texts:
             small = text.lower()
-            if WIDE(small) or self.odd(text):
-                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-            else:
+            if self._plain(text, small):
                 out.append(None)
                 words += LATIN_WORDS(small)
+            else:
+                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             ends.append(len(words))
         if len(self) > REMEMBERED:
             self.before = dict(self)
@@ -381,11 +401,11 @@ def _pieces(
     kinds = (T.IntegerType(), *[T.LongType()] * 3, T.IntegerType(), T.LongType())
     fields = [T.StructField("id", given.schema["id"].dataType), *map(T.StructField, names, kinds)]
     schema = T.StructType(fields + [T.StructField("ids", T.ArrayType(T.LongType()))] * with_ids)
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    shared = docs.sparkSession.sparkContext.broadcast(Words.parts(tokenizer))
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(shared.value)
+        words = Words(*shared.value)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
