@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from traitweave.llm.common import byte_letters, cut, slices
+from traitweave.llm.common import byte_letters, cut, kept_in_worker, slices
 
 #: Pairs whose counts are broadcast (16 bytes each).
 FREQUENT = 2_000_000
@@ -37,8 +37,8 @@ SHIFT = 1 << 32
 SPACE_MARK = "▁"
 #: Texts are handled in slices of so many bytes, and longer ones in parts.
 TEXT_BYTES = 1 << 20
-#: Stretches remembered by a task, and characters of the longest that is.
-REMEMBERED, LONGEST = 80_000, 64
+#: Stretches remembered by a worker, and characters of the longest that is.
+REMEMBERED, LONGEST = 100_000, 64
 #: A space between something that is no white space and a letter. A token of both tokenizers begins there, and both put
 #: a space before a text, so the stretches between such spaces can be encoded as texts of their own.
 BETWEEN = re.compile(r"(?<=\S) (?=[^\W\d_])")
@@ -162,9 +162,10 @@ def linked_ids(
     lists = [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("a", "b", "times")]
     schema = T.StructType([given.schema["id"], given.schema["row"], *numbers, *texts, *lists])
     shared = docs.sparkSession.sparkContext.broadcast((a_json, b_model))
+    key = hashlib.sha256(a_json.encode() + b_model).hexdigest()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Stretches(Tokenizers(*shared.value))
+        known = kept_in_worker(key, lambda: Stretches(Tokenizers(*shared.value)))
         for batch in batches:
             for rows in slices(batch, "text", TEXT_BYTES):
                 found = _aligned(rows.column("text").to_pylist(), known, with_groups)

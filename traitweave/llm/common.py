@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pickle
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +65,19 @@ def received(shared: Broadcast):
     return pickle.loads(shared.value)
 
 
+def kept_in_worker(key: str, make: Callable[[], object]):
+    """What `make` gives, made once for all tasks of a Python worker; what was kept under another key goes.
+
+    Code that travels with the plan has no module of its own in the worker that could keep it.
+    """
+    holder = sys.modules.setdefault("kept_in_worker", ModuleType("kept_in_worker"))
+    if getattr(holder, "key", None) != key:
+        holder.key = holder.value = None
+        holder.value = make()
+        holder.key = key
+    return holder.value
+
+
 def cut(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Written to the shared folder and read again: computed once, and safe when executors are lost."""
     spark = df.sparkSession
