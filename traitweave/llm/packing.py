@@ -17,6 +17,7 @@ a third of all pieces have is a few intervals. No piece passes the driver.
 from __future__ import annotations
 
 import bisect
+import hashlib
 import json
 import re
 import zlib
@@ -31,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from traitweave.llm.common import byte_letters, cut, slices
+from traitweave.llm.common import byte_letters, cut, kept_in_worker, slices
 
 #: Groups of the linear grouping; lengths up to capacity / SMALL are packed by best fit alone.
 GROUPS, SMALL = 64, 8
-#: Words remembered by a task; characters of the longest that is; characters of text taken at once.
+#: Words remembered by a worker; characters of the longest that is; characters of text taken at once.
 REMEMBERED, LONGEST, STRETCH = 500_000, 40, 1 << 20
 MOST_PIVOTS = 5_000
 #: Fixed value: how the word tokenizer splits a text before its merges.
@@ -402,10 +403,11 @@ def _pieces(
     fields = [T.StructField("id", given.schema["id"].dataType), *map(T.StructField, names, kinds)]
     schema = T.StructType(fields + [T.StructField("ids", T.ArrayType(T.LongType()))] * with_ids)
     shared = docs.sparkSession.sparkContext.broadcast(Words.parts(tokenizer))
+    key = hashlib.sha256(tokenizer.encode()).hexdigest()
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(*shared.value)
+        words = kept_in_worker(key, lambda: Words(*shared.value))
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
