@@ -62,8 +62,8 @@ ONLINE_ITEMS = [
 ]
 
 
-def assessment_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five participant tables over the parquet tables in a directory."""
+def assessment_tables(spark: SparkSession, sf_dir: str, every_act: bool = False) -> dict[str, DataFrame]:
+    """The five participant tables over the parquet tables in a directory; ``every_act``: with the acts of all events."""
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,7 +74,7 @@ def assessment_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "asm_interview": interview(orders, lineitem),
         "asm_hospital": hospital(orders, lineitem),
         "asm_online": online(events),
-        "asm_online_multi": online_multiple_choice(events),
+        "asm_online_multi": online_multiple_choice(events, every_act),
     }
 
 
@@ -188,15 +188,19 @@ def online(events: DataFrame) -> DataFrame:
     return events.groupBy(F.col("user_id").alias(EID)).agg(*columns)
 
 
-def online_multiple_choice(events: DataFrame) -> DataFrame:
-    """Multiple-choice answers; one row per user. At most 23 distinct answers each."""
+def online_multiple_choice(events: DataFrame, every_act: bool = False) -> DataFrame:
+    """Multiple-choice answers; one row per user. At most 23 distinct answers each.
+
+    Acts of self-harm (p20554) are those of each 16th event, or of all with ``every_act``.
+    """
+    acts_every = 1 if every_act else 16
     return (
         events.filter("event_type = 'signup'")
         .groupBy(F.col("user_id").alias(EID))
         .agg(
             *[
                 F.expr(f"collect_set(event_id % {choices}) FILTER (WHERE event_id % {every} = 0) AS {column}")
-                for column, choices, every in (("p20544", 23, 1), ("p20554", 9, 16), ("p20548", 8, 1))
+                for column, choices, every in (("p20544", 23, 1), ("p20554", 9, acts_every), ("p20548", 8, 1))
             ]
         )
     )

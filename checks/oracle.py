@@ -107,21 +107,29 @@ def _online() -> str:
     return f"select user_id as eid, {', '.join(columns)} from events group by user_id"
 
 
-def _online_multi() -> str:
+def _online_multi(
+    acts: str = "coalesce(list(distinct event_id % 9) filter (where event_id % 16 = 0), [])"
+) -> str:
     return (
         "select user_id as eid, list(distinct event_id % 23) as p20544,"
-        " coalesce(list(distinct event_id % 9) filter (where event_id % 16 = 0), []) as p20554,"
+        f" {acts} as p20554,"
         " list(distinct event_id % 8) as p20548 from events where event_type = 'signup'"
         " group by user_id"
     )
 
 
+def _online_multi_whole() -> str:
+    """The acts of all events."""
+    return _online_multi("list(distinct event_id % 9)")
+
+
 _TABLES = {
     "touch": _touch,
     "interview": _interview,
     "hospital": _hospital,
     "online": _online,
     "online_multi": _online_multi,
+    "online_multi_whole": _online_multi_whole,
 }
 
 
@@ -548,7 +556,7 @@ def oracle_sql() -> dict[str, str]:
             _levels(["ptsd", "neuroticism"]),
         ),
         "instance_expansion": phenotypes("interview", _code_leaves("depression", interview="1278 1279 1280")),
-        "code_set_flag": phenotypes("online_multi", {"acts": "list_has_any(p20554, [1, 3])"}),
+        "code_set_flag": phenotypes("online_multi_whole", {"acts": "list_has_any(p20554, [1, 3])"}),
         "icd9_flag": phenotypes("hospital", _code_leaves("anxiety", icd9="3000 3001 3002 3009 300")),
         "icd10_flag": phenotypes("hospital", _code_leaves("ptsd", icd10="F431")),
         "interview_flag": phenotypes("interview", _code_leaves("ptsd", interview="1469")),

@@ -29,8 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 ALL_TABLES = ("asm_touch", "asm_interview", "asm_hospital", "asm_online", "asm_online_multi")
 
 
-def engine(spark: SparkSession, sf_dir: str, *tables: str) -> CohortEngine:
-    found = assessment_tables(spark, sf_dir)
+def engine(spark: SparkSession, sf_dir: str, *tables: str, every_act: bool = False) -> CohortEngine:
+    found = assessment_tables(spark, sf_dir, every_act)
     return CohortEngine({name: found[name] for name in tables or ALL_TABLES})
 
 
@@ -54,11 +54,11 @@ def _without_levels(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.startswith("level_")])
 
 
-def phenotypes(*specs: Phenotype, levels: bool = False, **options) -> Query:
-    """The columns the specs create, from a full engine query."""
+def phenotypes(*specs: Phenotype, levels: bool = False, every_act: bool = False, **options) -> Query:
+    """The columns the specs create, from a full engine query; ``every_act``: over the acts of all events."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = engine(spark, sf_dir).query(*specs, **{"join_mode": "stack", **options})
+        df = engine(spark, sf_dir, every_act=every_act).query(*specs, **{"join_mode": "stack", **options})
         return comparable(df if levels else _without_levels(df))
 
     return run
@@ -345,7 +345,7 @@ def registered() -> dict[str, Query]:
         "evaluate_tree": evaluate_tree,
         "query_phenotypes": phenotypes(CATALOGUE["ptsd"], CATALOGUE["neuroticism"], levels=True, join_mode="outer"),
         "instance_expansion": phenotypes(interview("depression", [1278, 1279, 1280])),
-        "code_set_flag": phenotypes(CodeSet("acts", fields=[20554], codes=[1, 3])),
+        "code_set_flag": phenotypes(CodeSet("acts", fields=[20554], codes=[1, 3]), every_act=True),
         "icd9_flag": phenotypes(icd9("anxiety", ["3000", "3001", "3002", "3009", "300"])),
         "icd10_flag": phenotypes(icd10("ptsd", ["F431"])),
         "interview_flag": phenotypes(interview("ptsd", [1469])),
