@@ -613,7 +613,7 @@ def oracle_sql() -> dict[str, str]:
         "life_time_bipolar": phenotypes(ALL, _DEPRESSION | _LIFE_TIME_BIPOLAR),
         "cannabis_use_group": phenotypes("online", _CANNABIS),
         "substance_use_questionnaire": phenotypes("online interview", _SUBSTANCE_QUESTIONNAIRE),
-        "self_harm_questionnaire": phenotypes("online online_multi", _SELF_HARM_QUESTIONNAIRE),
+        "self_harm_questionnaire": phenotypes("online online_multi_whole", _SELF_HARM_QUESTIONNAIRE),
         "insomnia_touch_screen": phenotypes("touch", _INSOMNIA_TOUCH),
         "neuroticism": phenotypes("touch", _NEUROTICISM),
         # whole runs

@@ -377,7 +377,7 @@ def registered() -> dict[str, Query]:
         "life_time_bipolar": phenotypes(CATALOGUE["life_time_bipolar"]),
         "cannabis_use_group": over("asm_online", case_recode),
         "substance_use_questionnaire": phenotypes(CATALOGUE["questionnaire_substance_abuse_non_alcoholic"]),
-        "self_harm_questionnaire": phenotypes(CATALOGUE["questionnaire_self_harm"]),
+        "self_harm_questionnaire": phenotypes(CATALOGUE["questionnaire_self_harm"], every_act=True),
         "insomnia_touch_screen": phenotypes(CATALOGUE["touch_screen_insomnia"]),
         "neuroticism": phenotypes(CATALOGUE["neuroticism"]),
         "flagship": phenotypes(*STANDARD_RUN, levels=True),

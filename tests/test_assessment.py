@@ -49,3 +49,8 @@ def test_acts_of_all_events_count(spark, own_tables):
     # before, only events 16, 32 and so on were read, and users 10 and 13 had named none
     found = result(spark, own_tables(events=EVENTS), "code_set_flag")
     assert found == {10: (True,), 11: (False,), 12: (False,), 13: (True,)}
+
+
+def test_self_harm_by_acts_of_all_events(spark, own_tables):
+    found = result(spark, own_tables(events=EVENTS), "self_harm_questionnaire")
+    assert found[10][-1] is True and found[13][-1] is True
