@@ -54,3 +54,12 @@ def test_acts_of_all_events_count(spark, own_tables):
 def test_self_harm_by_acts_of_all_events(spark, own_tables):
     found = result(spark, own_tables(events=EVENTS), "self_harm_questionnaire")
     assert found[10][-1] is True and found[13][-1] is True
+
+
+def test_diagnoses_take_one_exchange_of_lines(spark, own_tables):
+    # before, equal lines were dropped in an exchange of their own
+    lines = [(1, 431, 1, "R")] * 50 + [(2, 432, 1, "R"), (2, 431, 1, "N"), (3, 431, 1, "R"), (9, 431, 1, "R")]
+    sf_dir = own_tables(lines=lines, orders=[(1, 10), (2, 10), (2, 11), (3, 12), (4, 13)])
+    assert result(spark, sf_dir, "icd10_flag") == {10: (True,), 11: (False,), 12: (True,)}
+    plan = entry_points.queries()["icd10_flag"](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Aggregate(") == 2  # partial and final of the sets, no fold of lines
