@@ -399,3 +399,12 @@ def test_pipeline_stages(spark, sf_dir):
     kept = {r["doc_id"]: r["text"] for r in out.collect()}
     groups = brute_components(list(kept.items()), corpus_pipeline.WORDS, corpus_pipeline.PERCENT)
     assert all(alone for _, _, alone in groups.values())
+
+
+def test_secret_dictionary_counts_the_words_of_all_texts(spark):
+    # before, some 20,000 texts were drawn, and a word of few texts was seldom counted often enough
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('lorem ', translate(cast(id % 12000 AS string), '0123456789', 'abcdefghij'), 'word') AS text")
+    rare = docs.filter("doc_id % 12000 < 50").select("text").distinct()
+    words = {r["text"].split()[1] for r in rare.collect()}
+    assert len(words) == 50  # each in five texts
+    assert words <= secrets_scan.train(docs).dictionary
