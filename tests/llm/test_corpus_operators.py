@@ -408,3 +408,24 @@ def test_secret_dictionary_counts_the_words_of_all_texts(spark):
     words = {r["text"].split()[1] for r in rare.collect()}
     assert len(words) == 50  # each in five texts
     assert words <= secrets_scan.train(docs).dictionary
+
+
+def test_near_pairs_are_sorted_out_by_short_hashes_without_loss(spark):
+    # before, every pair of the last step was compared on full sets
+    rng = np.random.default_rng(4)
+    sets = {}
+    for i, n in enumerate([1, 2, 20, 300, 20_000]):
+        first = rng.integers(0, 2**64, n, dtype=np.uint64)
+        sets[f"{i}x"] = first
+        for j, share in enumerate([0, 0.5, 0.9, 0.92, 1]):
+            keep = int(n * share)
+            sets[f"{i}{j}"] = np.concatenate([first[:keep], rng.integers(0, 2**64, n - keep, dtype=np.uint64)])
+    frame = spark.createDataFrame([(k.encode(), bytearray(np.sort(v).tobytes())) for k, v in sets.items()], "node binary, grams binary")
+    names = sorted(sets)
+    pairs = [(a, b) for a in names for b in names if a < b]
+    given = spark.createDataFrame([(a.encode(), b.encode()) for a, b in pairs], "a binary, b binary")
+    kept = {(bytes(r["a"]).decode(), bytes(r["b"]).decode()) for r in near_dedup._possible(given, frame, 85).collect()}
+    alike = {(a, b) for a, b in pairs if 100 * len(set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))}
+    assert alike and alike <= kept
+    small = {p for p in pairs if max(len(sets[x]) for x in p) <= 300}
+    assert len(small & kept - alike) <= 3 and len(kept) < len(pairs) / 2
