@@ -334,6 +334,18 @@ def test_html_texts_do_not_depend_on_the_tasks(spark, partitions):
     assert got == differenced(pages)
 
 
+def test_html_lines_travel_packed():
+    """The lines of a page are exchanged in less than half of their bytes and come back as they were."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("aeioulnrst\u00e9", k=rng.randrange(3, 9))) for _ in range(40)]
+    html = ["".join(f"<p>{' '.join(rng.choices(words, k=30))}</p>" for _ in range(30)), "", "<article>a<p>\u00fc</article>", None]
+    rows = pa.RecordBatch.from_pylist([{"id": i, "url": "u", "host": "h", "path": "p", "html": x or ""} for i, x in enumerate(html)])
+    (parsed,) = html_text._parse([rows])
+    wanted = [html_text.lines(x or "") for x in html]
+    assert [html_text._unpacked(page) for page in parsed.to_pylist()] == wanted
+    assert 2 * len(parsed.column("lines")[0].as_py()) < len("\n".join(wanted[0][0]).encode())
+
+
 def test_html_without_marked_articles_gives_mostly_the_same(spark, sf_dir):
     """With all article tags taken out, differencing and the other markup find nine in ten of the texts."""
     pages = spark.read.parquet(f"{sf_dir}/../sf0.01/pages.parquet")

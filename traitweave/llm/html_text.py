@@ -7,15 +7,17 @@ the like never count. Where a page marks its article, its lines are those in it;
 line which its neighbour has outside the article is template all the same, and one that both articles share is a
 quotation or a copy and stays.
 
-At scale: pages are parsed where they are read, and only their lines are sorted, by range of (host, path), so that a
-large host spreads over tasks. A task knows both neighbours of each page but its first and its last; these two, with
-their neighbours inside, are finished afterwards with the last page of the task before and the first of the one after.
-So the text of a page depends on its neighbours alone, not on the size of its host or on the number of tasks.
+At scale: pages are parsed where they are read, and only their lines, packed page by page, are sorted, by range of
+(host, path), so that a large host spreads over tasks. A task knows both neighbours of each page but its first and its
+last; these two, with their neighbours inside, are finished afterwards with the last page of the task before and the
+first of the one after. So the text of a page depends on its neighbours alone, not on the size of its host or on the
+number of tasks.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
@@ -69,11 +71,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    # lines hold no line feed, so they travel as one text, and whether each is in the article as one of 0 and 1
-    page = f"id {kind}, url string, host string, path string, lines string, inside string"
+    # lines hold no line feed, so they travel as one packed text, and whether each is in the article as one of 0 and 1
+    page = f"id {kind}, url string, host string, path string, lines binary, inside string"
     order = ["host", "path", "id", "url"]
     parsed = rows.mapInArrow(_parse, page).repartitionByRange(*order).sortWithinPartitions(*order)
-    near = "near_path string, near_lines string, near_inside string"
+    near = "near_path string, near_lines binary, near_inside string"
     done = parsed.withColumn("part", F.spark_partition_id()).mapInArrow(_texts, f"{page}, text string, part int, edge string, {near}")
     done = cut(done, codec="zstd")
     inner = done.filter("edge IS NULL").select("id", "url", "text")
@@ -199,14 +201,15 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batch, "html"):
             found = [lines(html) for html in rows.column("html").to_pylist()]
             columns = [rows.column(c) for c in ("id", "url", "host", "path")]
-            columns.append(pa.array(["\n".join(x) for x, _ in found], pa.string()))
+            columns.append(pa.array([zlib.compress("\n".join(x).encode(), 1) for x, _ in found], pa.binary()))
             columns.append(pa.array(["".join("1" if i else "0" for i in x) for _, x in found], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, ["id", "url", "host", "path", "lines", "inside"])
 
 
 def _unpacked(page: dict) -> tuple[list[str], list[bool]]:
     """The lines of a page as `lines` gives them."""
-    return page["lines"].split("\n") if page["inside"] else [], [x == "1" for x in page["inside"]]
+    text = zlib.decompress(page["lines"]).decode()
+    return text.split("\n") if page["inside"] else [], [x == "1" for x in page["inside"]]
 
 
 def _page_text(page: dict, before: dict | None, after: dict | None) -> str:
@@ -239,9 +242,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         if schema is None:
-            texts = ("url", "host", "path", "lines", "inside", "text")
-            kinds = [("part", pa.int32()), *((c, pa.string()) for c in ("edge", "near_path", "near_lines", "near_inside"))]
-            schema = pa.schema([("id", batch.schema.field("id").type), *((c, pa.string()) for c in texts), *kinds])
+            names = ("url", "host", "path", "lines", "inside", "text", "part", "edge", "near_path", "near_lines", "near_inside")
+            kinds = {"part": pa.int32(), "lines": pa.binary(), "near_lines": pa.binary()}
+            schema = pa.schema([("id", batch.schema.field("id").type), *((c, kinds.get(c, pa.string())) for c in names)])
         for start in range(0, batch.num_rows, 200):
             for after in batch.slice(start, 200).to_pylist():
                 if now:
