@@ -134,6 +134,34 @@ def test_stretches_and_parts_give_the_tokens_of_the_whole(tokenizers, monkeypatc
         assert len(list(alignment.parts(text, 100))) > 5
 
 
+def test_words_with_signs_are_put_together(tokenizers, monkeypatch):
+    """Each word is tokenised once and so is what follows words; the result is that of the whole texts."""
+    made = []
+
+    class Counted(alignment.Links):
+        def __init__(self, a, b, n):
+            made.append(n)
+            super().__init__(a, b, n)
+
+    monkeypatch.setattr(alignment, "Links", Counted)
+    pieces = alignment.Tokenizers(A_JSON, B_MODEL)
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdeinorstu\u00e9\u00df\u00aa\u00b5\u0142", k=rng.randrange(1, 9))) for _ in range(60)] + ["a", "Le"]
+    signs = ["", ".", ",", "'s", "'re", "'S", "3", "_x", "$$$", " |", "...", "\n", ".\nThe", "\x1c", "\x00", "  ", "1.", " \u00e9", "\tb", ">"]
+    whole = " ".join(w + s for s in signs for w in words)
+    found = alignment.Stretches(pieces)
+    (got,) = alignment._aligned([whole], found, True)
+    assert sum(made) <= len(words) + 5 * len(signs)
+    mixed = [" ".join(rng.choice(words) + rng.choice(signs) for _ in range(50)) for _ in range(100)]
+    for text, total in [(whole, got), *zip(mixed, alignment._aligned(mixed, found, True), strict=True)]:
+        links = alignment.Links(*pieces([text]), 1)
+        assert [b";".join(total.groups).decode()] == links.texts() != [""]
+        numbers = [total.numbers >> shift & alignment.FIELD for shift in alignment.SHIFTS]
+        assert numbers == [len(links.a.ids), len(links.b.ids), links.n_groups[0], links.n_links[0]]
+        pair, times = np.unique(links.pair, return_counts=True)
+        assert total.pair.tolist() == pair.tolist() and total.times.tolist() == times.tolist()
+
+
 def test_byte_letters(a_bytes):
     letters = common.byte_letters()
     assert len(letters) == 256 and set(letters.values()) == set(range(256))

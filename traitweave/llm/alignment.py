@@ -5,8 +5,9 @@ their ends is kept, and a group begins wherever a start reaches that maximum: th
 token of one tokenizer is linked with every token of the other in its group, and a pair of ids is counted by the
 documents that hold it linked.
 
-At scale: texts are tokenised once, stretch by stretch, and stretches seen lately are looked up; what is stored for each is the ids of its links, a pair once with its number of
-occurrences. Pairs are counted with map-side combining, so one that is in every document reaches the shuffle as a row
+At scale: texts are tokenised once, stretch by stretch, and stretches seen lately are looked up. A new one that is a
+Latin word with something after it is put together from the word and the rest, where no token reaches from one into the
+other. What is stored for each text is the ids of its links, a pair once with its number of occurrences. Pairs are counted with map-side combining, so one that is in every document reaches the shuffle as a row
 per task. The counts go back to the documents in two ways: those of the most frequent pairs, at most ``FREQUENT`` of
 them, as broadcast arrays; the others, none of which is frequent, by a join. So no hot pair is shuffled and nothing
 unbounded is broadcast.
@@ -14,13 +15,13 @@ unbounded is broadcast.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +39,19 @@ SPACE_MARK = "▁"
 #: Texts are handled in slices of so many bytes, and longer ones in parts.
 TEXT_BYTES = 1 << 20
 #: Stretches remembered by a worker, and characters of the longest that is.
-REMEMBERED, LONGEST = 100_000, 64
+REMEMBERED, LONGEST = 150_000, 64
+#: Stretches that are tokenised together, and words that are one text for the tokenizers.
+TOGETHER, JOINED = 5_000, 200
 #: A space between something that is no white space and a letter. A token of both tokenizers begins there, and both put
 #: a space before a text, so the stretches between such spaces can be encoded as texts of their own.
-BETWEEN = re.compile(r"(?<=\S) (?=[^\W\d_])")
+BETWEEN = re.compile(r" (?<=\S )(?=[^\W\d_])")
+LATIN = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+#: ASCII characters other than letters. Words of A end before them.
+SIGN = r"[\x00-@\[-`{-\x7f]"
 #: A word of Latin letters and what may follow it.
-PLAIN = re.compile(r"([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([.,]*)").fullmatch
+PLAIN = re.compile(f"([{LATIN}]+)({SIGN}.*)?", re.S).fullmatch
+#: The word after which the rest of other words is learnt.
+STAND_IN = "a"
 #: Where the numbers of a text lie in one number: A tokens, B tokens, groups, links. Python's numbers do not overflow.
 SHIFTS, FIELD = (0, 48, 96, 144), (1 << 48) - 1
 
@@ -186,11 +194,12 @@ class Text:
         self.pair, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, found: list[Stretch], keep_groups: bool) -> None:
-        written = b";".join([s.groups for s in found])
+        numbers, groups, links = zip(*found, strict=True) if found else ((), (), ())
+        written = b";".join(groups)
         self.digest.update((b";" if self.numbers else b"") + written)
         self.groups += [written] * keep_groups
-        self.numbers += sum([s.numbers for s in found])
-        pairs = np.sort(np.frombuffer(b"".join([s.pairs for s in found]), np.int64))
+        self.numbers += sum(numbers)
+        pairs = np.sort(np.frombuffer(b"".join(links), np.int64))
         first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])[: len(pairs)])
         pair, times = pairs[first], np.diff(np.append(first, len(pairs)))
         if len(self.pair):
@@ -237,13 +246,9 @@ def _columns(found: list[Text | None], with_groups: bool) -> list[pa.Array]:
     ]
 
 
-@dataclass(frozen=True, slots=True)
-class Stretch:
-    """Of a stretch of text: its numbers in one, its groups as text, and the pair of each of its links."""
-
-    numbers: int
-    groups: bytes
-    pairs: bytes
+#: Of a stretch of text: its numbers in one, its groups as text, and the pair of each of its links. Plain tuples of plain
+#: values are left alone by the garbage collector.
+Stretch = tuple[int, bytes, bytes]
 
 
 class Stretches(dict):
@@ -264,26 +269,71 @@ class Stretches(dict):
         if len(self) > REMEMBERED:
             self.before = dict(self)
             self.clear()
-        wanted = set().union(*split)
-        new = [s for s in wanted if s not in self and s not in self.before]
-        self.update((s, self.before[s]) for s in wanted if s not in self and s in self.before)
-        for start in range(0, len(new), 5_000):
-            self._learn(new[start : start + 5_000])
-        found = [list(map(self.__getitem__, stretches)) for stretches in split]
+        collects = gc.isenabled()
+        gc.disable()  # many values are made here and no cycles
+        try:
+            new = self._missing(set().union(*split))
+            self._make(new)
+            found = [list(map(self.__getitem__, stretches)) for stretches in split]
+        finally:
+            if collects:
+                gc.enable()
         for stretch in new:
             if len(stretch) > LONGEST:
                 del self[stretch]
         return found
 
-    def _learn(self, new: list[str]) -> None:
-        a, b = self.tokenizers(new)
-        links = Links(a, b, len(new))
-        numbers = [x.tolist() for x in (a.counts, b.counts, links.n_groups, links.n_links)]
-        raw, ends = links.pair.tobytes(), (np.cumsum(links.n_links) * 8).tolist()
-        each = zip(new, *numbers, links.texts(), [0, *ends[:-1]], ends, strict=True)
-        for stretch, n_a, n_b, n_groups, n_links, groups, start, end in each:
-            number = n_a | n_b << 48 | n_groups << 96 | n_links << 144
-            self[stretch] = Stretch(number, groups.encode(), raw[start:end]) if groups else None
+    def _missing(self, wanted: set[str]) -> set[str]:
+        """The stretches not seen lately; those in the dict before move over."""
+        absent = wanted.difference(self)
+        new = absent.difference(self.before)
+        self.update((s, self.before[s]) for s in absent - new)
+        return new
+
+    def _make(self, new: set[str]) -> None:
+        """Puts stretches together from words and what follows them, and learns what these lack."""
+        if not self.tokenizers.ends_at_sign:
+            self._learn(list(new), self.tokenizers)
+            return
+        words, others, both = set(), set(), []
+        for stretch in new:
+            m = PLAIN(stretch) if len(stretch) <= LONGEST else None
+            if not m:
+                others.add(stretch)
+            elif not m[2]:
+                words.add(stretch)
+            elif m[1] == STAND_IN:
+                others.add(stretch)
+            else:
+                both.append((stretch, m[1], STAND_IN + m[2]))
+        if both:
+            words |= self._missing({STAND_IN, *(word for _, word, _ in both)})
+            others |= self._missing({rest for _, _, rest in both})
+        self._learn(list(words), self.tokenizers.words)
+        self._learn(list(others), self.tokenizers)
+        for stretch, word, rest in both:
+            self[stretch] = _joined(self[word], self[STAND_IN], self[rest])
+
+    def _learn(self, new: list[str], tokenize: Callable[[list[str]], tuple[Tokens, Tokens]]) -> None:
+        for start in range(0, len(new), TOGETHER):
+            part = new[start : start + TOGETHER]
+            a, b = tokenize(part)
+            links = Links(a, b, len(part))
+            numbers = [x.tolist() for x in (a.counts, b.counts, links.n_groups, links.n_links)]
+            written, stops = links.written(self.tokenizers.decimals)
+            pairs, ends = links.pair.tobytes(), (np.cumsum(links.n_links) * 8).tolist()
+            each = zip(part, *numbers, [0, *stops[:-1]], stops, [0, *ends[:-1]], ends, strict=True)
+            for stretch, n_a, n_b, n_groups, n_links, begin, stop, first, end in each:
+                number = n_a | n_b << 48 | n_groups << 96 | n_links << 144
+                self[stretch] = (number, written[begin : stop - 1], pairs[first:end]) if stop > begin else None
+
+
+def _joined(word: Stretch | None, other: Stretch | None, other_and_rest: Stretch | None) -> Stretch | None:
+    """A word and what follows it, told from another word and that word with the same after it."""
+    if not (word and other and other_and_rest):
+        return None
+    number, groups, pairs = other_and_rest
+    return word[0] + number - other[0], word[1] + groups[len(other[1]) :], word[2] + pairs[len(other[2]) :]
 
 
 @dataclass(frozen=True)
@@ -298,7 +348,7 @@ class Tokens:
 class Tokenizers:
     def __init__(self, a_json: str, b_model: bytes) -> None:
         import sentencepiece
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.a = Tokenizer.from_str(a_json)
         self.a.encode_special_tokens = True
@@ -306,13 +356,16 @@ class Tokenizers:
         letters = byte_letters()
         own = json.loads(a_json)
         before = own["pre_tokenizer"] or {}
-        #: The merges alone, where what comes before them is known to be the split of words and nothing else.
+        #: The merges alone, of words between spaces, where what comes before them is known to be the split of words and
+        #: nothing else.
         known = own["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
         bare = {"pre_tokenizer": None, "post_processor": None, "added_tokens": []}
         self.merges = Tokenizer.from_str(json.dumps(own | bare)) if known and not before.get("add_prefix_space") else None
+        if self.merges:
+            self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = {byte: letter for letter, byte in letters.items()}
-        self.space = self.letters[32]
-        special = {t.content: t.content.encode() for t in self.a.get_added_tokens_decoder().values()}
+        added = self.a.get_added_tokens_decoder().values()
+        special = {t.content: t.content.encode() for t in added}
         vocabulary = self.a.get_vocab()
         self.a_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for piece, i in vocabulary.items():
@@ -320,6 +373,12 @@ class Tokenizers:
         self.b_bytes = [self._b_piece(i) for i in range(self.b.get_piece_size())]
         #: Whether no B piece goes on after a space, so that stretches are independent.
         self.apart = not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", self.b.id_to_piece(i)) for i in range(len(self.b_bytes)))
+        #: Whether no token reaches from a Latin word into a sign after it, so that both are independent.
+        crossing = re.compile(f"[{LATIN}]{SIGN}")
+        pieces = [i for i in range(len(self.b_bytes)) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        within = self.merges and all(t.special for t in added) and not any(crossing.search(self.b.id_to_piece(i)) for i in pieces)
+        self.ends_at_sign = bool(within and self.apart)
+        self.decimals = decimals(max(len(self.a_bytes), len(self.b_bytes)))
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
 
@@ -341,30 +400,36 @@ class Tokenizers:
         return self._tokens(a, self.a_sizes), self._tokens(b, self.b_sizes)
 
     def _a_ids(self, texts: list[str]) -> list[list[int]]:
-        """A ids of a space and each text. Latin words, with full stops and commas, are two words before the merges and
-        go straight to them."""
-        plain = [m for m in map(PLAIN, texts) if m] if self.merges else []
-        if len(plain) < len(texts):
-            known = {m.string for m in plain}
-            others = [text for text in texts if text not in known]
-            found = self.a.encode_batch([" " + text for text in others], add_special_tokens=False)
-            ids = {text: e.ids for text, e in zip(others, found, strict=True)}
-        else:
-            ids = {}
-        if plain:
-            words, ends = [], []
-            for m in plain:
-                word, tail = m.groups()
-                words.append(self.space + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)))
-                if tail:
-                    words.append(tail)
-                ends.append(len(words))
-            encoded = self.merges.encode(words, is_pretokenized=True, add_special_tokens=False)
-            stops = np.searchsorted(np.array(encoded.word_ids, np.int64), ends).tolist()
-            every = encoded.ids
-            for m, start, stop in zip(plain, [0, *stops[:-1]], stops, strict=True):
-                ids[m.string] = every[start:stop]
-        return [ids[text] for text in texts]
+        """A ids of a space and each text."""
+        return [e.ids for e in self.a.encode_batch([" " + text for text in texts], add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> tuple[Tokens, Tokens]:
+        """The tokens of each Latin word. A space stands before each of them, so many are one text for both, and the
+        bytes tell which tokens are whose; for A they are words already and go straight to the merges."""
+        a, b, ends = [], [], []
+        for start in range(0, len(words), JOINED):
+            part = words[start : start + JOINED]
+            text = " ".join(part)
+            if not text.isascii():
+                bare = (" " + text).encode().decode("latin-1").translate(self.letters)
+                written = bare.split(self.letters[32])[1:]
+            else:
+                written = part
+            a += self.merges.encode_batch_fast([" ".join([self.letters[32] + w for w in written])], add_special_tokens=False)[0].ids
+            b += self.b.encode(text)
+            ends += [len(w) + 1 for w in written]
+        ends = np.cumsum(ends)
+        raw = (" " + " ".join(words)).encode()
+        found = []
+        for given, sizes, pieces in ((a, self.a_sizes, self.a_bytes), (b, self.b_sizes, self.b_bytes)):
+            ids = np.array(given, np.int64)
+            stops = np.cumsum(sizes[ids])
+            last = np.searchsorted(stops, ends)
+            whole = b"".join(map(pieces.__getitem__, given)) == raw and np.array_equal(stops[last], ends)
+            if not whole:
+                return self(words)
+            found.append(Tokens(ids, sizes[ids], np.diff(last, prepend=-1)))
+        return found[0], found[1]
 
     def _same(self, raw: list[bytes], a: Tokens, b: Tokens) -> bool:
         """Whether all tokens of both have the bytes of the texts, told from all texts at once."""
@@ -421,19 +486,35 @@ class Links:
         self.pair = a.ids[left] * SHIFT + b.ids[right]
 
     def texts(self) -> list[str]:
-        """``a1,a2|b1;a3|b2,b3`` of each text: ids in order, each with its separator."""
+        """``a1,a2|b1;a3|b2,b3`` of each text."""
+        most = max((int(x.ids.max()) for x in (self.a, self.b) if len(x.ids)), default=0)
+        written, stops = self.written(decimals(most + 1))
+        return [written[i:j][:-1].decode() for i, j in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def written(self, decimals: np.ndarray) -> tuple[bytes, list[int]]:
+        """The groups of all texts: ids in order, each with its separator, and where those of each text stop."""
         total = self.a_in + self.b_in  # in each group its A tokens, then its B tokens
         begins = np.cumsum(total) - total
         ids = np.empty(int(total.sum()), np.int64)
-        marks = np.full(len(ids), ",", "U1")
         a_first, b_first = np.cumsum(self.a_in) - self.a_in, np.cumsum(self.b_in) - self.b_in
         ids[np.repeat(begins - a_first, self.a_in) + np.arange(len(self.a.ids))] = self.a.ids
         ids[np.repeat(begins + self.a_in - b_first, self.b_in) + np.arange(len(self.b.ids))] = self.b.ids
-        marks[begins + self.a_in - 1] = "|"
-        marks[begins + total - 1] = ";"
-        parts = list(map(add, map(str, ids.tolist()), marks.tolist()))
-        ends = np.cumsum(np.bincount(self.row, total, self.n).astype(np.int64)).tolist()
-        return ["".join(parts[i:j])[:-1] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+        letters = decimals[ids]
+        marks = letters[:, -1]
+        marks[begins + self.a_in - 1] = ord("|")
+        marks[begins + total - 1] = ord(";")
+        held = letters != 0
+        sizes = np.add.reduceat(held.sum(1), begins) if len(begins) else begins
+        stops = np.cumsum(np.bincount(self.row, sizes, self.n).astype(np.int64)).tolist()
+        return letters[held].tobytes(), stops
+
+
+def decimals(n: int) -> np.ndarray:
+    """The numbers below `n` in decimal, each a row of bytes with a comma at its end and zero bytes between."""
+    digits = np.arange(n).astype("S")
+    rows = np.full((n, digits.itemsize + 1), ord(","), np.uint8)
+    rows[:, :-1] = digits.view(np.uint8).reshape(n, -1)
+    return rows
 
 
 def parts(text: str, size: int = TEXT_BYTES) -> Iterator[str]:
