@@ -441,3 +441,24 @@ def test_near_pairs_are_sorted_out_by_short_hashes_without_loss(spark):
     assert alike and alike <= kept
     small = {p for p in pairs if max(len(sets[x]) for x in p) <= 300}
     assert len(small & kept - alike) <= 3 and len(kept) < len(pairs) / 2
+
+
+def test_components_are_written_by_few_tasks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "few", lambda df: df.coalesce(3), raising=False)
+    names = [f"{i:03}".encode() for i in range(400)]
+    chain = list(zip(names[1:40], names[:39], strict=True))
+    star = [(names[250], x) for x in names[100:300] if x != names[250]]
+    pairs = [(names[i], names[i + 1]) for i in range(300, 400, 2)]
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = near_dedup.components(spark.createDataFrame(chain + star + pairs, "a binary, b binary"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = {bytes(r["node"]): bytes(r["label"]) for r in found.collect()}
+    wanted = {x: names[0] for x in names[:40]} | {x: names[100] for x in names[100:300]}
+    assert got == wanted | {x: names[i] for i in range(300, 400, 2) for x in names[i : i + 2]}
+    assert len(found.inputFiles()) <= 3

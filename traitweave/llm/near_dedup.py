@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitweave.llm.common import Rolling, cut, drop, flat, keyed, mix, slices
+from traitweave.llm.common import Rolling, cut, drop, few, flat, keyed, mix, slices
 
 #: Registers in a band, and bands. Sets of similarity 0.85 miss all bands with a chance of 1e-8, of 0.8 of 2e-6.
 BAND, BANDS = 5, 32
@@ -80,9 +80,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     drop(sketched)
     labels = _linked(keys, nodes, words, percent)
     drop(nodes)
-    grouped = cut(rows.join(labels, "node", "left").select("id", "k1", "k2", "n", F.coalesce("label", "node").alias("group")))
+    grouped = cut(few(rows.join(labels, "node", "left").select("id", "k1", "k2", "n", F.coalesce("label", "node").alias("group"))))
     drop(rows, labels)
-    least = cut(grouped.filter("n > 0").groupBy("group").agg(F.min("id").alias("least")))
+    least = cut(few(grouped.filter("n > 0").groupBy("group").agg(F.min("id").alias("least"))))
     joined = grouped.withColumn("group", F.when(F.col("n") > 0, F.col("group"))).join(least, "group", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
     return joined.select(
@@ -99,16 +99,17 @@ def components(edges: DataFrame) -> DataFrame:
     """`node`, `label` (the smallest node it is connected with) of all ends of `edges` (a, b), as a scratch table.
 
     Each round takes the smallest label of the neighbours and then that label's own label; labels are written out
-    between rounds. Partial aggregation keeps nodes with many neighbours from gathering them.
+    between rounds. A node's own label is a row beside those of its neighbours, which spares a join. Partial
+    aggregation keeps nodes with many neighbours from gathering them.
     """
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).withColumn("label", F.least("node", "label")))
+    both = cut(few(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct()))
+    labels = cut(few(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).withColumn("label", F.least("node", "label"))))
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
-        near = near.agg(F.min("label").alias("near")).join(labels, "node")
-        near = near.select("node", F.col("label").alias("old"), F.least("near", "label").alias("label"))
+        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("binary").alias("old"))
+        near = near.union(labels.select("node", "label", F.col("label").alias("old")))
+        near = few(near.groupBy("node").agg(F.max("old").alias("old"), F.min("label").alias("label")))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        step = cut(near.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label")))
+        step = cut(few(near.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label"))))
         drop(labels)
         labels = step
         if step.filter("old <> label").isEmpty():
@@ -135,7 +136,7 @@ def _linked(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> Dat
         F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"), F.max("n").alias("most")
     )
     mixed = mixed.filter("size > 2 and labels > 1").withColumn("apart", F.col("size") - F.col("most"))
-    mixed = cut(mixed.select("bucket", "main", "size", "apart"))
+    mixed = cut(few(mixed.select("bucket", "main", "size", "apart")))
     buckets = _buckets(labelled, range(BANDS))
     small = buckets.join(mixed.filter(F.col("size") <= SMALL), "bucket").join(light, "node")
     small = small.select("bucket", "node", "label", "n", "sketch").repartition("bucket").sortWithinPartitions("bucket")
@@ -177,8 +178,8 @@ def _active(nodes: DataFrame) -> DataFrame:
     rest = nodes
     for bands in STEPS:
         # A table of its own, so that a hot bucket can be split in the join.
-        sizes = cut(_buckets(nodes, bands).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-        some = cut(_buckets(rest, bands).join(sizes, "bucket", "left_semi").select("node").distinct())
+        sizes = cut(few(_buckets(nodes, bands).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")))
+        some = cut(few(_buckets(rest, bands).join(sizes, "bucket", "left_semi").select("node").distinct()))
         drop(sizes)
         found.append(some)
         rest = rest.join(some, "node", "left_anti")
@@ -223,7 +224,7 @@ def _stars(labelled: DataFrame, bands: range, percent: int) -> DataFrame:
     parts = buckets.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), first)
     heads = parts.groupBy("bucket").agg(F.max(F.struct("n", "label", "node")).alias("head"), F.count(F.lit(1)).alias("labels"))
     heads = heads.filter("labels > 1").select("bucket", F.col("head.node").alias("pivot"), F.col("head.label").alias("known"))
-    heads = cut(heads)  # a table of its own, so that a hot bucket can be split in the join
+    heads = cut(few(heads))  # a table of its own, so that a hot bucket can be split in the join
     stars = buckets.join(heads.withColumnRenamed("bucket", "of"), (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("known")))
     stars = stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     return stars.join(_side(labelled, "a"), "a").join(_side(labelled, "b"), "b").mapInArrow(_likely(percent), "a binary, b binary")
